@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import mixing, packing, url_filter
+from . import fingerprints, media, mixing, packing, url_filter
 from .common import Scratch, table
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(table(spark, sf_dir, "documents"))
+
+
+def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.digest(media.sniff(media.stored(table(spark, sf_dir, "documents"))))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame([("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")], "host string, path string, verdict string")
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
@@ -36,5 +43,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.per_document(mixing.mix(table(spark, sf_dir, "documents"), scratch), scratch)
 
 
-QUERIES = {"op5_url_filters": op5_url_filters, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
+QUERIES = {"op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op5_url_filters": OP5_SQL}
