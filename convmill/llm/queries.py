@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, media, mixing, packing, url_filter
+from . import fingerprints, media, mixing, packing, simhash, url_filter
 from .common import Scratch, table
 
 
@@ -32,6 +32,10 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM p LEFT JO
 """
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -43,5 +47,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.per_document(mixing.mix(table(spark, sf_dir, "documents"), scratch), scratch)
 
 
-QUERIES = {"op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
+QUERIES = {"op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op6_simhash": op6_simhash, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op5_url_filters": OP5_SQL}
