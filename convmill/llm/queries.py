@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, media, mixing, packing, simhash, url_filter
+from . import fingerprints, media, mixing, packing, simhash, toxicity, url_filter
 from .common import Scratch, table
 
 
@@ -36,6 +36,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.judged(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), Scratch(spark)))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,5 +52,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.per_document(mixing.mix(table(spark, sf_dir, "documents"), scratch), scratch)
 
 
-QUERIES = {"op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op6_simhash": op6_simhash, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
+QUERIES = {"op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op6_simhash": op6_simhash, "op7_toxicity": op7_toxicity, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op5_url_filters": OP5_SQL}
