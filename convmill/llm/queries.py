@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, media, mixing, packing, sharding, simhash, toxicity, url_filter
+from . import fingerprints, media, mixing, packing, pii, sharding, simhash, toxicity, url_filter
 from .common import Scratch, table
 
 
@@ -14,6 +14,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(table(spark, sf_dir, "documents"))
 
@@ -58,5 +62,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.per_document(mixing.mix(table(spark, sf_dir, "documents"), scratch), scratch)
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op6_simhash": op6_simhash, "op7_toxicity": op7_toxicity, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
+QUERIES = {"op1_sharding": op1_sharding, "op2_pii": op2_pii, "op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op6_simhash": op6_simhash, "op7_toxicity": op7_toxicity, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op5_url_filters": OP5_SQL}

@@ -1,0 +1,83 @@
+import re
+
+from pyspark.sql import functions as F
+
+from convmill.llm import pii, queries
+from convmill.llm.common import Scratch
+
+SF = "/root/testdata/sf0.01"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def run(spark, texts):
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], DOCS)
+    return {r.doc_id: r for r in pii.replace_entities(docs, Scratch(spark)).collect()}
+
+
+def luhn_ok(s):
+    d = [int(c) for c in reversed(s)]
+    return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(d)) % 10 == 0
+
+
+def test_kinds_layout_and_coreference(spark):
+    got = run(
+        spark,
+        [
+            "Call +1 (017) 555-7713 or +10175557713 now.",
+            "Mail A.b-7@Mail.Example.com, a.b-7@mail.example.com; other@mail.example.com.",
+            "Card 4111111111111111 and 4111 1111 1111 1111, id 9807915762804490.",
+            'token = "04dbebab91ab85687d33eeaaf9ac699e1188" end',
+            "Host 97.51.17.173. Version 1.2.3.4.5 stays, 999.1.1.1 too.",
+            "Mrs. Anna Schmidt met Herr Schmidt; Anna SCHMIDT left. Г-н Иванов.",
+            "Social 078-05-1120, IBAN DE89 3704 0044 0532 0130 00.",
+        ],
+    )
+    a, b = re.search(r"Call (\+1 \(\d{3}\) \d{3}-\d{4}) or (\+1\d{10}) now\.", got[0].text).groups()
+    assert re.sub(r"\D", "", a) == re.sub(r"\D", "", b) and "555-7713" not in a
+    m = re.fullmatch(r"Mail (\S+@\S+), (\S+@\S+); (\S+@\S+)\.", got[1].text)
+    assert m[1] == m[2] != m[3] and m[1].split("@")[1] == m[3].split("@")[1] and m[1].endswith(".example.com")
+    c = re.fullmatch(r"Card (\d{16}) and (\d{4} \d{4} \d{4} \d{4}), id (\d{16})\.", got[2].text)
+    assert c[1] == c[2].replace(" ", "") and luhn_ok(c[1]) and c[1] != "4111111111111111" and c[3] != "9807915762804490"
+    assert re.fullmatch(r'token = "[0-9a-f]{36}" end', got[3].text) and "04dbebab" not in got[3].text
+    assert re.fullmatch(r"Host \d+\.\d+\.\d+\.\d+\. Version 1\.2\.3\.4\.5 stays, 999\.1\.1\.1 too\.", got[4].text) and "97.51" not in got[4].text
+    n = re.fullmatch(r"Mrs\. (\w+a) (\w+) met Herr (\w+); (\w+a) ([A-Z]+) left\. Г-н ([а-яА-Я]+)\.", got[5].text)
+    assert n and n[2] == n[3] and n[1] == n[4] and n[5] == n[2].upper() and "Schmidt" not in got[5].text
+    assert re.fullmatch(r"Social \d{3}-\d{2}-\d{4}, IBAN DE\d\d(?: \d{4}){4} \d\d\.", got[6].text) and "1120" not in got[6].text
+    assert got[0].n_chars == len(got[0].text) and got[6].kinds == "iban,ssn" and got[6].n_mentions == 2
+
+
+def test_collisions_are_drawn_again(spark):
+    # Many entities in a small space: 4,000 of the 10,000 forms of one layout.
+    rows = spark.range(4000).select(F.lit("code").alias("kind"), F.lpad(F.col("id").cast("string"), 4, "0").alias("norm"))
+    got = pii.surrogates(rows, Scratch(spark)).collect()
+    assert len({r.surrogate for r in got}) == len(got) == 4000
+    assert not {r.surrogate for r in got} & {r.norm for r in got}
+    assert sorted(got) == sorted(pii.surrogates(rows.repartition(3), Scratch(spark)).collect())
+
+
+def test_odd_rows(spark):
+    long = "a" * 200000 + " " + "1." * 50000 + " x@y.example.com"
+    texts = [(None, None), (None, "+1 (017) 555-7713"), (1, ""), (2, "me@x.org"), (2, "me@x.org"), (3, long)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").withColumn("kinds", F.lit("mine")).withColumn("surrogate", F.lit(1))
+    got = pii.replace_entities(docs, Scratch(spark)).collect()
+    assert len(got) == 6 and sum(r.n_mentions for r in got) == 4 and {r.surrogate for r in got} == {1}
+    assert len({r.text for r in got if r.doc_id == 2}) == 1 and [r.text for r in got if r.doc_id == 3][0][:300000] == long[:300000]
+    assert [r.text for r in got if r.doc_id == 1] == [""] and sum(r.text is None for r in got) == 1
+    assert pii.replace_entities(docs.limit(0), Scratch(spark)).count() == 0
+
+
+def test_query_replaces_private_data_and_nothing_else(spark):
+    private = re.compile(r"[\w.]+@[\w.]+|\+1 \(\d{3}\) \d{3}-\d{4}|\b\d{16}\b|token = \"\w+|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]\d)")
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.op2_pii(spark, SF).collect()
+    assert {r.doc_id for r in rows} == texts.keys() and len(rows) == len(texts)
+    mapped, hits = {}, 0
+    for r in rows:
+        old, new = private.findall(texts[r.doc_id]), private.findall(r.text)
+        assert private.split(texts[r.doc_id]) == private.split(r.text)
+        assert len(old) == len(new) and (r.n_mentions > 0) == bool(old)
+        for a, b in zip(old, new):
+            a, b = a.rstrip("."), b.rstrip(".")
+            assert a != b and mapped.setdefault(a, b) == b
+            hits += 1
+    assert hits > 50 and len(set(mapped.values())) == len(mapped)
