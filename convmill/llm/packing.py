@@ -14,6 +14,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from .common import Scratch, arrow_batches, running
 MAX_LENGTH = 2048
 END_ID = 1
 #: Words whose ids a worker keeps; beyond that it starts anew. A cache only: results don't depend on it.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -44,8 +45,10 @@ def cuts(total: int, longest: int = MAX_LENGTH) -> list[tuple[int, int]]:
 class WordEncoder:
     """Ids of texts as little-endian 32-bit bytes, one white-space-free chunk at a time.
 
-    The vocabulary's pre-tokenizer never joins characters across white space and its
-    normalizer changes characters one by one or within a chunk, so a text's ids are those of its chunks in turn.
+    The vocabulary's pre-tokenizer never joins characters across white space, its normalizer
+    lower-cases and otherwise changes characters within a chunk only, so a text's ids are those
+    of its lower-cased chunks in turn. A full stop or comma after an ASCII letter is a token run of its own, so
+    such a chunk is its stem and that mark. Only stems not met lately are encoded. A text that may spell a special token is encoded as it stands.
     """
 
     def __init__(self, path: str) -> None:
@@ -55,8 +58,6 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def _learn(self, chunks: list[bytes]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
         for i in range(0, len(chunks), 4096):
             some = chunks[i : i + 4096]
             # One encoding of many chunks, told apart by their offsets: far less overhead than one call each.
@@ -65,23 +66,27 @@ class WordEncoder:
                 starts.append(at)
                 at += len(t) + 1
             enc = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            k, per = -1, [bytearray() for _ in some]
-            for token, (first, _) in zip(enc.ids, enc.offsets):
-                while k + 1 < len(starts) and first >= starts[k + 1]:
-                    k += 1
-                per[k] += token.to_bytes(4, "little")
-            self.known.update(zip(some, map(bytes, per)))
+            ids = np.array(enc.ids, "<u4")
+            cut = np.searchsorted(np.array([a for a, _ in enc.offsets], np.int64), starts)
+            packed, cut = ids.tobytes(), [*(4 * cut).tolist(), 4 * len(ids)]
+            self.known.update(zip(some, [packed[a:b] for a, b in zip(cut, cut[1:])]))
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         for text in texts:
-            words = text.split()
-            missing = [w for w in dict.fromkeys(words) if w not in self.known]
+            if b"<|" in text:
+                yield np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+                continue
+            known, words = self.known, text.lower().split()
+            missing = set(words).difference(known)
+            if len(known) + len(missing) > CACHE_WORDS:
+                known.clear()
+                missing = set(words)
             if missing:
-                if len(self.known) + len(missing) > CACHE_WORDS:
-                    missing = list(dict.fromkeys(words))
-                    self.known.clear()
-                self._learn(missing)
-            yield b"".join(map(self.known.__getitem__, words))
+                marked = [w for w in missing if w[-1] in b".," and 97 <= w[-2:][0] <= 122]
+                stems = missing.difference(marked).union([w[:-1] for w in marked], (b".", b",")).difference(known)
+                self._learn(list(stems))
+                known.update([(w, known[w[:-1]] + known[w[-1:]]) for w in marked])
+            yield b"".join(map(known.__getitem__, words))
 
 
 def pieces(docs: DataFrame, vocabulary: str, longest: int = MAX_LENGTH, end_id: int = END_ID) -> DataFrame:

@@ -14,7 +14,7 @@ from convmill.llm.common import Scratch, running
 SF = "/root/testdata/sf0.001"
 VOCAB = public_tokenizers.path("word_bpe_49k.json")
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
-ODD = [(1, None, None, None, None), (2, "", "en", "b", 0), (3, "  \t\n", "en", "b", 4), (4, "a b\u00a0c A\u0301 it's we'll\u3000x 12 <|endoftext|>", "en", "é", 9), (4, "a b\u00a0c A\u0301 it's we'll\u3000x 12 <|endoftext|>", "en", "é", 9), (5, "wörd " * 9000, "de", "b", 1), (None, "the end.", "en", "z", 3)]
+ODD = [(1, None, None, None, None), (2, "", "en", "b", 0), (3, "  \t\n", "en", "b", 4), (4, "a b\u00a0c A\u0301 it's IT'S. we'll,\u3000x 12. x.., . , ,. É. <|ENDOFTEXT|> <|endoftext|>", "en", "é", 9), (4, "a b\u00a0c A\u0301 it's IT'S. we'll,\u3000x 12. x.., . , ,. É. <|ENDOFTEXT|> <|endoftext|>", "en", "é", 9), (5, "wörd " * 9000, "de", "b", 1), (None, "the end.", "en", "z", 3), (7, "IT'S. we'll, x.., . , ,. A\u0301. É, don't. a.b. 3.", "en", "z", 3)]
 
 
 def odd(spark):
