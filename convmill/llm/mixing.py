@@ -118,3 +118,24 @@ def per_document(mixed: DataFrame, scratch: Scratch) -> DataFrame:
     rest = 1.0 + F.pmod("order_key", F.lit(1 << 30)) / float(1 << 30)
     flat = mixed.select("doc_id", "source", "size", "source_size", "target", F.aggregate("takes", F.lit(0).cast("long"), lambda a, t: a + t["words"]).alias("taken"), F.size("takes").cast("long").alias("passes"), first.alias("position"), F.coalesce(first, rest).alias("place"))
     return range_sorted(flat, scratch, "place").drop("place")
+
+
+def mixed_documents(docs: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, share: float = SHARE_OF_ALL, schedules: tuple = SCHEDULES, seed: int = 17) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, range-sorted by training position.
+
+    Whole documents: a pass that takes less than half of one leaves it out. Rows equal in id, source and text count as one
+    document here, repeated as often as all of them are taken. Only the slim table is sorted and summed; the texts move twice,
+    to meet it and to their range.
+    """
+    taken = mix(docs, scratch, weights, share, schedules, seed).select("doc_id", "source", "text_key", F.explode("takes").alias("t"), "size", "order_key").where(F.col("t.words") * 2 >= F.col("size"))
+    keys = ("doc_id", "source", "text_key")
+    named = lambda df: df.withColumn("_key", F.xxhash64(*keys)).withColumns({f"_{k}": F.col(k) for k in keys})
+    places = scratch.put(named(taken).groupBy("_key", "_doc_id", "_source", "_text_key").agg(F.collect_list(F.struct("t.position", "order_key", "t.pass")).alias("_places")))
+    own = [F.col(f"d.`{c}`") for c in docs.columns]
+    keyed = docs.select(F.struct(*docs.columns).alias("d")).select("d", F.col("d.doc_id").alias("doc_id"), F.col("d.source").alias("source"), F.xxhash64("d.text").alias("text_key"))
+    once = keyed.withColumn("_key", F.xxhash64(*keys)).dropDuplicates(["_key", *keys])
+    met = once.join(places, (once["_key"] == places["_key"]) & once["doc_id"].eqNullSafe(places["_doc_id"]) & once["source"].eqNullSafe(places["_source"]) & (once["text_key"] == places["_text_key"]))
+    flat = met.select("d", F.explode("_places").alias("p")).select(*own, F.col("p.position").alias("_position"), F.col("p.order_key").alias("_order"), F.col("p.pass").alias("_pass"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = ("_position", "_order", "_pass")
+    return flat.repartitionByRange(parts, *by).sortWithinPartitions(*by).drop(*by)
