@@ -2,5 +2,508 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import draw as D
+from ..functions import vocab as V
+from ..functions.rules import Rule, classify_by_table, table as rule_table
+from ..functions.text import SPACES, words
+from ..operators import augment as A
+from ..operators import chat as H
+from ..operators import classify as C
+from ..operators import curate as U
+from ..operators import messages as M
+from ..operators import metrics as R
+from ..operators import preference as P
+from ..operators import presets, tokens as T, toolcalls as K
+from ..operators import variants as X
+from ..sources import jsonl
+from . import pipelines, sql as S
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+#: Rules in words that the test texts have.
+PERSONAS = [Rule("the|And", "English > Reader"), Rule("und|der|die", "German > Fitness Seeker"), Rule("que|los|las", "Spanish > Business Professional"), Rule("le|les|des", "French > Carla")]
+INTENTS = [Rule(k, v, "part") for k, v in (("tion", "Name an action"), ("ING", "Describe a process"), ("ung", "Name a state"), ("ment", "Qualify"))]
+CONTEXTS = [Rule(k, v, "part") for k, v in (("the", "limited text about a busy professional"), ("der", "tight text with a 30th birthday"), ("que", "nervous text on a dive watch"))]
+LAYERS = [Rule("of|from", "Aspirational"), Rule("nicht|und|le", "Transformational")]
+CHAPTERS = [Rule("to|in|der", "Chapter 1"), Rule("was|les", "Chapter 2")]
+SYNONYMS = {"the": ["this", "that"], "and": ["plus", "with", "also"], "und": ["sowie", "samt"], "que": ["cual", "quien"], "le": ["ce", "un"]}
+CUES = [(["the", "der"], "First"), (["ing"], "Second"), (["ung", "que"], "Third")]
+BANKS = [("German", ["Weiter?", "Mehr dazu?"]), ("Reader", ["Read on?"])]
+TOPICS = [("the", ["search_web", "calc_tool"]), ("der", ["write_file"]), ("que", ["unlisted"])]
+TOOLS = ["search_web", "calc_tool", "news_tool", "python_repl", "write_file", "get_current_weather"]
+DIALECT = pipelines.Dialect(factor=3, synonyms=SYNONYMS, persona_rules=PERSONAS, intent_rules=INTENTS, context_rules=CONTEXTS)
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def query(oracle: str | None = None):
+    """Registers a query under its function's name, and its SQL."""
+
+    def keep(f: Callable) -> Callable:
+        QUERIES[f.__name__] = f
+        if oracle is not None:
+            ORACLE_SQL[f.__name__] = oracle
+        return f
+
+    return keep
+
+
+def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.chat_pairs(read(spark, sf_dir, "conversations"))
+
+
+def pair_query(name: str, column: Callable[[], Column], oracle: str, out: str = "label") -> None:
+    """A query of one column, made when it runs, over the first user and assistant texts."""
+    QUERIES[name] = lambda spark, sf_dir: pairs(spark, sf_dir).select("conv_id", column().alias(out))
+    ORACLE_SQL[name] = f"WITH {S.PAIRS} SELECT conv_id, {oracle} AS {out} FROM pairs"
+
+
+def joined(array: Column) -> Column:
+    return F.array_join(array, "; ")
+
+
+# Projections and filters
+QUERIES["chat_pairs"] = pairs
+ORACLE_SQL["chat_pairs"] = f"WITH {S.PAIRS} SELECT * FROM pairs"
+
+
+@query("SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS content FROM conversations GROUP BY conv_id")
+def chat_concat(spark, sf_dir):
+    return M.nested(read(spark, sf_dir, "conversations")).select("conv_id", M.all_content(F.col("messages")).alias("content"))
+
+
+@query("SELECT c.conv_id, c.turn, c.role, CASE WHEN c.turn = l.last THEN 'Replaced.' ELSE c.text END AS text FROM conversations c LEFT JOIN (SELECT conv_id, max(turn) AS last FROM conversations WHERE role = 'assistant' GROUP BY conv_id) l USING (conv_id)")
+def last_assistant_replace(spark, sf_dir):
+    chats = M.nested(read(spark, sf_dir, "conversations"))
+    return M.unnested(chats.select("conv_id", M.replace_last(F.col("messages"), "assistant", F.lit("Replaced.")).alias("messages")))
+
+
+@query("""SELECT coalesce(reason, 'kept') AS reason, count(*) AS n FROM (SELECT conv_id, CASE WHEN coalesce(arg_min(text, turn) FILTER (WHERE role = 'user'), '') = '' THEN 'no_user'
+    WHEN coalesce(arg_min(text, turn) FILTER (WHERE role = 'assistant'), '') = '' THEN 'no_assistant' END AS reason FROM conversations GROUP BY conv_id) GROUP BY 1""")
+def stage_counts(spark, sf_dir):
+    chats = M.nested(read(spark, sf_dir, "conversations"))
+    return chats.groupBy(F.coalesce(M.reject_reason(F.col("messages")), F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# Classification
+pair_query("persona_classify", lambda: C.persona(F.col("prompt"), PERSONAS), S.classify("prompt", PERSONAS, S.q(V.DEFAULT_PERSONA)))
+_PARTS = [Rule(r.key.split("|")[0], r.label, "part") for r in PERSONAS]
+pair_query("persona_parts", lambda: C.persona(F.col("prompt"), _PARTS), S.classify("prompt", _PARTS, S.q(V.DEFAULT_PERSONA)))
+pair_query("intent_classify", lambda: C.intent(F.col("prompt"), INTENTS), S.classify("prompt", INTENTS, S.q(V.DEFAULT_INTENT)))
+pair_query("context_plain", lambda: C.context(F.col("prompt"), rules=CONTEXTS), S.classify("prompt", CONTEXTS, S.q(V.CONTEXT_DEFAULT)))
+_CONTEXT = f"{S.classify('prompt', CONTEXTS, S.q(V.CONTEXT_DEFAULT))} || {S.choice(S.lst(V.CONTEXT_SUFFIXES), 'context', 'conv_id')}"
+pair_query("context_summary", lambda: C.context(F.col("prompt"), F.col("conv_id"), CONTEXTS), _CONTEXT)
+pair_query("layer_classify", lambda: C.layer(F.col("response"), F.col("conv_id"), rules=LAYERS), S.layer("response", "conv_id", rules=LAYERS))
+pair_query("layer_cues", lambda: C.layer_by_cues(F.col("response")), S.classify("response", V.LAYER_CUES, S.q(V.DEFAULT_LAYER)))
+pair_query("principle_weighted", lambda: C.principle(F.col("prompt"), F.col("conv_id"), {"Chapter 1": 0, "Chapter 2": 1, "Chapter 3": 3}, rules=CHAPTERS), S.principle("prompt", "conv_id", {"Chapter 1": 0, "Chapter 2": 1, "Chapter 3": 3}, rules=CHAPTERS))
+pair_query("principle_cues", lambda: C.principle_by_cues(F.col("response")), S.classify("response", V.PRINCIPLE_CUES, S.q(V.DEFAULT_PRINCIPLE)))
+_LAYER_SQL = S.layer("response", "conv_id")
+
+
+def _layer() -> Column:
+    return C.layer(F.col("response"), F.col("conv_id"))
+
+
+pair_query("response_attributes", lambda: joined(C.attributes(_layer(), F.col("conv_id"))), f"array_to_string({S.attributes(_LAYER_SQL, 'conv_id')}, '; ')", "attributes")
+pair_query("reasoning_steps", lambda: joined(C.steps(_layer(), F.col("conv_id"))), f"array_to_string({S.steps(_LAYER_SQL, 'conv_id')}, '; ')", "steps")
+pair_query("attributes_cues", lambda: joined(C.attributes_by_cues(F.col("response"), CUES)), f"array_to_string(list_filter([{S.q(V.ATTRIBUTES_ALWAYS[0])}, {S.q(V.ATTRIBUTES_ALWAYS[1])}, {S.cues('response', CUES)}], lambda x: x IS NOT NULL), '; ')", "attributes")
+_FOUND = f"list_filter([{S.cues('response', CUES[1:])}], lambda x: x IS NOT NULL)"
+pair_query("steps_cues", lambda: joined(C.steps_by_cues(F.col("response"), CUES[1:])), f"CASE WHEN len({_FOUND}) = 0 THEN {S.q(V.DEFAULT_STEP)} ELSE array_to_string({_FOUND}, '; ') END", "steps")
+_PERSONA_SQL = S.classify("prompt", PERSONAS, S.q(V.DEFAULT_PERSONA))
+
+
+def _persona() -> Column:
+    return C.persona(F.col("prompt"), PERSONAS)
+
+
+_BANK = S.case([(f"contains({_PERSONA_SQL}, {S.q(n)})", S.lst(p)) for n, p in BANKS], S.lst(V.FOLLOW_UPS))
+pair_query("follow_up", lambda: C.follow_up(_persona(), F.col("conv_id"), BANKS), S.choice(_BANK, "follow", "conv_id"), "question")
+_ALLOWED = S.case([(f"contains(lower(prompt), {S.q(n)})", S.lst([t for t in ts if t in TOOLS])) for n, ts in TOPICS], S.lst(TOOLS))
+pair_query("select_tools", lambda: joined(C.relevant_tools(F.col("prompt"), TOOLS, TOPICS)), f"array_to_string(CASE WHEN len({_ALLOWED}) > 0 THEN {_ALLOWED} ELSE {S.lst(TOOLS)} END, '; ')", "tools")
+
+
+@query(f"WITH {S.PAIRS} SELECT {_LAYER_SQL} AS layer, count(*) AS n FROM pairs GROUP BY 1")
+def layer_distribution(spark, sf_dir):
+    return pairs(spark, sf_dir).groupBy(C.layer(F.col("response"), F.col("conv_id")).alias("layer")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {S.PAIRS} SELECT conv_id, {_PERSONA_SQL} AS label FROM pairs")
+def persona_by_table(spark, sf_dir):
+    return classify_by_table(pairs(spark, sf_dir), "prompt", ["conv_id"], rule_table(spark, PERSONAS), V.DEFAULT_PERSONA).select("conv_id", "label")
+
+
+# Augmentation
+pair_query("paraphrase", lambda: A.paraphrase(F.col("response"), F.col("conv_id"), SYNONYMS), S.paraphrase("response", "conv_id", SYNONYMS), "text")
+pair_query("paraphrase_unstripped", lambda: A.paraphrase(F.col("response"), F.col("conv_id"), SYNONYMS, strip=""), S.paraphrase("response", "conv_id", SYNONYMS, strip=""), "text")
+pair_query("dynamic_perturbation", lambda: A.dynamic_perturbation(C.context(F.col("prompt"), rules=CONTEXTS), 3, F.col("conv_id")), S.perturbation(S.classify("prompt", CONTEXTS, S.q(V.CONTEXT_DEFAULT)), 3, "conv_id"), "text")
+_SHOWN = S.classify("prompt", CONTEXTS, S.q(V.CONTEXT_DEFAULT))
+pair_query("context_shift", lambda: A.adjust_prompt(F.col("prompt"), A.shift_context(C.context(F.col("prompt"), rules=CONTEXTS), C.persona(F.col("response"), PERSONAS))), S.adjust_prompt("prompt", S.shift_context(_SHOWN, S.classify("response", PERSONAS, S.q(V.DEFAULT_PERSONA)))), "text")
+_AT = f"{S.draw('shift', 'conv_id')} % {len(V.PERSONA_SHIFTS)}"
+_SHIFTED = S.case([(f"{_AT} = {i} AND contains('Business Professional', {S.q(n)})", S.replaced(_SHOWN, [(a, b)])) for i, (n, a, b, _) in enumerate(V.PERSONA_SHIFTS)], _SHOWN)
+pair_query("persona_shift", lambda: A.adjust_by_persona(F.col("prompt"), A.shift_by_persona(C.context(F.col("prompt"), rules=CONTEXTS), F.lit("Business Professional"), F.col("conv_id"))), S.case([(f"contains({_SHIFTED}, {S.q(b)})", f"prompt || {S.q(s)}") for _, _, b, s in V.PERSONA_SHIFTS], "prompt"), "text")
+pair_query("bernoulli_gate", lambda: D.gate(50, "gate", F.col("conv_id")), f"{S.draw('gate', 'conv_id')} % 100 < 50", "taken")
+pair_query("head_words", lambda: F.array_join(F.slice(words(F.lower(F.col("prompt"))), 1, 5), " "), f"array_to_string({S.words('lower(prompt)')}[1:5], ' ')", "head")
+pair_query("question_appended", lambda: A.with_question(F.when(F.col("conv_id") % 2 == 0, F.concat(F.col("response"), F.lit("? "))).otherwise(F.col("response")), F.lit("More?")), "CASE WHEN conv_id % 2 = 0 THEN response || '? ' ELSE trim(response) || ' More?' END", "text")
+
+_POOL_SQL = S.pairs(_PERSONA_SQL, _CONTEXT, "prompt", "conv_id")
+
+
+@query(f"WITH {S.PAIRS}, made AS (SELECT conv_id, unnest({_POOL_SQL}) AS p, generate_subscripts({_POOL_SQL}, 1) AS i FROM pairs) SELECT conv_id, i - 1 AS at, p.context AS context, p.prompt AS prompt FROM made")
+def augment_pairs(spark, sf_dir):
+    made = pairs(spark, sf_dir).select("conv_id", F.posexplode(A.pairs(_persona(), C.context(F.col("prompt"), F.col("conv_id"), CONTEXTS), F.col("prompt"), F.col("conv_id"))).alias("at", "p"))
+    return made.select("conv_id", F.col("at").cast("bigint").alias("at"), "p.context", "p.prompt")
+
+
+_EXTRA = {"Reader": [(" In a hurry.", " Be quick."), (" At ease.", " Take time.")]}
+_DEPTH_BASE = f"[{{'context': {S.perturbation(_SHOWN, 2, 'conv_id', 'depth')}, 'prompt': prompt}}]"
+_DEPTH_MORE = "CASE WHEN contains(%s, 'Reader') THEN [%s] ELSE [] END" % (_PERSONA_SQL, ", ".join(f"{{'context': {_SHOWN} || {S.q(c)}, 'prompt': prompt || {S.q(p)}}}" for c, p in _EXTRA["Reader"]))
+_DEPTH = S.shuffled(f"list_concat(list_concat({_DEPTH_BASE}, {S.pairs(_PERSONA_SQL, _SHOWN, 'prompt', 'conv_id')}), {_DEPTH_MORE})", "depth", "conv_id")
+
+
+@query(f"WITH {S.PAIRS}, made AS (SELECT conv_id, unnest({_DEPTH}) AS p, generate_subscripts({_DEPTH}, 1) AS i FROM pairs) SELECT conv_id, i - 1 AS at, p.context AS context, p.prompt AS prompt FROM made")
+def augment_depth(spark, sf_dir):
+    pool = A.pairs_in_depth(_persona(), C.context(F.col("prompt"), rules=CONTEXTS), F.col("prompt"), 2, F.col("conv_id"), _EXTRA)
+    return pairs(spark, sf_dir).select("conv_id", F.posexplode(pool).alias("at", "p")).select("conv_id", F.col("at").cast("bigint").alias("at"), "p.context", "p.prompt")
+
+
+_RECORDS = f"""{S.PAIRS},
+ctx AS (SELECT *, {S.classify('prompt', CONTEXTS, S.q(V.CONTEXT_DEFAULT))} || {S.choice(S.lst(V.CONTEXT_SUFFIXES), 'convmill-context', 'conv_id')} AS context, {_PERSONA_SQL} AS persona0, {S.layer('response', 'conv_id', 'convmill-layer')} AS layer FROM pairs),
+pool AS (SELECT *, {S.pairs('persona0', 'context', 'prompt', 'conv_id')} AS pool FROM ctx),
+drawn AS (SELECT *, list_transform([1, 2], lambda n: pool[{S.draw('drawn', 'conv_id', 'n')} % len(pool) + 1]) AS d FROM pool),
+flat AS (SELECT conv_id, response, layer, unnest(range(3)) AS variant, unnest(list_concat([{{'context': context, 'prompt': prompt}}], d)) AS p FROM drawn),
+rows AS (SELECT conv_id, response, layer, variant, p.context AS context, p.prompt AS prompt, conv_id || '-' || variant AS one, {S.classify('p.prompt', PERSONAS, S.q(V.DEFAULT_PERSONA))} AS persona FROM flat),
+records AS (SELECT conv_id, variant, {S.digest('convmill', 'conv_id', 'variant')} AS intent_id, persona AS persona_archetype, {S.principle('prompt', 'one')} AS governing_principle, layer AS capability_layer,
+    {S.classify('prompt', INTENTS, S.q(V.DEFAULT_INTENT))} AS user_intent, context AS context_summary, prompt AS application_prompt,
+    {S.paraphrase('response', 'one', SYNONYMS)} || ' ' || {S.choice(S.lst(V.FOLLOW_UPS), 'follow', 'one')} AS ideal_response_final,
+    array_to_string({S.attributes('layer', 'one')}, '; ') AS ideal_response_attributes, array_to_string({S.steps('layer', 'one')}, '; ') AS ideal_response_cot FROM rows)"""
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipelines.intent_records(pairs(spark, sf_dir), dialect=DIALECT)
+
+
+@query(f"WITH {_RECORDS} SELECT * FROM records")
+def intent_record(spark, sf_dir):
+    return records(spark, sf_dir).withColumns({c: joined(F.col(c)) for c in ("ideal_response_attributes", "ideal_response_cot")})
+
+
+@query(f"WITH {_RECORDS} SELECT conv_id, variant, context_summary, application_prompt FROM records")
+def augment_explode(spark, sf_dir):
+    return records(spark, sf_dir).select("conv_id", "variant", "context_summary", "application_prompt")
+
+
+_ASKED = "CASE WHEN conv_id % 2 = 0 THEN ideal_response_final ELSE 'Done.' END"
+
+
+@query(f"WITH {_RECORDS} SELECT intent_id, CASE WHEN conv_id % 2 = 0 THEN ideal_response_final ELSE 'Done. ' || {S.choice(S.lst(V.FOLLOW_UPS), 'follow', 'intent_id')} END AS ideal_response_final, CASE WHEN conv_id % 2 = 0 THEN ideal_response_cot ELSE array_to_string({S.steps('capability_layer', 'intent_id')}, '; ') END AS ideal_response_cot FROM records")
+def intent_update(spark, sf_dir):
+    made = records(spark, sf_dir).withColumn("ideal_response_final", F.when(F.col("conv_id") % 2 == 0, F.col("ideal_response_final")).otherwise("Done."))
+    return pipelines.updated(made).select("intent_id", "ideal_response_final", joined(F.col("ideal_response_cot")).alias("ideal_response_cot"))
+
+
+_CURATED_N = "(SELECT count(*) FROM unique_records)"
+_CURATED_RANK = S.digest("curate", "intent_id")
+
+
+@query(f"""WITH {_RECORDS}, unique_records AS (SELECT * FROM records QUALIFY row_number() OVER (PARTITION BY persona_archetype, application_prompt, ideal_response_final ORDER BY intent_id) = 1)
+SELECT intent_id, CASE WHEN row_number() OVER (ORDER BY {_CURATED_RANK}, intent_id) <= ceil(0.1 * {_CURATED_N}) THEN 'validation' ELSE 'train' END AS split FROM unique_records""")
+def curated_records(spark, sf_dir):
+    return pipelines.curated(records(spark, sf_dir), 0.1).select("intent_id", "split")
+
+
+# Variants with tool calls
+_KINDS = S.variant_kinds(5, "conv_id")
+_VARIANT = f"""{S.PAIRS},
+dealt AS (SELECT conv_id, prompt, response, unnest(range(1, 6)) AS variant, unnest({_KINDS}) AS kind FROM pairs),
+picked AS (SELECT *, {S.shuffled(S.lst(TOOLS), 'variant', "conv_id || '-' || (variant - 1)")} AS tools FROM dealt),
+lines AS (SELECT *, {S.call('tools[1]', 'prompt')} AS c1, {S.answer('tools[1]', 'prompt')} AS a1, {S.call('tools[2]', 'prompt')} AS c2, {S.answer('tools[2]', 'prompt')} AS a2 FROM picked),
+made AS (SELECT conv_id, variant, kind, CASE kind WHEN 'none' THEN response WHEN 'single' THEN concat_ws(chr(10), c1, a1, {S.q(V.ADVICE)} || response) ELSE concat_ws(chr(10), c1, a1, c2, a2, {S.q(V.ADVICE)} || response) END AS content FROM lines)"""
+_LAST = "(SELECT conv_id, arg_max(text, turn) AS content FROM conversations WHERE role = 'assistant' GROUP BY conv_id)"
+
+
+def made_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.variants(M.nested(read(spark, sf_dir, "conversations")), 5, TOOLS)
+
+
+def _last_text(messages: Column) -> Column:
+    return F.get(messages, M.last_index(messages, "assistant"))["content"]
+
+
+@query(f"WITH {_VARIANT} SELECT * FROM made UNION ALL SELECT conv_id, 0, 'original', content FROM {_LAST}")
+def variant_tool_call(spark, sf_dir):
+    return made_variants(spark, sf_dir).select("conv_id", "variant", "kind", _last_text(F.col("messages")).alias("content")).where("content IS NOT NULL")
+
+
+@query(f"WITH {_VARIANT} SELECT kind, count(*) AS n FROM (SELECT kind FROM made UNION ALL SELECT 'original' FROM (SELECT DISTINCT conv_id FROM conversations)) GROUP BY kind")
+def variant_kinds(spark, sf_dir):
+    return made_variants(spark, sf_dir).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {_VARIANT} SELECT conv_id, variant, true AS valid FROM made")
+def variant_valid(spark, sf_dir):
+    return made_variants(spark, sf_dir).where("variant > 0").select("conv_id", "variant", X.valid(F.col("messages")).alias("valid"))
+
+
+_ONE_TOOL = S.choice(S.lst(V.TOOLS), "tool", "conv_id")
+
+
+def _args() -> Column:
+    return X.arguments(D.choice(D.strings(V.TOOLS), "tool", F.col("conv_id")), F.col("prompt"))
+
+
+pair_query("tool_arguments", lambda: F.array_join(F.transform(F.map_entries(_args()), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";"), S.arguments_text(_ONE_TOOL, "prompt"), "arguments")
+pair_query("tool_answers", lambda: X.answer(D.choice(D.strings(V.TOOLS), "tool", F.col("conv_id")), _args()), S.answer(_ONE_TOOL, "prompt"), "answer")
+
+
+@query(f"SELECT p_partkey, {S.calculation('text')} AS expression FROM (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_type ELSE p_brand || ' ' || p_size || CASE WHEN p_partkey % 3 = 1 THEN ' at ' || p_partkey || '.5' ELSE '' END END AS text FROM part)")
+def calc_args(spark, sf_dir):
+    text = F.when(F.col("p_partkey") % 3 == 0, F.col("p_type")).otherwise(F.concat("p_brand", F.lit(" "), F.col("p_size").cast("string"), F.when(F.col("p_partkey") % 3 == 1, F.concat(F.lit(" at "), F.col("p_partkey").cast("string"), F.lit(".5"))).otherwise("")))
+    return read(spark, sf_dir, "part").select("p_partkey", X.calculation(text).alias("expression"))
+
+
+@query(f"WITH {_VARIANT}, c AS (SELECT conv_id, variant, unnest(CASE kind WHEN 'single' THEN tools[1:1] WHEN 'multi' THEN tools[1:2] ELSE [] END) AS name, unnest(range(2)) AS call FROM picked) SELECT conv_id, variant, call, name FROM c WHERE name IS NOT NULL")
+def tool_call_extract(spark, sf_dir):
+    texts = made_variants(spark, sf_dir).where("variant > 0").select("conv_id", "variant", _last_text(F.col("messages")).alias("content"))
+    return K.extract_calls(texts, "content", ["conv_id", "variant"]).select("conv_id", "variant", "call", "name")
+
+
+_RUNNABLE = ["news_tool", "calendar_tool", "get_current_weather", "missing_tool"]
+
+
+@query(f"WITH {S.PAIRS} SELECT conv_id, " + S.case([(f"t = {S.q(n)}", f"{S.q(f'Tool {n} result: ' + V.LOOKUPS[n].split('{}')[0])} || prompt || {S.q(V.LOOKUPS[n].split('{}')[1])}") for n in _RUNNABLE[:3]], "'Unknown tool: ' || t") + f" AS result FROM (SELECT *, {S.choice(S.lst(_RUNNABLE), 'run', 'conv_id')} AS t FROM pairs)")
+def tool_execute(spark, sf_dir):
+    calls = pairs(spark, sf_dir).select("conv_id", D.choice(D.strings(_RUNNABLE), "run", F.col("conv_id")).alias("name"), F.create_map(F.lit("query"), F.col("prompt")).alias("arguments"))
+    return K.execute_calls(calls).select("conv_id", "result")
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 2 THEN 'Error: Calculation failed - division by zero' ELSE CAST(CASE WHEN l_linenumber % 3 = 0 THEN l_orderkey + 3 * l_partkey ELSE -(l_suppkey // 7) END AS VARCHAR) END AS result FROM lineitem WHERE l_suppkey % 7 = 0")
+def safe_calc(spark, sf_dir):
+    k = F.col("l_linenumber") % 3
+    s = lambda c: F.col(c).cast("string")
+    text = F.when(k == 0, F.concat(s("l_orderkey"), F.lit(" + 3 * "), s("l_partkey"))).when(k == 1, F.concat(F.lit("-("), s("l_suppkey"), F.lit(" // 7)"))).otherwise(F.concat(s("l_suppkey"), F.lit(" % 0")))
+    out = K.calculate_column(text)
+    return read(spark, sf_dir, "lineitem").where("l_suppkey % 7 = 0").select("l_orderkey", "l_linenumber", F.when(out.startswith("Error: Calculation failed"), "Error: Calculation failed - division by zero").otherwise(out).alias("result"))
+
+
+# Preference pairs
+_HAS = "(contains(response, 'tool_call') OR contains(response, 'Need data:'))"
+_MARKED = "CASE WHEN conv_id % 3 = 0 THEN response || ' Need data: {x}' WHEN conv_id % 3 = 1 THEN '  tool_call ' || response ELSE response END"
+_UNUSED = f"list_filter({S.lst(V.TOOLS)}, lambda t: NOT contains(response, t))"
+_SAFE = """substr(replace(replace(replace(prompt, '''', '\\'''), '"', '\\"'), chr(10), ' '), 1, 64)"""
+_WRONG = S.case([(f"tool = {S.q(t)}", f"'Need data: {{\"tool_call\": {{\"name\": \"{t}\", \"arguments\": {{' || {a} || '}}}}}}'") for t, a in [("calc_tool", "'\"query\": \"2+2\"'"), ("python_repl", "'\"code\": \"print(''test'')\"'"), ("read_file", "'\"filepath\": \"example.txt\"'"), ("write_file", "'\"filepath\": \"example.txt\", \"content\": \"test\"'"), ("get_current_weather", f"'\"location\": \"' || {S.json_body(_SAFE)} || '\"'")]], f"'Need data: {{\"tool_call\": {{\"name\": \"' || tool || '\", \"arguments\": {{\"query\": \"' || {S.json_body(_SAFE)} || '\"}}}}}}'")
+_WITHOUT = f"coalesce(nullif(regexp_replace(CASE WHEN contains(response, 'Need data:') THEN split_part(response, 'Need data:', 1) WHEN contains(response, 'tool_call') THEN split_part(response, 'tool_call', 1) ELSE response END, {S.q(f'^{SPACES}|{SPACES}$')}, '', 'g'), ''), {S.q(V.UNSURE)})"
+
+
+def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(F.col("conv_id") % 3 == 0, F.concat(F.col("response"), F.lit(" Need data: {x}"))).when(F.col("conv_id") % 3 == 1, F.concat(F.lit("  tool_call "), F.col("response"))).otherwise(F.col("response"))
+    return pairs(spark, sf_dir).withColumn("response", text)
+
+
+_MARKED_CTE = f"{S.PAIRS}, marked AS (SELECT conv_id, prompt, {_MARKED} AS response FROM pairs), tooled AS (SELECT *, {S.choice(_UNUSED, 'wrong', 'conv_id')} AS tool FROM marked)"
+
+
+@query(f"WITH {_MARKED_CTE} SELECT conv_id, '[INST]' || prompt || '[/INST]' AS prompt, response AS chosen, CASE WHEN {_HAS} THEN {_WITHOUT} ELSE {_WRONG} END AS rejected FROM tooled")
+def preference_pairs(spark, sf_dir):
+    return P.preference_pairs(marked(spark, sf_dir))
+
+
+@query(f"WITH {_MARKED_CTE} SELECT conv_id, {_HAS} AS has_call, {_WITHOUT} AS remainder FROM marked")
+def tool_presence(spark, sf_dir):
+    return marked(spark, sf_dir).select("conv_id", P.has_call(F.col("response")).alias("has_call"), P.without_call(F.col("response")).alias("remainder"))
+
+
+@query(f"SELECT s_suppkey, array_to_string(list_filter({S.lst(V.TOOLS)}, lambda t: NOT contains('search_web calc_tool' || s_name, t)), '; ') AS unused FROM supplier")
+def unused_tools(spark, sf_dir):
+    used = F.filter(D.strings(V.TOOLS), lambda t: F.contains(F.concat(F.lit("search_web calc_tool"), F.col("s_name")), t))
+    return read(spark, sf_dir, "supplier").select("s_suppkey", joined(F.array_except(D.strings(V.TOOLS), used)).alias("unused"))
+
+
+# Dedup, sampling, splits
+@query("SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY lang, source, text ORDER BY doc_id) = 1")
+def dedup_exact(spark, sf_dir):
+    return U.keep_first(read(spark, sf_dir, "documents"), ["lang", "source", "text"], ["doc_id"]).select("doc_id")
+
+
+@query(f"SELECT doc_id FROM documents ORDER BY {S.digest('sample', 'doc_id')}, doc_id LIMIT 100")
+def sample_n(spark, sf_dir):
+    return U.sample(read(spark, sf_dir, "documents").select("doc_id"), 100, ["doc_id"])
+
+
+@query(f"SELECT d.range AS draw, r.doc_id FROM range(150) d JOIN {S.ranked('documents', 'doc_id', 'resample-rows')} r ON r.rank = {S.draw('resample', 'd.range')} % (SELECT count(*) FROM documents) + 1")
+def sample_replace(spark, sf_dir):
+    return U.sample_with_replacement(read(spark, sf_dir, "documents").select("doc_id"), 150, ["doc_id"]).select("draw", "doc_id")
+
+
+@query(f"SELECT doc_id, CASE WHEN rank <= ceil(0.15 * (SELECT count(*) FROM documents)) THEN 'validation' ELSE 'train' END AS split FROM {S.ranked('documents', 'doc_id', 'split')}")
+def split_exact(spark, sf_dir):
+    return U.split(read(spark, sf_dir, "documents").select("doc_id"), 0.15, ["doc_id"]).select("doc_id", "split")
+
+
+@query(f"WITH {S.PAIRS}, r AS {S.ranked('pairs', 'conv_id', 'review')} SELECT conv_id, rank <= greatest(1, floor(0.1 * (SELECT count(*) FROM pairs))) AS review, CASE WHEN rank <= greatest(1, floor(0.1 * (SELECT count(*) FROM pairs))) THEN {S.paraphrase('response', 'conv_id', SYNONYMS)} ELSE response END AS response FROM r")
+def review_flag(spark, sf_dir):
+    return U.flag_for_review(pairs(spark, sf_dir), 0.1, ["conv_id"], "response", A.paraphrase(F.col("response"), F.col("conv_id"), SYNONYMS)).select("conv_id", "review", "response")
+
+
+@query()
+def length_buckets(spark, sf_dir):
+    rows = read(spark, sf_dir, "documents").select("doc_id", T.WordTokenizer().ids(F.col("text")).alias("input_ids"))
+    return U.length_bucketed(rows, "input_ids", 8).select("doc_id", F.size("input_ids").alias("n_ids"), F.spark_partition_id().alias("bucket"))
+
+
+@query("WITH m AS (SELECT conv_id, text FROM conversations WHERE role = 'user') SELECT conv_id, 0 AS variant, text FROM m UNION ALL SELECT conv_id, v, text || ' v' || v FROM m, range(1, 3) r(v)")
+def union_variants(spark, sf_dir):
+    users = read(spark, sf_dir, "conversations").where("role = 'user'")
+    made = users.select("conv_id", F.explode(F.sequence(F.lit(1), F.lit(2))).alias("v"), "text").select("conv_id", F.col("v").cast("bigint").alias("variant"), F.concat("text", F.lit(" v"), F.col("v").cast("string")).alias("text"))
+    return users.select("conv_id", F.lit(0).cast("bigint").alias("variant"), "text").unionByName(made)
+
+
+# Reports
+@query("SELECT 'lang' AS field, lang AS value, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang UNION ALL SELECT 'source', source, count(*) FROM documents WHERE source IS NOT NULL GROUP BY source")
+def distribution_sets(spark, sf_dir):
+    return R.distribution(read(spark, sf_dir, "documents"), "lang", "source")
+
+
+@query("SELECT lang, round(count(DISTINCT text) / count(text), 9) AS unique_ratio FROM documents GROUP BY lang")
+def unique_ratio(spark, sf_dir):
+    return read(spark, sf_dir, "documents").groupBy("lang").agg(F.round(F.count_distinct("text") / F.count("text"), 9).alias("unique_ratio"))
+
+
+def _diversity_sql(source: str, field: str, key: str, most: int) -> str:
+    n = f"(SELECT count(*) FROM {source})"
+    i, j = f"{S.draw('pairs-a', 'd.range')} % {n}", f"{S.draw('pairs-b', 'd.range')} % ({n} - 1)"
+    ranked = S.ranked(source, key, "pairs-rows")
+    a, b = (f"list_distinct({S.words(f'{t}.{field}')})" for t in "ab")
+    return f"""SELECT {S.q(field)} AS field, (SELECT round(count(DISTINCT {field}) / count({field}), 9) FROM {source}) AS unique_ratio, round(avg(coalesce(len(list_intersect({a}, {b})) / nullif(len(list_distinct(list_concat({a}, {b}))), 0), 0)), 9) AS avg_jaccard,
+    avg(coalesce(len(list_intersect({a}, {b})) / nullif(len(list_distinct(list_concat({a}, {b}))), 0), 0)) < 0.7 AS is_diverse
+    FROM range(least({n} * ({n} - 1) // 2, {most})) d JOIN {ranked} a ON a.rank = {i} + 1 JOIN {ranked} b ON b.rank = {j} + CASE WHEN {j} >= {i} THEN 1 ELSE 0 END + 1"""
+
+
+@query(f"WITH {S.PAIRS} {_diversity_sql('pairs', 'prompt', 'conv_id', 300)} UNION ALL {_diversity_sql('pairs', 'response', 'conv_id', 300)}")
+def diversity_report(spark, sf_dir):
+    report = R.diversity_report(pairs(spark, sf_dir), ["prompt", "response"], ["conv_id"], most=300)
+    return report.withColumns({c: F.round(c, 9) for c in ("unique_ratio", "avg_jaccard")})
+
+
+@query(f"SELECT d.item_id AS item_id, round(len(list_intersect(list_distinct({S.words('d.text')}), list_distinct({S.words('e.text')}))) / len(list_distinct(list_concat({S.words('d.text')}, {S.words('e.text')}))), 9) AS likeness FROM benchmark d JOIN benchmark e ON e.item_id = d.item_id + 1")
+def word_sets(spark, sf_dir):
+    items = read(spark, sf_dir, "benchmark")
+    after = items.select((F.col("item_id") - 1).alias("item_id"), F.col("text").alias("next"))
+    return items.join(after, "item_id").select("item_id", F.round(R.jaccard(F.col("text"), F.col("next")), 9).alias("likeness"))
+
+
+# Rendering and tokens
+_SYSTEM = S.case([(f"capability_layer = {S.q(k)}", S.q(v)) for k, v in V.SYSTEM_PROMPTS.items()], S.q(V.DEFAULT_SYSTEM_PROMPT))
+_GATE = f"{S.draw('render', 'intent_id')} % 100 < 50"
+
+
+@query(f"""WITH {_RECORDS}, g AS (SELECT *, CASE WHEN {_GATE} THEN {S.shift_context('context_summary', 'persona_archetype')} ELSE context_summary END AS ctx FROM records)
+SELECT intent_id, 'System: ' || {_SYSTEM} || chr(10) || 'Context: ' || ctx || chr(10) || 'User Intent: ' || user_intent || chr(10) || 'Persona: ' || persona_archetype || chr(10) || 'User: ' || CASE WHEN {_GATE} THEN {S.adjust_prompt('application_prompt', 'ctx')} ELSE application_prompt END || chr(10) || 'Assistant: ' || ideal_response_final || chr(10) AS text FROM g""")
+def chat_render(spark, sf_dir):
+    return H.render(records(spark, sf_dir), "intent_id").select("intent_id", "text")
+
+
+@query(f"WITH {_RECORDS} SELECT conv_id, variant, CASE WHEN variant = 1 THEN 'missing_field' END AS reject_reason FROM records")
+def required_fields(spark, sf_dir):
+    some = records(spark, sf_dir).withColumn("user_intent", F.when(F.col("variant") != 1, F.col("user_intent")))
+    return H.render(some).select("conv_id", "variant", "reject_reason")
+
+
+pair_query("instruction_prompt", lambda: H.instruction(F.col("prompt")), "'[INST]' || prompt || '[/INST]'", "text")
+_CODES = "list_transform(list_filter(string_split(%s, ''), lambda c: c <> ''), lambda c: unicode(c) %% 255)"
+
+
+def ints(array: Column) -> Column:
+    return F.array_join(F.transform(array, lambda x: x.cast("string")), " ")
+
+
+@query(f"SELECT item_id, array_to_string({_CODES % 'text'}[1:64], ' ') AS ids FROM benchmark")
+def char_tokens(spark, sf_dir):
+    return T.tokenize(read(spark, sf_dir, "benchmark"), T.CharacterTokenizer(), most=64).select("item_id", ints(F.col("input_ids")).alias("ids"))
+
+
+_TEMPLATE = [101, 114]
+_BATCH = f"""t AS (SELECT item_id, item_id // 8 AS batch_id, {_CODES % 'text'}[1:40 + item_id % 17] AS ids FROM benchmark), w AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS n FROM t),
+p AS (SELECT item_id, batch_id, len(ids) AS k, ids || list_transform(range(n - len(ids)), lambda z: 0) AS ids FROM w),
+s AS (SELECT *, coalesce(list_min(list_filter(range(1, len(ids)), lambda i: ids[i] = {_TEMPLATE[0]} AND ids[i + 1] = {_TEMPLATE[1]})) + 1, len(ids)) AS start FROM p)"""
+
+
+def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = F.slice(T.CharacterTokenizer().ids(F.col("text")), F.lit(1), (F.lit(40) + F.col("item_id") % 17).cast("int"))
+    rows = read(spark, sf_dir, "benchmark").select("item_id", F.floor(F.col("item_id") / 8).alias("batch_id"), ids.alias("input_ids"))
+    return T.collate(rows, "batch_id", _TEMPLATE)
+
+
+@query(f"WITH {_BATCH} SELECT item_id, array_to_string(ids, ' ') AS ids, array_to_string(list_transform(ids, lambda x: CASE WHEN x = 0 THEN 0 ELSE 1 END), ' ') AS mask FROM s")
+def pad_batch(spark, sf_dir):
+    return batches(spark, sf_dir).select("item_id", ints(F.col("input_ids")).alias("ids"), ints(F.col("attention_mask")).alias("mask"))
+
+
+@query(f"WITH {_BATCH} SELECT item_id, start, array_to_string(list_transform(ids, lambda x, i: CASE WHEN i - 1 < start OR x = 0 THEN -100 ELSE x END), ' ') AS labels FROM s")
+def label_mask(spark, sf_dir):
+    return batches(spark, sf_dir).select("item_id", T.response_start(F.col("input_ids"), _TEMPLATE).cast("bigint").alias("start"), ints(F.col("labels")).alias("labels"))
+
+
+@query("SELECT item_id, CASE WHEN item_id % 3 = 0 THEN '1 1 1 1' WHEN item_id % 3 = 1 THEN '0 1 1 1' ELSE '1 0 1 0' END AS mask FROM benchmark")
+def mask_repair(spark, sf_dir):
+    ids, k = F.array(*map(F.lit, (5, 0, 6, 0))), F.col("item_id") % 3
+    mask = F.when(k == 0, F.array().cast("array<int>")).when(k == 1, F.array(*map(F.lit, (0, 1, 1, 1, 1, 0))))
+    return read(spark, sf_dir, "benchmark").select("item_id", ints(T.mended(mask, ids)).alias("mask"))
+
+
+@query(f"SELECT doc_id, len({S.words('text')}) <= 300 AS fits FROM documents")
+def token_length(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", (F.size(words(F.col("text"))) <= 300).alias("fits"))
+
+
+# Sources
+_LINE_SQL = """CASE event_id % 7 WHEN 0 THEN '  ' WHEN 1 THEN substr(props, 1, len(props) - 1) WHEN 2 THEN '[' || props || ']' WHEN 3 THEN '{"messages": [' || '{"role": "user", "content": "' || event_type || '"}' || ']}' WHEN 4 THEN '{"messages": "none"}' WHEN 5 THEN 'null' ELSE props END"""
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, p = F.col("event_id") % 7, F.col("props")
+    line = F.when(k == 0, "  ").when(k == 1, F.expr("substr(props, 1, length(props) - 1)")).when(k == 2, F.concat(F.lit("["), p, F.lit("]"))).when(k == 3, F.concat(F.lit('{"messages": [{"role": "user", "content": "'), F.col("event_type"), F.lit('"}]}'))).when(k == 4, F.lit('{"messages": "none"}')).when(k == 5, "null").otherwise(p)
+    return read(spark, sf_dir, "events").select("event_id", line.alias("value"))
+
+
+def _reason_sql(dialect: str) -> str:
+    of = {"chat": "WHEN 2 THEN 'not_object' WHEN 4 THEN 'no_messages' WHEN 5 THEN 'not_object' WHEN 6 THEN 'no_messages'", "object": "WHEN 2 THEN 'not_object' WHEN 5 THEN 'not_object'", "any": ""}[dialect]
+    return f"CASE event_id % 7 WHEN 0 THEN 'blank' WHEN 1 THEN 'malformed' {of} END"
+
+
+def _jsonl(dialect: str) -> None:
+    QUERIES[f"jsonl_{dialect}"] = lambda spark, sf_dir: jsonl.parsed(event_lines(spark, sf_dir), dialect).select("event_id", "reject_reason", F.get("messages", F.lit(0))["content"].alias("first"))
+    ORACLE_SQL[f"jsonl_{dialect}"] = f"SELECT event_id, {_reason_sql(dialect)} AS reject_reason, CASE WHEN event_id % 7 = 3 THEN event_type END AS first FROM events"
+
+
+for _d in ("chat", "object", "any"):
+    _jsonl(_d)
+
+
+@query("SELECT CASE WHEN event_id % 7 = 3 THEN 'chat' ELSE 'other' END AS kind, count(*) AS n FROM events WHERE event_id % 7 NOT IN (0, 1) GROUP BY 1")
+def jsonl_kinds(spark, sf_dir):
+    return jsonl.kept(event_lines(spark, sf_dir), "any").groupBy(F.col("record_kind").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH l AS (SELECT page_id, regexp_extract_all(html, '(?s)<a [^>]*?href="(.*?)"[^>]*>(.*?)</a>', 1)[1:5] AS u, regexp_extract_all(html, '(?s)<a [^>]*?href="(.*?)"[^>]*>(.*?)</a>', 2)[1:5] AS t FROM pages), x AS (SELECT page_id, unnest(u) AS u, unnest(t) AS t, unnest(range(len(u))) AS "at" FROM l) SELECT page_id, "at", trim(u) AS url, trim(t) AS title FROM x""")
+def anchor_extract(spark, sf_dir):
+    links = read(spark, sf_dir, "pages").select("page_id", F.posexplode(K.anchors(F.col("html"))).alias("at", "a"))
+    return links.select("page_id", F.col("at").cast("bigint").alias("at"), "a.url", "a.title")
+
+
+_PROFILES = "SELECT s_suppkey, (s_suppkey % 5 + 1) * 4294967296 AS vram, (s_suppkey % 4 + 1) * 10737418240 AS ram, s_suppkey % 3 AS gpus, CASE WHEN s_suppkey % 2 = 0 THEN 'Windows' ELSE 'Linux' END AS os, ['fast', 'quality', 'balanced', 'low_memory'][s_suppkey % 4 + 1] AS preset FROM supplier"
+
+
+@query(f"""WITH p AS ({_PROFILES}), b AS (SELECT *, CASE WHEN vram < 8589934592 THEN CASE WHEN preset = 'low_memory' THEN 2 ELSE 4 END WHEN vram < 12884901888 THEN 4 WHEN preset = 'fast' THEN 8 ELSE 4 END AS batch, CASE preset WHEN 'fast' THEN 16 WHEN 'low_memory' THEN 4 ELSE 8 END AS least FROM p)
+SELECT s_suppkey, CAST(batch AS BIGINT) AS batch, CAST(greatest(1, ceil(least / (batch * greatest(gpus, 1)))) AS BIGINT) AS accumulation, CAST(CASE WHEN os = 'Windows' THEN CASE WHEN preset = 'low_memory' THEN 0 ELSE 2 END WHEN ram < 17179869184 THEN 0 WHEN ram < 34359738368 THEN 2 WHEN preset = 'low_memory' THEN 2 ELSE 4 END AS BIGINT) AS workers FROM b""")
+def hardware_presets(spark, sf_dir):
+    k = F.col("s_suppkey")
+    profiles = read(spark, sf_dir, "supplier").select("s_suppkey", ((k % 5 + 1) * 4 * presets.GIB).alias("vram_bytes"), ((k % 4 + 1) * 10 * presets.GIB).alias("system_ram_bytes"), (k % 3).alias("gpu_count"), F.when(k % 2 == 0, "Windows").otherwise("Linux").alias("os_name"), F.element_at(D.strings(list(presets.PRESETS)), (k % 4 + 1).cast("int")).alias("preset"))
+    return presets.recommended(profiles).select("s_suppkey", *(F.col(c).cast("bigint").alias(c) for c in ("batch", "accumulation", "workers")))
