@@ -10,7 +10,7 @@ whole ball. All who meet in one variant of that are within twice half the radius
 linked to the least of them: exact, and linear in the members.
 
 Defined results. Null, empty or wordless text: fingerprint 0. Empty table: empty result. Repeated
-rows: each stays, in one component. A component without any doc_id: component_id null. Very long texts: whole. Extra columns are dropped by ``near_duplicates`` and kept by ``keep_one``.
+rows: each stays, in one component. A component without any doc_id: component_id null. Very long texts: whole. Extra columns are dropped.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -179,17 +179,3 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, radius: int = RADIUS, wor
     arrow_batches(docs.sparkSession)
     named = salted_join(rooted.select("fp", "root"), least, "root", ["fp"], "inner").select("fp", "component_id")
     return salted_join(marked, named, "fp", ["doc_id"], "inner").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, scratch: Scratch, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
-    """``docs`` less all but one row of each component: the least doc_id, of its rows the least by text hash.
-
-    Only ids move: the survivors' ids are joined back to the documents. Rows without doc_id are in no component here and stay.
-    """
-    named = near_duplicates(docs.where("doc_id IS NOT NULL").select("doc_id", "text"), scratch, radius, words)
-    heads = scratch.put(named.where("doc_id = component_id").select(F.col("doc_id").alias("_head")).distinct())
-    kept = docs.join(heads, docs["doc_id"] == heads["_head"], "left_semi")
-    # Rows that share a doc_id as well as a component: one of them.
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), *[c for c in docs.columns if c not in ("doc_id", "text")])
-    kept = kept.withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
-    return kept.unionByName(docs.where("doc_id IS NULL"))

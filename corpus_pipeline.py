@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from convmill.llm import mixing, packing, pii, simhash, toxicity
+from convmill.llm import mixing, packing, pii, similar, toxicity
 from convmill.llm.common import Scratch, table
 
 
@@ -20,8 +20,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of near duplicates."""
-    return simhash.keep_one(docs, Scratch(spark))
+    """The document with the least doc_id of each group of near duplicates: five-word shingles alike by 0.8, or SimHash fingerprints within 4 bits."""
+    return similar.keep_one(docs, Scratch(spark))
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
