@@ -47,7 +47,10 @@ PATTERNS = {
     "card": r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]?\d{1,4})?)(?![\p{L}\p{N}])",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE} {_PART}(?: {_PART})?|{_GIVEN} {_PART})",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: What a mention of a kind can begin with: a cheap look ahead of the pattern itself.
+_BEGINS = {"secret": "[tTsSpPaA]", "email": "", "iban": "[A-Z]", "ip": r"\d", "ssn": r"\d", "phone": r"[+(\d]", "card": r"\d", "name": r"\p{Lu}"}
+#: All kinds begin where no letter or digit precedes, which one look behind settles for most positions of a text.
+ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{f'(?={_BEGINS[k]})' if _BEGINS[k] else ''}{p})" for k, p in PATTERNS.items()) + ")"
 _SECRET_VALUE = r"""^(.*?[=:]\s{0,3}["']?)([^=:\s"']+)$"""
 #: Syllables from which names are built, by script.
 _ONSETS = {"latin": list("bdfgklmnprstvz"), "cyrillic": list("бдгклмнпрствз")}
