@@ -70,15 +70,15 @@ def arrow_batches(spark: SparkSession, rows: int = 512, mb: int = 16) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{mb}m")
 
 
-def running(df: DataFrame, parts: Sequence[str], order: Sequence[str], value: str, out: str, buckets: int = 256) -> DataFrame:
+def running(df: DataFrame, parts: Sequence[str], order: Sequence[str], value: str, out: str, buckets: int = 256, bucket: Column | None = None) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows before this one, in each of ``parts``.
 
-    The order is by a hash of ``order``, then ``order`` itself. No task holds all rows of a part:
+    The order is by ``bucket``, a hash of ``order`` unless given, then by ``order`` itself. No task holds all rows of a part:
     each part is dealt into ``buckets`` by that hash, bucket sums (parts x buckets rows) give the
     offsets, and a window runs within one bucket only. ``df`` is read twice, so it should be a
     written table. Null parts count as a part of their own.
     """
-    keyed = df.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    keyed = df.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(buckets)) if bucket is None else bucket)
     for i, p in enumerate(parts):
         keyed = keyed.withColumn(f"_p{i}", F.coalesce(F.xxhash64(p), F.lit(0)) if dict(df.dtypes)[p] == "string" else F.coalesce(F.col(p).cast("long"), F.lit(-1)))
         keyed = keyed.withColumn(f"_n{i}", F.col(p).isNull())

@@ -83,12 +83,14 @@ def time_at(share: Column, schedule: Column) -> Column:
 
 def mix(docs: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, share: float = SHARE_OF_ALL, schedules: tuple = SCHEDULES, seed: int = 17) -> DataFrame:
     """doc_id, source, text_key, size, source_size, target, and takes: array of (pass, words, position)."""
-    slim = scratch.put(docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"), words_in(F.col("text")).alias("size")).withColumn("order_key", F.xxhash64(F.lit(seed), "doc_id", "text_key")))
+    slim = docs.select("doc_id", "source", F.md5("text").alias("text_key"), words_in(F.col("text")).alias("size"))
+    slim = scratch.put(slim.withColumn("order_key", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), "text_key"))))
     goals = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share).withColumnRenamed("source", "goal_source")
-    placed = running(slim, ["source"], ["order_key", "doc_id", "size"], "size", "before")
+    # Buckets are the leading hex digits of the order key, so the order is that of the key itself.
+    placed = running(slim, ["source"], ["order_key", "doc_id", "size"], "size", "before", bucket=F.left("order_key", F.lit(2)))
     # One row per source and bucket is what the source-level values are attached to by shuffle; the hot source is dealt over 64 copies of its row.
     dealt = goals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(63))))
-    placed = placed.withColumn("salt", F.pmod("order_key", F.lit(64)).cast("int"))
+    placed = placed.withColumn("salt", F.pmod(F.xxhash64("order_key"), F.lit(64)).cast("int"))
     both = placed.join(dealt, placed["source"].eqNullSafe(dealt["goal_source"]) & (placed["salt"] == dealt["salt"])).drop(dealt["salt"])
     schedule = F.element_at(_knots(schedules), (F.col("rank") % len(schedules) + 1).cast("int"))
     limit = F.floor("target")
@@ -115,7 +117,7 @@ def training_order(mixed: DataFrame, scratch: Scratch) -> DataFrame:
 def per_document(mixed: DataFrame, scratch: Scratch) -> DataFrame:
     """One row per document, by first position; those not taken follow in keyed order, with a null position."""
     first = F.get(F.col("takes"), 0)["position"]
-    rest = 1.0 + F.pmod("order_key", F.lit(1 << 30)) / float(1 << 30)
+    rest = 1.0 + F.pmod(F.xxhash64("order_key"), F.lit(1 << 30)) / float(1 << 30)
     flat = mixed.select("doc_id", "source", "size", "source_size", "target", F.aggregate("takes", F.lit(0).cast("long"), lambda a, t: a + t["words"]).alias("taken"), F.size("takes").cast("long").alias("passes"), first.alias("position"), F.coalesce(first, rest).alias("place"))
     return range_sorted(flat, scratch, "place").drop("place")
 
@@ -132,7 +134,7 @@ def mixed_documents(docs: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS,
     named = lambda df: df.withColumn("_key", F.xxhash64(*keys)).withColumns({f"_{k}": F.col(k) for k in keys})
     places = scratch.put(named(taken).groupBy("_key", "_doc_id", "_source", "_text_key").agg(F.collect_list(F.struct("t.position", "order_key", "t.pass")).alias("_places")))
     own = [F.col(f"d.`{c}`") for c in docs.columns]
-    keyed = docs.select(F.struct(*docs.columns).alias("d")).select("d", F.col("d.doc_id").alias("doc_id"), F.col("d.source").alias("source"), F.xxhash64("d.text").alias("text_key"))
+    keyed = docs.select(F.struct(*docs.columns).alias("d")).select("d", F.col("d.doc_id").alias("doc_id"), F.col("d.source").alias("source"), F.md5("d.text").alias("text_key"))
     once = keyed.withColumn("_key", F.xxhash64(*keys)).dropDuplicates(["_key", *keys])
     met = once.join(places, (once["_key"] == places["_key"]) & once["doc_id"].eqNullSafe(places["_doc_id"]) & once["source"].eqNullSafe(places["_source"]) & (once["text_key"] == places["_text_key"]))
     flat = met.select("d", F.explode("_places").alias("p")).select(*own, F.col("p.position").alias("_position"), F.col("p.order_key").alias("_order"), F.col("p.pass").alias("_pass"))

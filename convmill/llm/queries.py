@@ -59,7 +59,39 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
-    return mixing.per_document(mixing.mix(table(spark, sf_dir, "documents"), scratch), scratch)
+    mixed = mixing.per_document(mixing.mix(table(spark, sf_dir, "documents"), scratch), scratch)
+    return mixed.withColumn("position", F.round("position", 9))
+
+
+def _time_sql(share: str) -> str:
+    """The inverse of each schedule's integral, as in ``mixing.time_at``."""
+    out = []
+    for k, knots in enumerate(mixing.SCHEDULES):
+        segments, total = [], 0.0
+        for (t0, w0), (t1, w1) in zip(knots, knots[1:]):
+            segments.append((t0, w0, (w1 - w0) / (t1 - t0), t1 - t0, total))
+            total += (w0 + w1) / 2 * (t1 - t0)
+        y = f"({share} * {total!r}::DOUBLE)"
+        cases = " ".join(
+            f"WHEN {y} >= {b!r} THEN {t!r}::DOUBLE + least(coalesce(2.0::DOUBLE * ({y} - {b!r}::DOUBLE) / nullif({w!r}::DOUBLE + sqrt(greatest({w!r}::DOUBLE * {w!r}::DOUBLE + 2.0::DOUBLE * {s!r}::DOUBLE * ({y} - {b!r}::DOUBLE), 0)), 0), 0), {d!r}::DOUBLE)"
+            for t, w, s, d, b in reversed(segments)
+        )
+        out.append(f"WHEN {k} THEN CASE {cases} END")
+    return f"CASE rank % {len(mixing.SCHEDULES)} {' '.join(out)} END"
+
+
+OP9_SQL = rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(concat_ws('|', '17', CAST(doc_id AS VARCHAR), md5(text))) AS k FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS rank FROM d GROUP BY source),
+w AS (SELECT *, [5.0, 2.0, 1.0][rank % 3 + 1]::DOUBLE AS w, 2.0::DOUBLE * source_size AS cap FROM s),
+b AS (SELECT *, 1.5::DOUBLE * sum(source_size) OVER () AS budget, sum(w) OVER () AS all_w, coalesce(sum(cap) OVER o, 0) AS cap_before, coalesce(sum(w) OVER o, 0) AS w_before FROM w WINDOW o AS (ORDER BY cap / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT *, cap / w <= (budget - cap_before) / (all_w - w_before) AS capped FROM b),
+t AS (SELECT source, source_size, rank, CASE WHEN capped THEN cap ELSE (budget - sum(CASE WHEN capped THEN cap ELSE 0 END) OVER ()) / nullif(sum(CASE WHEN capped THEN 0 ELSE w END) OVER (), 0) * w END AS target FROM c),
+r AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d),
+x AS (SELECT r.*, t.source_size, t.target, t.rank, greatest(least(floor(target)::BIGINT - before, size), 0) AS t0, greatest(least(floor(target)::BIGINT - before - source_size, size), 0) AS t1 FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, source, size, source_size, target, t0 + t1 AS taken, (CASE WHEN t0 > 0 THEN 1 ELSE 0 END + CASE WHEN t1 > 0 THEN 1 ELSE 0 END)::BIGINT AS passes,
+  CASE WHEN t0 > 0 THEN round({_time_sql("least(coalesce((before + t0 / 2) / nullif(target, 0), 0), 1)")}, 9) END AS position FROM x
+"""
 
 
 def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,4 +99,4 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_sharding": op1_sharding, "op2_pii": op2_pii, "op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op6_simhash": op6_simhash, "op7_toxicity": op7_toxicity, "op8_packing": op8_packing, "op9_mixing": op9_mixing, "op10_hmm": op10_hmm}
-ORACLE_SQL = {"op5_url_filters": OP5_SQL}
+ORACLE_SQL = {"op5_url_filters": OP5_SQL, "op9_mixing": OP9_SQL}
