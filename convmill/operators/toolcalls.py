@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import ast
+import json
 import operator
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,6 +93,58 @@ def extract_calls(df: DataFrame, text: str, key: list[str]) -> DataFrame:
     return df.select(*key, F.posexplode(parsed).alias("call", "c")).select(*key, F.col("call").cast("bigint").alias("call"), "c.name", F.from_json("c.arguments", "map<string,string>").alias("arguments"))
 
 
+def find_calls(text: str | None) -> list[dict]:
+    """Every tool call of a text that parses and has a name and arguments, at any depth of nesting."""
+    out, decoder = [], json.JSONDecoder()
+    for m in re.finditer(r'\{"tool_call"', text or ""):
+        try:
+            call = decoder.raw_decode(text, m.start())[0]["tool_call"]
+        except (ValueError, KeyError, TypeError):
+            continue
+        if isinstance(call, dict) and "name" in call and "arguments" in call:
+            out.append(call)
+    return out
+
+
+def extract_calls_at_any_depth(df: DataFrame, text: str, key: list[str]) -> DataFrame:
+    """As ``extract_calls`` without its bound on nesting; arguments are JSON text. Texts cross to Python by Arrow, in batches."""
+
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(lambda t: [json.dumps([str(c["name"]), json.dumps(c["arguments"], ensure_ascii=False)], ensure_ascii=False) for c in find_calls(t)])
+
+    found = F.pandas_udf(find, "array<string>")(F.col(text))
+    pair = F.from_json("c", "array<string>")
+    return df.select(*key, F.posexplode(found).alias("call", "c")).select(*key, F.col("call").cast("bigint").alias("call"), F.get(pair, F.lit(0)).alias("name"), F.get(pair, F.lit(1)).alias("arguments"))
+
+
+def converse(step: Callable[[list[dict]], str], question: str, run: Callable[[str, dict], str], most: int = 5, strict: bool = False) -> str:
+    """Asks ``step`` for an answer, runs the tool calls in it in order and tells it their results, up to ``most`` times.
+
+    The first answer without a call is returned, or the last one. Errors of tools become text; ``strict`` raises them, and on a blank question or answer.
+    """
+    if strict and not question.strip():
+        raise ValueError("the question is blank")
+    messages, answer = [{"role": "user", "content": question}], ""
+    for _ in range(most):
+        answer = step(messages)
+        if strict and not (answer or "").strip():
+            raise ValueError("the answer is blank")
+        calls = find_calls(answer)
+        if not calls:
+            break
+        results = []
+        for call in calls:
+            try:
+                results.append(run(call["name"], call["arguments"]))
+            except Exception as error:
+                if strict:
+                    raise
+                results.append(f"Tool {call['name']} error: {error}")
+        messages += [{"role": "assistant", "content": answer}, {"role": "user", "content": "Tool results: " + "\n".join(results)}]
+    return answer
+
+
 def execute_calls(calls: DataFrame, registry: Registry | None = None) -> DataFrame:
     """``calls`` plus ``result``; equal calls are worked out once and met again."""
     registry = registry or default_registry()

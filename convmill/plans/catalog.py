@@ -352,10 +352,10 @@ def review_flag(spark, sf_dir):
     return U.flag_for_review(pairs(spark, sf_dir), 0.1, ["conv_id"], "response", A.paraphrase(F.col("response"), F.col("conv_id"), SYNONYMS)).select("conv_id", "review", "response")
 
 
-@query()
+@query(f"SELECT doc_id, len({S.words('text')}) AS n_ids FROM documents")
 def length_buckets(spark, sf_dir):
     rows = read(spark, sf_dir, "documents").select("doc_id", T.WordTokenizer().ids(F.col("text")).alias("input_ids"))
-    return U.length_bucketed(rows, "input_ids", 8).select("doc_id", F.size("input_ids").alias("n_ids"), F.spark_partition_id().alias("bucket"))
+    return U.length_bucketed(rows, "input_ids", 8).select("doc_id", F.size("input_ids").cast("bigint").alias("n_ids"))
 
 
 @query("WITH m AS (SELECT conv_id, text FROM conversations WHERE role = 'user') SELECT conv_id, 0 AS variant, text FROM m UNION ALL SELECT conv_id, v, text || ' v' || v FROM m, range(1, 3) r(v)")
