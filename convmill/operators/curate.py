@@ -11,28 +11,30 @@ from pyspark.sql import functions as F
 
 from ..functions import draw as D
 
-BUCKETS = 256
+#: Leading hex digits of a digest that make a bucket.
+DIGITS = 3
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row for each combination of ``keys`` (null differs from empty): the first by ``order``.
 
-    Only the order columns go through the partial aggregation; a hot key is reduced before the shuffle.
+    Keys are compared by a SHA-256 of their JSON form, so the aggregation shuffles digests and order columns only, and a hot key is
+    reduced before the shuffle.
     """
-    first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
-    same = [df[k].eqNullSafe(first[k]) for k in keys] + [F.struct(*(df[o] for o in order)) == first["_first"]]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    return df.join(first, cond, "left_semi")
+    digest = F.sha2(F.to_json(F.struct(*keys)), 256)
+    least = F.min(order[0]) if len(order) == 1 else F.min(F.struct(*order))
+    first = df.select(digest.alias("_digest"), *order).groupBy("_digest").agg(least.alias("_first"))
+    mine = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    kept = df.withColumns({"_d": digest, "_mine": mine})
+    return kept.join(first, (F.col("_d") == F.col("_digest")) & F.col("_mine").eqNullSafe(F.col("_first")), "left_semi").drop("_d", "_mine")
 
 
-def ranked(df: DataFrame, key: list[str], seed: str, out: str = "rank", buckets: int = BUCKETS) -> DataFrame:
+def ranked(df: DataFrame, key: list[str], seed: str, out: str = "rank") -> DataFrame:
     """``out``: 1 to n in the order of md5(seed, key), then the key itself. ``df`` is read twice."""
-    marked = df.withColumn("_h", D.digest(seed, *map(F.col, key))).withColumn("_b", F.conv(F.substring("_h", 1, 2), 16, 10).cast("int") % buckets if buckets < 256 else F.conv(F.substring("_h", 1, 2), 16, 10).cast("int"))
+    marked = df.withColumn("_h", D.digest(seed, *map(F.col, key))).withColumn("_b", F.left("_h", F.lit(DIGITS)))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = marked.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # At most 256 rows of offsets.
+    # At most 4,096 rows of offsets.
     return marked.join(F.broadcast(offsets), "_b").withColumn(out, F.col("_off") + F.row_number().over(Window.partitionBy("_b").orderBy("_h", *key))).drop("_h", "_b", "_off")
 
 
