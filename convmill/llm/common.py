@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -29,7 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor sees; a temporary one only where the cluster names none."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="convmill-")
         spark.conf.set("spark.checkpoint.dir", named)
@@ -48,6 +50,18 @@ class Scratch:
         self.root = f"{shared_dir(spark)}/convmill-{uuid.uuid4().hex}"
         self._count = 0
         self._paths: dict[int, str] = {}
+        atexit.register(self.close)
+
+    def _delete(self, path: str) -> None:
+        jvm_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        jvm_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+    def close(self) -> None:
+        """Removes all tables; done at the end of the driver's process, if its context is still there."""
+        atexit.unregister(self.close)
+        if self.spark.sparkContext._jsc is not None:
+            with contextlib.suppress(Exception):
+                self._delete(self.root)
 
     def put(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{self._count}"
@@ -60,8 +74,7 @@ class Scratch:
     def drop(self, df: DataFrame) -> None:
         path = self._paths.pop(id(df), None)
         if path:
-            jvm_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            jvm_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+            self._delete(path)
 
 
 def arrow_batches(spark: SparkSession, rows: int = 512, mb: int = 16) -> None:

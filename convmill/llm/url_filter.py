@@ -50,8 +50,8 @@ def bloom_blocks(keys: DataFrame, blocks: int) -> DataFrame:
 def judge(pages: DataFrame, rules: DataFrame, otherwise: str = "allow") -> DataFrame:
     """``pages`` (with ``url``) plus host, path, rule (null: none fits) and verdict. ``rules``: host, path, verdict."""
     listed = rules.select(F.concat("host", "path").alias("key"), "host", "path", "verdict").groupBy("key").agg(F.max("verdict").alias("listed_verdict"), F.max(F.size(F.split("host", r"\."))).alias("labels"), F.max(F.length("path")).alias("path_len"))
-    # One row: the number of keys, most labels, and the distinct path lengths (as many as the longest listed path has characters, at most).
-    facts = listed.agg(F.count(F.lit(1)).alias("n"), F.max("labels").alias("labels"), F.sort_array(F.collect_set("path_len")).alias("lens")).first()
+    # One row: the number of keys and their bytes, most labels, and the distinct path lengths (as many as the longest listed path has characters, at most).
+    facts = listed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("key") + 64), F.lit(0)).alias("bytes"), F.max("labels").alias("labels"), F.sort_array(F.collect_set("path_len")).alias("lens")).first()
     n, labels, lens = facts["n"], facts["labels"] or 0, facts["lens"] or []
     blocks = max(1, -(-n * BITS_PER_KEY // 256))
     listed = listed.select("key", "listed_verdict")
@@ -71,7 +71,7 @@ def judge(pages: DataFrame, rules: DataFrame, otherwise: str = "allow") -> DataF
         possible = possible.where(F.col(f"w{i}").bitwiseAND(_mask(F.col("key"), i)) != 0)
     # The listed keys of hosts such as "com" are asked for by a large share of the pages: past the broadcast bound, deal those over salts.
     possible = possible.select("_at", "key")
-    exact = possible.join(F.broadcast(listed), "key") if n * 100 <= BROADCAST_BYTES else salted_join(possible, listed, "key", ["_at"], "inner")
+    exact = possible.join(F.broadcast(listed), "key") if facts["bytes"] <= BROADCAST_BYTES else salted_join(possible, listed, "key", ["_at"], "inner")
     best = exact.groupBy("_at").agg(F.max(F.struct(F.length("key"), "key", "listed_verdict")).alias("_best"))
     return (
         salted_join(seen, best, "_at", own, "left")
