@@ -36,9 +36,11 @@ ENDING = 3
 STATES = 8
 ROUNDS = 7
 PIECE = 128
+#: Tokens that one step of Baum-Welch holds at once.
+STEP_TOKENS = 1 << 18
 SEED = 20
 #: Words that a worker counts before it passes the counts on.
-FLUSH_WORDS = 300_000
+FLUSH_WORDS = 200_000
 #: Pseudo-counts: of the symbol frequencies in each state's emissions, and of each transition.
 PRIOR_EMISSION, PRIOR_MOVE = 200.0, 1.0
 
@@ -168,14 +170,32 @@ def begin(vocabulary: Vocabulary, states: int = STATES, seed: int = SEED) -> Mod
     return Model(even, even, 0.8 * np.eye(states) + 0.2 / states, emit / emit.sum(0))
 
 
-def expected(model: Model, sequences: list[np.ndarray], piece: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float]:
-    """Expected emissions, moves, document starts and piece starts, and the log likelihood of the pieces."""
+def steps_of(sequences: list[np.ndarray], piece: int = PIECE, most: int = STEP_TOKENS) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """The sequences in steps of bounded size, and whether each begins a document; long ones are cut where pieces are cut anyway."""
+    held, begins, tokens = [], [], 0
+    span = max(piece, most // piece * piece)
+    for s in sequences:
+        for i in range(0, len(s), span):
+            part = s[i : i + span]
+            if held and tokens + len(part) > most:
+                yield held, np.array(begins)
+                held, begins, tokens = [], [], 0
+            held.append(part)
+            begins.append(i == 0)
+            tokens += len(part)
+    if held:
+        yield held, np.array(begins)
+
+
+def expected(model: Model, sequences: list[np.ndarray], piece: int = PIECE, begins: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected emissions, moves, document starts and piece starts, and the log likelihood of the pieces. ``begins``: which sequences begin a document (all)."""
     symbols, states = model.emit.shape
     lengths = np.array([len(s) for s in sequences])
     pieces = -(-lengths // piece)
     total = int(pieces.sum())
     x = np.full((total, piece), symbols, np.int64)
     first = np.concatenate([[0], np.cumsum(pieces)[:-1]])
+    opening = first if begins is None else first[begins]
     flat = np.concatenate(sequences)
     owner = np.repeat(np.arange(len(sequences)), lengths)
     inner = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -189,7 +209,7 @@ def expected(model: Model, sequences: list[np.ndarray], piece: int = PIECE) -> t
     alpha = np.empty_like(seen)
     scale = np.empty((piece, total), np.float32)
     prior = np.tile(model.inside, (total, 1))
-    prior[first] = model.start
+    prior[opening] = model.start
     now = prior.astype(np.float32) * seen[0]
     for t in range(piece):
         if t:
@@ -209,7 +229,7 @@ def expected(model: Model, sequences: list[np.ndarray], piece: int = PIECE) -> t
     at = x.ravel()
     emissions = np.stack([np.bincount(at, weight[:, k], symbols + 1)[:symbols] for k in range(states)], axis=1)
     begun = np.zeros(total, bool)
-    begun[first] = True
+    begun[opening] = True
     loglik = float(np.log(scale[real], dtype=np.float64).sum())
     return emissions, moves * model.move, alpha[0][begun].sum(0, dtype=np.float64), alpha[0][~begun].sum(0, dtype=np.float64), loglik
 
@@ -235,9 +255,10 @@ def baum_welch(encoded: DataFrame, vocabulary: Vocabulary, states: int = STATES,
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                emissions, moves, starts, inside, loglik = expected(model, _sequences(batch.column(0)))
-                rows = np.vstack([emissions, moves, starts, inside, np.full(states, loglik / states)])
-                sums = rows if sums is None else sums + rows
+                for sequences, begins in steps_of(_sequences(batch.column(0))):
+                    emissions, moves, starts, inside, loglik = expected(model, sequences, begins=begins)
+                    rows = np.vstack([emissions, moves, starts, inside, np.full(states, loglik / states)])
+                    sums = rows if sums is None else sums + rows
             if sums is not None:
                 at = np.flatnonzero(sums.any(1))
                 yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array(sums[at, k]) for k in range(states))], names=["at", *names])

@@ -49,6 +49,14 @@ def test_forward_and_expected_counts_equal_sums_over_paths():
     assert np.allclose(emissions, cut[0][1] + cut[1][1], atol=1e-4) and np.allclose(inside, cut[1][3], atol=1e-4)
 
 
+def test_steps_change_nothing():
+    m, rng = small(symbols=9), np.random.default_rng(1)
+    xs = [rng.integers(0, 9, n) for n in (1, 700, 3, 40, 8, 300)]
+    whole = hmm.expected(m, xs, piece=8)
+    parts = [hmm.expected(m, s, 8, b) for s, b in hmm.steps_of(xs, 8, 100)]
+    assert len(parts) > 5 and all(np.allclose(w, sum(p[i] for p in parts), rtol=1e-4) for i, w in enumerate(whole))
+
+
 def brute_base(rows):
     words = lambda t: (t or "").encode().lower().split()
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
