@@ -77,3 +77,25 @@ def test_mixing_repeats_and_orders_odd_rows(spark):
     assert got.columns == docs.columns
     assert all(tuple(r)[:5] in rows for r in got.collect()) and got.count() >= 4
     assert mixing.mixed_documents(docs.limit(0), Scratch(spark)).count() == 0
+
+
+def test_every_stage_takes_odd_and_empty_tables(spark, tmp_path):
+    long = " ".join(f"word{i}" for i in range(30000))
+    rows = [(None, None, None, None, None), (None, "you idiot " * 9, "en", "a", 90), (1, "", "en", "a", 0), (1, "", "en", "a", 0), (2, None, "de", None, 1), (3, "mail me@x.org or +1 (017) 555-7713", None, "b", 5), (4, long, "en", "b", 1), (5, long + " end", "en", "c", 1), (6, " \n\t", "fr", "c", 3), (6, "same id, other text", "fr", "c", 3)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema).withColumns({"score": F.lit("mine"), "id": F.lit(1), "fp": F.lit(None).cast("long"), "size": F.lit(2), "kinds": F.lit("k"), "length": F.lit(0.5)})
+    labels = [(i, 1, int(i % 3 == 0)) for i in range(30)]
+    for name, table in (("odd", docs), ("empty", docs.limit(0))):
+        d = f"{tmp_path}/{name}"
+        table.write.parquet(f"{d}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+        now = spark.read.parquet(f"{d}/documents.parquet")
+        for i, (stage, f) in enumerate(corpus_pipeline.STAGES):
+            f(spark, now, d).write.parquet(f"{d}/{stage}")
+            now = spark.read.parquet(f"{d}/{stage}")
+            assert i == 4 or set(COLUMNS) <= set(now.columns)
+            if name == "empty":
+                assert now.count() == 0
+        assert corpus_pipeline.run(spark, d).count() == now.count()
+    near = spark.read.parquet(f"{tmp_path}/odd/near_dedup").select("doc_id").collect()
+    assert sum(r.doc_id is None for r in near) == 2 and {4} == {4, 5} & {r.doc_id for r in near}
