@@ -11,7 +11,9 @@ document's ids in memory at a time. Extra columns are dropped.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +27,11 @@ MAX_LENGTH = 2048
 END_ID = 1
 #: Words whose ids a worker keeps; beyond that it starts anew. A cache only: results don't depend on it.
 CACHE_WORDS = 500_000
+#: Letters that lower-case one by one and have no decomposed form to mind: a-z and those of Latin-1.
+_LETTERS = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on, in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_FORMS = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -58,18 +65,27 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def _learn(self, chunks: list[bytes]) -> None:
-        for i in range(0, len(chunks), 4096):
-            some = chunks[i : i + 4096]
+        """Chunks of Latin letters alone are one token run of known form and go to the vocabulary's model directly; others take the whole way."""
+        known, model, others = self.known, self.tokenizer.model, []
+        for c in chunks:
+            text = c.decode("utf-8", "replace")
+            if _LETTERS.fullmatch(text):
+                form = text if text.isascii() else text.lower().encode().decode("latin-1").translate(_FORMS)
+                known[c] = array("I", [t.id for t in model.tokenize(form)]).tobytes()
+            else:
+                others.append((c, text))
+        for i in range(0, len(others), 4096):
+            some = others[i : i + 4096]
             # One encoding of many chunks, told apart by their offsets: far less overhead than one call each.
-            starts, at, texts = [], 0, [c.decode("utf-8", "replace") for c in some]
-            for t in texts:
+            starts, at = [], 0
+            for _, t in some:
                 starts.append(at)
                 at += len(t) + 1
-            enc = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            enc = self.tokenizer.encode(" ".join(t for _, t in some), add_special_tokens=False)
             ids = np.array(enc.ids, "<u4")
             cut = np.searchsorted(np.array([a for a, _ in enc.offsets], np.int64), starts)
             packed, cut = ids.tobytes(), [*(4 * cut).tolist(), 4 * len(ids)]
-            self.known.update(zip(some, [packed[a:b] for a, b in zip(cut, cut[1:])]))
+            known.update(zip((c for c, _ in some), [packed[a:b] for a, b in zip(cut, cut[1:])]))
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         for text in texts:

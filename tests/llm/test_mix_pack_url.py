@@ -57,6 +57,14 @@ def test_packing_equals_whole_text_encoding(spark):
     packed_equals(queries.op8_packing(spark, SF).collect(), [(r.doc_id, r.text) for r in texts])
 
 
+def test_letters_of_latin_1_go_to_the_model_alike():
+    letters = [chr(c) for c in range(0xC0, 0x250) if chr(c).isalpha()]
+    words = letters + [f"x{a}y{b}" for a in letters[:70] for b in ("e", "Z", "ß")] + ["STRASSE", "naïve", "ÆSOP", "e\u0301", "İ", "ǅ", "µm", "x\u00d7y", "ﬁn", "Σας"]
+    text = " ".join(words)
+    encoder, tok = packing.WordEncoder(VOCAB), Tokenizer.from_file(VOCAB)
+    assert next(encoder.encode([text.encode()])) == b"".join(i.to_bytes(4, "little") for i in tok.encode(text, add_special_tokens=False).ids)
+
+
 def test_packing_odd_rows_and_empty(spark):
     packed_equals(packing.pack(odd(spark), VOCAB, Scratch(spark)).collect(), [r[:2] for r in ODD])
     assert packing.pack(odd(spark).limit(0), VOCAB, Scratch(spark)).count() == 0
