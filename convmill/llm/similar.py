@@ -6,8 +6,10 @@ each block emits its ball of radius 1 (every variant within half the block's rad
 verified: by 64 other bits of the fingerprint at once, then by their sketches. With ``plan`` a pair at 0.8 meets in some block with a
 chance of 98 % or more, and blocks widen with the number of texts, so that chance meetings stay few for each.
 
-A run of more than ``RUN_MOST`` texts in one variant is not paired: each member is held against the ``PIVOTS`` members nearest to the
-run's middle (the majority of their bits), so the work is linear and copies of one text find it there.
+Of the texts that meet in one variant all are held against each other, if they are RUN_MOST or fewer, else against the MIDDLES
+nearest to the run's middle (the majority of their bits). Of the pairs whose check bits are close, each text first keeps those with its
+FEWEST least partners; the pairs to verify are then linear in the texts, whatever the groups. A second round takes every close pair that was left out
+and whose texts are not in one component by then, so none is lost.
 
 A sketch is the SKETCH least hashes of the shingle set, 32 bits of each. For texts of no more shingles it is the set itself, and the
 similarity exact; else it is an estimate with a deviation of 0.025 at 0.8, and pairs down to ``least`` less MARGIN are links.
@@ -35,15 +37,17 @@ WORDS = 5
 LEAST = 0.8
 MARGIN = 0.02
 SKETCH = 256
+RUN_MOST = 32
+MIDDLES = 2
+FEWEST = 2
 RECALL = 0.98
 #: Texts up to which blocks are NARROW bits wide; each doubling adds a bit.
 NARROW, TEXTS = 21, 1 << 18
-RUN_MOST = 32
-PIVOTS = 8
 #: Most differing bits of the 64 that verify a meeting: above 99 % of pairs at 0.8, one in 10,000 of unrelated ones.
 CHECK_BITS = 17
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 ENTRY = np.dtype([("key", "<u8"), ("id", "<i8"), ("check", "<u8")])
+ROOTED = np.dtype([*ENTRY.descr, ("root", "<i8")])
 
 
 def plan(texts: int, least: float = LEAST, recall: float = RECALL) -> tuple[int, int]:
@@ -127,7 +131,7 @@ def prints(docs: DataFrame, words: int, blocks_words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("id"), text.cast("binary").alias("text")).mapInArrow(run, "doc_id long, id long, fp long, print binary, sketch binary")
 
 
-def _entries(width: int, blocks: int, groups: int):
+def _entries(width: int, blocks: int, groups: int, kind: np.dtype = ENTRY):
     per_word = 64 // width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,9 +146,11 @@ def _entries(width: int, blocks: int, groups: int):
                 out = []
                 for block in range(first, min(blocks, first + per_word)):
                     value = words[:, block // per_word] >> np.uint64(block % per_word * width) & np.uint64((1 << width) - 1)
-                    entry = np.empty((len(ids), len(flips)), ENTRY)
+                    entry = np.empty((len(ids), len(flips)), kind)
                     entry["key"] = (value[:, None] ^ flips) | np.uint64(block) << np.uint64(60) if blocks <= 16 else mixed((value[:, None] ^ flips) * np.uint64(4096) + np.uint64(block), 9)
                     entry["id"], entry["check"] = ids[:, None], words[:, -1][:, None]
+                    if kind == ROOTED:
+                        entry["root"] = batch.column(2).to_numpy()[:, None]
                     out.append(entry.ravel())
                 entry = np.concatenate(out)
                 group = (mixed(entry["key"], 3) % np.uint64(groups)).astype(np.int64)
@@ -157,53 +163,97 @@ def _entries(width: int, blocks: int, groups: int):
     return run
 
 
-def _candidates(entry: np.ndarray) -> np.ndarray:
-    """Pairs of ids that meet in a variant and whose check bits are close, of the entries of one group."""
-    entry = entry[np.argsort(entry["key"], kind="stable")]
-    key, ids, check = entry["key"], entry["id"], entry["check"]
+def _runs(entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The entries by key and id, and start and size of each run of one key."""
+    entry = entry[np.lexsort((entry["id"], entry["key"]))]
+    key = entry["key"]
     new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    size = np.diff(np.append(new, len(key)))
-    long = np.repeat(size > RUN_MOST, size)
-    found = []
+    return entry, new, np.diff(np.append(new, len(key)))
 
-    def keep(a: np.ndarray, b: np.ndarray) -> None:
-        near = np.bitwise_count(check[a] ^ check[b]) <= CHECK_BITS
-        a, b = ids[a[near]], ids[b[near]]
-        found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
 
-    few = np.flatnonzero(~long & (np.repeat(size, size) > 1))
+def _close(entry: np.ndarray, new: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all pairs of runs of RUN_MOST or fewer whose check bits are close."""
+    key, check = entry["key"], entry["check"]
+    few, left, right = np.flatnonzero(np.repeat((size > 1) & (size <= RUN_MOST), size)), [], []
     for lag in range(1, RUN_MOST):
-        a = few[: len(few) - lag][key[few[: len(few) - lag]] == key[few[lag:]]] if lag < len(few) else few[:0]
-        if not len(a):
+        a, b = few[: len(few) - lag], few[lag:]
+        same = key[a] == key[b]
+        if not same.any():
             break
-        keep(a, a + lag)
+        a, b = a[same], b[same]
+        ok = np.bitwise_count(check[a] ^ check[b]) <= CHECK_BITS
+        left.append(a[ok])
+        right.append(b[ok])
+    none = np.empty(0, np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
+
+
+def _candidates(entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ids to verify, of the entries of one group, and the ids of which some close pair was left out."""
+    entry, new, size = _runs(entry)
+    ids, check = entry["id"], entry["check"]
+    a, b = _close(entry, new, size)
+    left, right, skipped = [a], [b], []
     for start, n in zip(new[size > RUN_MOST].tolist(), size[size > RUN_MOST].tolist()):
         run = np.arange(start, start + n)
+        skipped.append(ids[run])
         middle = majority(np.ascontiguousarray(check[run]))
-        pivots = run[np.lexsort((ids[run], np.bitwise_count(check[run] ^ middle)))[:PIVOTS]]
-        for p in pivots:
-            keep(np.full(n, p), run)
-    pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-    return np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+        for pivot in run[np.lexsort((ids[run], np.bitwise_count(check[run] ^ middle)))[:MIDDLES]]:
+            other = run[(run != pivot) & (np.bitwise_count(check[run] ^ check[pivot]) <= CHECK_BITS)]
+            left.append(np.minimum(other, pivot))
+            right.append(np.maximum(other, pivot))
+    a, b = np.concatenate(left), np.concatenate(right)
+    # The least ids are the same in many runs, so a group's pairs repeat rather than spread.
+    order = np.lexsort((a, b))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])) if len(b) else order
+    kept = np.arange(len(b)) - np.repeat(first, np.diff(np.append(first, len(b)))) < FEWEST
+    pairs = np.unique(np.stack([ids[a[kept]], ids[b[kept]]], axis=1), axis=0)
+    return pairs, np.unique(np.concatenate([ids[a[~kept]], ids[b[~kept]], *skipped]))
+
+
+def _apart(entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All close pairs of ids that are not in one component yet."""
+    entry, new, size = _runs(entry)
+    ids, check, root = entry["id"], entry["check"], entry["root"]
+    a, b = _close(entry, new, size)
+    left, right = [a], [b]
+    for start, n in zip(new[size > RUN_MOST].tolist(), size[size > RUN_MOST].tolist()):
+        run = np.arange(start, start + n)
+        names, counts = np.unique(root[run], return_counts=True)
+        # The component that most of the run is in meets the others from their side.
+        for p in run[root[run] != names[counts.argmax()]]:
+            other = run[(root[run] != root[p]) & (np.bitwise_count(check[run] ^ check[p]) <= CHECK_BITS)]
+            left.append(np.minimum(other, p))
+            right.append(np.maximum(other, p))
+    a, b = np.concatenate(left), np.concatenate(right)
+    a, b = a[root[a] != root[b]], b[root[a] != root[b]]
+    return np.unique(np.stack([ids[a], ids[b]], axis=1), axis=0), np.empty(0, np.int64)
+
+
+def _met(kind: np.dtype = ENTRY):
+    """Rows come sorted by group; a group's entries are taken together. Ids with pairs left out come with a null partner."""
+    find = _apart if kind == ROOTED else _candidates
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by group; a group's entries are taken together."""
-    now, held = None, []
+        def done() -> pa.RecordBatch:
+            pairs, skipped = find(np.frombuffer(b"".join(held), kind))
+            held.clear()
+            b = pa.array(np.concatenate([pairs[:, 1], skipped]), mask=np.arange(len(pairs) + len(skipped)) >= len(pairs))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([pairs[:, 0], skipped])), b], names=["a", "b"])
 
-    def done() -> pa.RecordBatch:
-        pairs = _candidates(np.frombuffer(b"".join(held), ENTRY))
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        for batch in batches:
+            for group, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if group != now and held:
+                    yield done()
+                now = group
+                held.append(entries)
+        if held:
+            yield done()
 
-    for batch in batches:
-        for group, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if group != now and held:
-                yield done()
-            now = group
-            held.append(entries)
-    if held:
-        yield done()
+    return run
 
 
 def _verify(least: float):
@@ -223,20 +273,34 @@ def distinct_texts(docs: DataFrame, scratch: Scratch, words: int = WORDS, least:
 
 
 def links(texts: DataFrame, scratch: Scratch, width: int, blocks: int, least: float = LEAST) -> DataFrame:
-    """a, b of the texts (id, print, sketch) whose shingle sets are alike by ``least`` or more."""
+    """a, b of the texts (id, print, sketch) whose shingle sets are alike by ``least`` or more; enough of these for their components.
+
+    The first round leaves out close pairs where a text has several; the second takes every one of those whose texts are not in one component by then.
+    """
     spark = texts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # A group holds about 40,000 entries, whatever the number of texts.
-    groups = max(4 * parts, texts.count() * blocks * (width + 1) // 40_000)
-    arrow_batches(spark, rows=4096, mb=64)
-    entries = texts.select("id", "print").mapInArrow(_entries(width, blocks, groups), "group long, entries binary")
-    met = scratch.put(entries.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_met, "a long, b long")).distinct()
-    a = texts.select(F.col("id").alias("a"), F.col("sketch").alias("x"))
-    b = texts.select(F.col("id").alias("b"), F.col("sketch").alias("y"))
-    # Pivots of large groups have many pairs: that side is dealt over salts.
-    both = salted_join(met, a, "a", ["b"], "inner").join(b, "b").select("a", "b", "x", "y")
-    arrow_batches(spark)
-    return scratch.put(both.mapInArrow(_verify(least), "a long, b long"))
+
+    def meeting(some: DataFrame, kind: np.dtype) -> DataFrame:
+        # A group holds about 40,000 entries, whatever the number of texts.
+        groups = max(4 * parts, some.count() * blocks * (width + 1) // 40_000)
+        arrow_batches(spark, rows=4096, mb=64)
+        entries = some.mapInArrow(_entries(width, blocks, groups, kind), "group long, entries binary")
+        return scratch.put(entries.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_met(kind), "a long, b long"))
+
+    def verified(met: DataFrame) -> DataFrame:
+        a = texts.select(F.col("id").alias("a"), F.col("sketch").alias("x"))
+        b = texts.select(F.col("id").alias("b"), F.col("sketch").alias("y"))
+        # The middle of a large group has many pairs: that side is dealt over salts.
+        both = salted_join(met.where("b IS NOT NULL").distinct(), a, "a", ["b"], "inner").join(b, "b").select("a", "b", "x", "y")
+        arrow_batches(spark)
+        return scratch.put(both.mapInArrow(_verify(least), "a long, b long"))
+
+    met = meeting(texts.select("id", "print"), ENTRY)
+    found = verified(met)
+    open_ = met.where("b IS NULL").select(F.col("a").alias("id")).distinct()
+    roots = components(found, scratch).withColumnRenamed("node", "id")
+    rest = scratch.put(texts.select("id", "print").join(open_, "id", "left_semi").join(roots, "id", "left").select("id", "print", F.coalesce("root", "id").alias("root")))
+    return found.unionAll(verified(meeting(rest, ROOTED)))
 
 
 def print_links(texts: DataFrame, scratch: Scratch) -> DataFrame:

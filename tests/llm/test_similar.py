@@ -41,8 +41,17 @@ def test_large_runs_meet_their_middle():
         for b in rng.integers(0, 64, 6):
             entry["check"][i] ^= np.uint64(1) << np.uint64(b)
     entry["check"] ^= center
-    pairs = similar._candidates(entry)
-    assert set(range(1, n)) <= {int(b) for a, b in pairs if a == 0} and len(pairs) <= n * similar.PIVOTS
+    pairs, skipped = similar._candidates(entry)
+    assert set(range(n)) == {int(x) for p in pairs for x in p} and len(pairs) < n * similar.MIDDLES
+    assert set(skipped.tolist()) == set(range(n))
+    rooted = np.zeros(n, similar.ROOTED)
+    for name in similar.ENTRY.names:
+        rooted[name] = entry[name]
+    rooted["root"][[3, 70, 71]] = [1, 2, 2]
+    near = lambda a, b: (int(entry["check"][a]) ^ int(entry["check"][b])).bit_count() <= similar.CHECK_BITS
+    for part in (rooted, rooted[:20]):
+        want = {(a, b) for a, b in combinations(range(len(part)), 2) if part["root"][a] != part["root"][b] and near(a, b)}
+        assert {tuple(p) for p in similar._apart(part)[0].tolist()} == want and want
 
 
 def test_near_copies_go_and_clean_documents_stay(spark):
