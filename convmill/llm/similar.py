@@ -11,8 +11,11 @@ nearest to the run's middle (the majority of their bits). Of the pairs whose che
 FEWEST least partners; the pairs to verify are then linear in the texts, whatever the groups. A second round takes every close pair that was left out
 and whose texts are not in one component by then, so none is lost.
 
-A sketch is the SKETCH least hashes of the shingle set, 32 bits of each. For texts of no more shingles it is the set itself, and the
-similarity exact; else it is an estimate with a deviation of 0.025 at 0.8, and pairs down to ``least`` less MARGIN are links.
+A sketch is the SKETCH least hashes of the shingle set, 32 bits of each. For texts of fewer shingles it is the set itself, and the
+similarity exact. Else it is an estimate with a deviation of 0.025 at 0.8, which only drops pairs below ``least`` less DOUBT (a pair at
+0.8 falls there with a chance under 1e-9); every other pair is decided by the whole shingle sets, written once for the texts of such pairs.
+
+Fingerprints of a few shingles differ in more bits: sets up to SHORT emit EXTRA further blocks, whose meetings pass with LOOSE_BITS.
 
 Defined results. Null, empty or wordless texts have no shingle: equal to each other only. Texts shorter than a shingle: one shingle, the
 whole. Equal texts are one text here, whatever their number. Very long texts: whole. Empty table: no links.
@@ -35,7 +38,7 @@ from .components import components
 
 WORDS = 5
 LEAST = 0.8
-MARGIN = 0.02
+DOUBT = 0.18
 SKETCH = 256
 RUN_MOST = 32
 MIDDLES = 2
@@ -45,6 +48,10 @@ RECALL = 0.98
 NARROW, TEXTS = 21, 1 << 18
 #: Most differing bits of the 64 that verify a meeting: above 99 % of pairs at 0.8, one in 10,000 of unrelated ones.
 CHECK_BITS = 17
+#: Shingles up to which a set emits EXTRA blocks. At 0.8 sets of 4 and 5 shingles meet with 98 % and are passed with 99 %; larger ones do more often.
+SHORT, EXTRA, LOOSE_BITS = 80, 10, 20
+#: Slots of the filter that keeps texts in no open pair from being shuffled: 2 MB, whatever the input.
+SLOTS = 1 << 24
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 ENTRY = np.dtype([("key", "<u8"), ("id", "<i8"), ("check", "<u8")])
 ROOTED = np.dtype([*ENTRY.descr, ("root", "<i8")])
@@ -111,20 +118,24 @@ def likeness(a: bytes, b: bytes) -> tuple[float, bool]:
     return (both / union if union else 1.0), not full
 
 
-def alike(a: bytes, b: bytes, least: float) -> bool:
-    value, exact = likeness(a, b)
-    return value >= (least if exact else least - MARGIN)
+def jaccard(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two whole shingle sets."""
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    union = len(x) + len(y) - both
+    return both / union if union else 1.0
 
 
-def prints(docs: DataFrame, words: int, blocks_words: int) -> DataFrame:
-    """doc_id, id (the text's hash), fp (the 64-bit fingerprint of ``simhash``), print (``blocks_words`` 64-bit words and one more for the check) and sketch, in one pass over the texts."""
+def prints(docs: DataFrame, words: int, blocks_words: int, extra_words: int) -> DataFrame:
+    """doc_id, id (the text's hash), fp (the 64-bit fingerprint of ``simhash``), print (``blocks_words`` 64-bit words and one more for the check; for short sets ``extra_words`` more) and sketch, in one pass over the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2).to_pylist()
             sets = [shingle_set(t, words) for t in texts]
             short = np.array([simhash.simhash(t) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(short), pa.array([long_print(s, blocks_words + 1) for s in sets], pa.binary()), pa.array([sketch(s) for s in sets], pa.binary())], names=["doc_id", "id", "fp", "print", "sketch"])
+            marks = [long_print(s, blocks_words + 1 + (extra_words if len(s) <= SHORT else 0)) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(short), pa.array(marks, pa.binary()), pa.array([sketch(s) for s in sets], pa.binary())], names=["doc_id", "id", "fp", "print", "sketch"])
 
     arrow_batches(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
@@ -133,24 +144,32 @@ def prints(docs: DataFrame, words: int, blocks_words: int) -> DataFrame:
 
 def _entries(width: int, blocks: int, groups: int, kind: np.dtype = ENTRY):
     per_word = 64 // width
+    check = -(-blocks // per_word)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flips = np.concatenate([[0], np.uint64(1) << np.arange(width, dtype=np.uint64)]).astype(np.uint64)
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            if not len(ids):
+            if not batch.num_rows:
                 continue
-            words = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u8").reshape(len(ids), -1)
-            for first in range(0, blocks, per_word):
-                # The blocks of one word at a time: what one batch emits stays bounded.
+            every, marks = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            few = np.flatnonzero(np.fromiter((len(m) > 8 * (check + 1) for m in marks), bool, len(marks)))
+            base = np.frombuffer(b"".join(m[: 8 * (check + 1)] for m in marks), "<u8").reshape(len(marks), -1)
+            more = np.frombuffer(b"".join(marks[i][8 * (check + 1) :] for i in few.tolist()), "<u8").reshape(len(few), -(-EXTRA // per_word))
+            roots = batch.column(2).to_numpy() if kind == ROOTED else None
+            # The blocks of one word at a time: what one batch emits stays bounded.
+            steps = [(base, np.arange(len(marks)), range(f, min(blocks, f + per_word)), 0) for f in range(0, blocks, per_word)]
+            steps += [(more, few, range(f, min(EXTRA, f + per_word)), 1) for f in range(0, EXTRA, per_word) if len(few)]
+            for words, rows, some, loose in steps:
                 out = []
-                for block in range(first, min(blocks, first + per_word)):
+                for block in some:
                     value = words[:, block // per_word] >> np.uint64(block % per_word * width) & np.uint64((1 << width) - 1)
-                    entry = np.empty((len(ids), len(flips)), kind)
-                    entry["key"] = (value[:, None] ^ flips) | np.uint64(block) << np.uint64(60) if blocks <= 16 else mixed((value[:, None] ^ flips) * np.uint64(4096) + np.uint64(block), 9)
-                    entry["id"], entry["check"] = ids[:, None], words[:, -1][:, None]
+                    entry = np.empty((len(rows), len(flips)), kind)
+                    name = mixed((value[:, None] ^ flips) * np.uint64(4096) + np.uint64(block + loose * blocks), 9)
+                    # The top bit tells the blocks of short sets.
+                    entry["key"] = name >> np.uint64(1) | np.uint64(loose << 63)
+                    entry["id"], entry["check"] = every[rows][:, None], base[rows, -1][:, None]
                     if kind == ROOTED:
-                        entry["root"] = batch.column(2).to_numpy()[:, None]
+                        entry["root"] = roots[rows][:, None]
                     out.append(entry.ravel())
                 entry = np.concatenate(out)
                 group = (mixed(entry["key"], 3) % np.uint64(groups)).astype(np.int64)
@@ -171,6 +190,10 @@ def _runs(entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return entry, new, np.diff(np.append(new, len(key)))
 
 
+def _allowed(key: np.ndarray) -> np.ndarray:
+    return np.where(key >> np.uint64(63), LOOSE_BITS, CHECK_BITS)
+
+
 def _close(entry: np.ndarray, new: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of all pairs of runs of RUN_MOST or fewer whose check bits are close."""
     key, check = entry["key"], entry["check"]
@@ -181,7 +204,7 @@ def _close(entry: np.ndarray, new: np.ndarray, size: np.ndarray) -> tuple[np.nda
         if not same.any():
             break
         a, b = a[same], b[same]
-        ok = np.bitwise_count(check[a] ^ check[b]) <= CHECK_BITS
+        ok = np.bitwise_count(check[a] ^ check[b]) <= _allowed(key[a])
         left.append(a[ok])
         right.append(b[ok])
     none = np.empty(0, np.int64)
@@ -199,7 +222,7 @@ def _candidates(entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         skipped.append(ids[run])
         middle = majority(np.ascontiguousarray(check[run]))
         for pivot in run[np.lexsort((ids[run], np.bitwise_count(check[run] ^ middle)))[:MIDDLES]]:
-            other = run[(run != pivot) & (np.bitwise_count(check[run] ^ check[pivot]) <= CHECK_BITS)]
+            other = run[(run != pivot) & (np.bitwise_count(check[run] ^ check[pivot]) <= _allowed(entry["key"][pivot]))]
             left.append(np.minimum(other, pivot))
             right.append(np.maximum(other, pivot))
     a, b = np.concatenate(left), np.concatenate(right)
@@ -223,7 +246,7 @@ def _apart(entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         names, counts = np.unique(root[run], return_counts=True)
         # The component that most of the run is in meets the others from their side.
         for p in run[root[run] != names[counts.argmax()]]:
-            other = run[(root[run] != root[p]) & (np.bitwise_count(check[run] ^ check[p]) <= CHECK_BITS)]
+            other = run[(root[run] != root[p]) & (np.bitwise_count(check[run] ^ check[p]) <= _allowed(entry["key"][p]))]
             left.append(np.minimum(other, p))
             right.append(np.maximum(other, p))
     a, b = np.concatenate(left), np.concatenate(right)
@@ -257,23 +280,60 @@ def _met(kind: np.dtype = ENTRY):
 
 
 def _verify(least: float):
+    """a, b and whether the pair is decided, of those whose sketches leave a likeness of ``least`` possible."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = [alike(x, y, least) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            found = [likeness(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            ok = pa.array([value >= (least if exact else least - DOUBT) for value, exact in found], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([exact for _, exact in found], pa.bool_())], names=["a", "b", "sure"]).filter(ok)
+
+    return run
+
+
+def _decide(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = [jaccard(x, y) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return run
 
 
+def whole_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """id, shingles (all 64-bit hashes, sorted) of the distinct texts with these ids.
+
+    A filter of SLOTS bits lets these texts through and few others, so that the others' shingles are neither made nor moved.
+    """
+    slot = F.pmod("id", F.lit(SLOTS))
+    filled = ids.select(F.floor(slot / 64).cast("int").alias("w"), F.expr(f"shiftleft(1L, CAST(pmod(id, {SLOTS}) % 64 AS INT))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits")).collect()
+    table = np.zeros(SLOTS // 64, np.uint64)
+    for r in filled:
+        table[r["w"]] = np.uint64(r["bits"] & (1 << 64) - 1)
+    shared = docs.sparkSession.sparkContext.broadcast(table.tobytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint64)
+        for batch in batches:
+            at = batch.column(0).to_numpy() % SLOTS
+            batch = batch.filter(pa.array((bits[at // 64] >> (at % 64).astype(np.uint64) & np.uint64(1)).astype(bool)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, words).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["id", "shingles"])
+
+    arrow_batches(docs.sparkSession)
+    text = F.coalesce("text", F.lit(""))
+    made = docs.select(F.xxhash64(text).alias("id"), text.cast("binary").alias("text")).mapInArrow(run, "id long, shingles binary")
+    return made.join(ids, "id", "left_semi").groupBy("id").agg(F.first("shingles").alias("shingles"))
+
+
 def distinct_texts(docs: DataFrame, scratch: Scratch, words: int = WORDS, least: float = LEAST) -> tuple[DataFrame, int, int]:
     """id, doc_id (the least), fp, print, sketch of each distinct text, and the plan. Copies of a text come together by partial aggregation."""
     width, blocks = plan(docs.count(), least)
-    made = prints(docs, words, -(-blocks // (64 // width)))
+    made = prints(docs, words, -(-blocks // (64 // width)), -(-EXTRA // (64 // width)))
     return scratch.put(made.groupBy("id").agg(F.min(F.struct("doc_id", "fp", "print", "sketch")).alias("t")).select("id", "t.*")), width, blocks
 
 
-def links(texts: DataFrame, scratch: Scratch, width: int, blocks: int, least: float = LEAST) -> DataFrame:
-    """a, b of the texts (id, print, sketch) whose shingle sets are alike by ``least`` or more; enough of these for their components.
+def links(docs: DataFrame, texts: DataFrame, scratch: Scratch, width: int, blocks: int, words: int = WORDS, least: float = LEAST) -> DataFrame:
+    """a, b of the texts (id, print, sketch) of ``docs`` whose shingle sets are alike by ``least`` or more; enough of these for their components.
 
     The first round leaves out close pairs where a text has several; the second takes every one of those whose texts are not in one component by then.
     """
@@ -282,7 +342,8 @@ def links(texts: DataFrame, scratch: Scratch, width: int, blocks: int, least: fl
 
     def meeting(some: DataFrame, kind: np.dtype) -> DataFrame:
         # A group holds about 40,000 entries, whatever the number of texts.
-        groups = max(4 * parts, some.count() * blocks * (width + 1) // 40_000)
+        few = some.where(F.length("print") > 8 * (-(-blocks // (64 // width)) + 1)).count()
+        groups = max(4 * parts, (some.count() * blocks + few * EXTRA) * (width + 1) // 40_000)
         arrow_batches(spark, rows=4096, mb=64)
         entries = some.mapInArrow(_entries(width, blocks, groups, kind), "group long, entries binary")
         return scratch.put(entries.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_met(kind), "a long, b long"))
@@ -293,7 +354,14 @@ def links(texts: DataFrame, scratch: Scratch, width: int, blocks: int, least: fl
         # The middle of a large group has many pairs: that side is dealt over salts.
         both = salted_join(met.where("b IS NOT NULL").distinct(), a, "a", ["b"], "inner").join(b, "b").select("a", "b", "x", "y")
         arrow_batches(spark)
-        return scratch.put(both.mapInArrow(_verify(least), "a long, b long"))
+        likely = scratch.put(both.mapInArrow(_verify(least), "a long, b long, sure boolean"))
+        open_ = likely.where("NOT sure").select("a", "b")
+        ids = scratch.put(open_.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        sets = scratch.put(whole_sets(docs, ids, words))
+        x, y = (sets.select(F.col("id").alias(c), F.col("shingles").alias(n)) for c, n in zip("ab", "xy"))
+        whole = salted_join(open_, x, "a", ["b"], "inner").join(y, "b").select("a", "b", "x", "y")
+        arrow_batches(spark)
+        return scratch.put(likely.where("sure").select("a", "b").unionAll(whole.mapInArrow(_decide(least), "a long, b long")))
 
     met = meeting(texts.select("id", "print"), ENTRY)
     found = verified(met)
@@ -320,8 +388,9 @@ def keep_one(docs: DataFrame, scratch: Scratch, words: int = WORDS, least: float
     within the radius of ``simhash``. Only marks of the texts are shuffled until the survivors are known. Rows without doc_id take
     part in no group and stay.
     """
-    texts, width, blocks = distinct_texts(docs.where("doc_id IS NOT NULL"), scratch, words, least)
-    edges = links(texts, scratch, width, blocks, least).unionAll(print_links(texts, scratch))
+    named = docs.where("doc_id IS NOT NULL")
+    texts, width, blocks = distinct_texts(named, scratch, words, least)
+    edges = links(named, texts, scratch, width, blocks, words, least).unionAll(print_links(texts, scratch))
     roots = components(edges, scratch).withColumnRenamed("node", "id")
     rooted = scratch.put(texts.select("id", "doc_id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")))
     first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "id")).alias("m")).select(F.col("m.doc_id").alias("_least"), F.col("m.id").alias("_id"))

@@ -31,6 +31,35 @@ def test_sketch_estimates_and_plan():
     assert blocks > similar.plan(1000)[1]
 
 
+def test_long_texts_are_decided_by_their_whole_sets(spark):
+    rng = random.Random(4)
+    docs = []
+    for f in range(120):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(1200)]
+        changed = list(words)
+        # One changed word in a place far from others takes five shingles.
+        for i in range(26 + f % 3):
+            changed[40 * i + 20] = f"x{rng.randrange(10**6)}"
+        docs += [(2 * f, " ".join(words)), (2 * f + 1, " ".join(changed))]
+    text = dict(docs)
+    near = {f for f in range(120) if (similar.simhash.simhash(text[2 * f].encode()) ^ similar.simhash.simhash(text[2 * f + 1].encode())).bit_count() <= 4}
+    alike = {f for f in range(120) if jaccard(text[2 * f], text[2 * f + 1]) >= 0.8}
+    assert 30 <= len(alike) <= 50
+    kept = {r.doc_id for r in similar.keep_one(spark.createDataFrame(docs, "doc_id long, text string"), Scratch(spark)).collect()}
+    gone = {f for f in range(120) if 2 * f + 1 not in kept}
+    assert all(2 * f in kept for f in range(120)) and gone <= alike | near and len(gone & alike) >= 0.93 * len(alike)
+
+
+def test_short_sets_meet(spark):
+    rng = random.Random(6)
+    docs = []
+    for f in range(600):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(9)]
+        docs += [(2 * f, " ".join(words[:8])), (2 * f + 1, " ".join(words))]
+    kept = {r.doc_id for r in similar.keep_one(spark.createDataFrame(docs, "doc_id long, text string"), Scratch(spark)).collect()}
+    assert all(2 * f in kept for f in range(600)) and len(kept) <= 600 * 1.03
+
+
 def test_large_runs_meet_their_middle():
     rng = np.random.default_rng(3)
     center = rng.integers(0, 1 << 63, dtype=np.uint64)
