@@ -11,7 +11,7 @@ All by DataFrame functions; only documents with a mention move, and an entity of
 
 Defined results. Null text: stays null, no mentions. Text without mentions: unchanged. Null doc_id and
 repeated rows: each row treated alike. Empty table: empty result. Very long texts: whole; the pattern's
-parts are bounded, so time grows with the length. Extra columns are kept; those named n_mentions or kinds are replaced. n_chars, if there, is counted anew.
+parts are bounded or give nothing back, so time grows with the length. Extra columns are kept; those named n_mentions or kinds are replaced. n_chars, if there, is counted anew.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ _PART = r"\p{Lu}[\p{L}'’]{1,40}+"
 
 #: Kinds in the order in which they are tried.
 PATTERNS = {
-    "secret": r"""(?<![\p{L}\p{N}])(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?[A-Za-z0-9_+/.\-]{8,200}+""",
+    "secret": r"""(?<![\p{L}\p{N}])(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?[A-Za-z0-9_+/.\-]{8,}+""",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}+(?:\.[\p{L}\p{N}-]{1,63}+){1,8}+",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?[\p{L}\p{N}])",

@@ -46,6 +46,15 @@ def test_kinds_layout_and_coreference(spark):
     assert got[0].n_chars == len(got[0].text) and got[6].kinds == "iban,ssn" and got[6].n_mentions == 2
 
 
+def test_long_secrets_are_replaced_whole(spark):
+    head = "Ab3" * 300
+    a, b = head + "x" * 100, head + "y" * 100
+    got = run(spark, [f"token={a} end", f'api_key: "{b}"', f"secret={a}"])
+    one, two, again = (re.fullmatch(p, got[i].text)[1] for i, p in enumerate([r"token=([A-Za-z0-9]{1000}) end", r'api_key: "([A-Za-z0-9]{1000})"', r"secret=([A-Za-z0-9]{1000})"]))
+    assert one == again != two and a[200:] not in got[0].text and "y" * 50 not in two
+    assert [got[i].n_mentions for i in range(3)] == [1, 1, 1]
+
+
 def test_collisions_are_drawn_again(spark):
     # Many entities in a small space: 4,000 of the 10,000 forms of one layout.
     rows = spark.range(4000).select(F.lit("code").alias("kind"), F.lpad(F.col("id").cast("string"), 4, "0").alias("norm"))
