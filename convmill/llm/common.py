@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 HOT_SHARE = 2048
 #: Pieces into which the rows of a hot key are dealt.
 SALTS = 64
+#: Rows that one bucket of a running sum holds, about.
+BUCKET_ROWS = 200_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -49,7 +51,6 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/convmill-{uuid.uuid4().hex}"
         self._count = 0
-        self._paths: dict[int, str] = {}
         atexit.register(self.close)
 
     def _delete(self, path: str) -> None:
@@ -68,13 +69,25 @@ class Scratch:
         self._count += 1
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = path
+        out._scratch_path = path
         return out
 
     def drop(self, df: DataFrame) -> None:
-        path = self._paths.pop(id(df), None)
-        if path:
-            self._delete(path)
+        """Removes the table behind a frame that ``put`` gave; other frames have none."""
+        if "_scratch_path" in vars(df):
+            self._delete(vars(df).pop("_scratch_path"))
+
+
+def fresh(df: DataFrame, *names: str, also: Sequence[str] = ()) -> list[str]:
+    """Names for internal columns that no column of ``df``, and none of ``also``, has in any case."""
+    taken = {c.lower() for c in (*df.columns, *also)}
+    out = []
+    for name in names:
+        while f"_{name}" in taken:
+            name += "_"
+        taken.add(f"_{name}")
+        out.append(f"_{name}")
+    return out
 
 
 def arrow_batches(spark: SparkSession, rows: int = 512, mb: int = 16) -> None:
@@ -83,14 +96,16 @@ def arrow_batches(spark: SparkSession, rows: int = 512, mb: int = 16) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{mb}m")
 
 
-def running(df: DataFrame, parts: Sequence[str], order: Sequence[str], value: str, out: str, buckets: int = 256, bucket: Column | None = None) -> DataFrame:
+def running(df: DataFrame, parts: Sequence[str], order: Sequence[str], value: str, out: str, buckets: int | None = None, bucket: Column | None = None) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows before this one, in each of ``parts``.
 
     The order is by ``bucket``, a hash of ``order`` unless given, then by ``order`` itself. No task holds all rows of a part:
-    each part is dealt into ``buckets`` by that hash, bucket sums (parts x buckets rows) give the
+    each part is dealt into ``buckets`` by that hash (256, or one for each BUCKET_ROWS rows if those are more), bucket sums (parts x buckets rows) give the
     offsets, and a window runs within one bucket only. ``df`` is read twice, so it should be a
     written table. Null parts count as a part of their own.
     """
+    if bucket is None and buckets is None:
+        buckets = max(256, df.count() // BUCKET_ROWS)
     keyed = df.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(buckets)) if bucket is None else bucket)
     for i, p in enumerate(parts):
         keyed = keyed.withColumn(f"_p{i}", F.coalesce(F.xxhash64(p), F.lit(0)) if dict(df.dtypes)[p] == "string" else F.coalesce(F.col(p).cast("long"), F.lit(-1)))
@@ -119,8 +134,9 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, spread: Sequence[st
 
     The hot list is bounded by HOT_SHARE rows and is the only thing broadcast.
     """
-    hot = (hot_keys(left, key) if hot is None else hot).select(F.col(key), F.lit(True).alias("_hot"))
-    salted = left.join(F.broadcast(hot), key, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
-    dealt = right.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted.join(dealt, [key, "_salt"], how).drop("_salt")
+    is_hot, salt = fresh(left, "hot", "salt", also=right.columns)
+    hot = (hot_keys(left, key) if hot is None else hot).select(F.col(key), F.lit(True).alias(is_hot))
+    salted = left.join(F.broadcast(hot), key, "left").withColumn(salt, F.when(F.col(is_hot), F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))).drop(is_hot)
+    copies = F.when(F.col(is_hot), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    dealt = right.join(F.broadcast(hot), key, "left").withColumn(salt, F.explode(copies)).drop(is_hot)
+    return salted.join(dealt, [key, salt], how).drop(salt)

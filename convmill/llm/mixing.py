@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, running
+from .common import Scratch, hot_keys, running, salted_join
 
 #: Weights of the sources in turn, by code point of their names.
 WEIGHTS = (5, 2, 1)
@@ -81,13 +81,16 @@ def time_at(share: Column, schedule: Column) -> Column:
     return segment["t"] + F.least(step, segment["width"])
 
 
-def mix(docs: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, share: float = SHARE_OF_ALL, schedules: tuple = SCHEDULES, seed: int = 17) -> DataFrame:
-    """doc_id, source, text_key, size, source_size, target, and takes: array of (pass, words, position)."""
-    slim = docs.select("doc_id", "source", F.md5("text").alias("text_key"), words_in(F.col("text")).alias("size"))
+def mix(docs: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, share: float = SHARE_OF_ALL, schedules: tuple = SCHEDULES, seed: int = 17, row_key: Column | None = None) -> DataFrame:
+    """doc_id, source, text_key, order_key, row_key, size, source_size, target, and takes: array of (pass, words, position).
+
+    ``row_key`` tells rows apart that are equal in id and text; without it their order is open, and nothing here shows it.
+    """
+    slim = docs.select("doc_id", "source", F.md5("text").alias("text_key"), words_in(F.col("text")).alias("size"), (F.lit("") if row_key is None else row_key).alias("row_key"))
     slim = scratch.put(slim.withColumn("order_key", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), "text_key"))))
     goals = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share).withColumnRenamed("source", "goal_source")
     # Buckets are the leading hex digits of the order key, so the order is that of the key itself.
-    placed = running(slim, ["source"], ["order_key", "doc_id", "size"], "size", "before", bucket=F.left("order_key", F.lit(2)))
+    placed = running(slim, ["source"], ["order_key", "doc_id", "size", "row_key"], "size", "before", bucket=F.left("order_key", F.lit(2)))
     # One row per source and bucket is what the source-level values are attached to by shuffle; the hot source is dealt over 64 copies of its row.
     dealt = goals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(63))))
     placed = placed.withColumn("salt", F.pmod(F.xxhash64("order_key"), F.lit(64)).cast("int"))
@@ -99,7 +102,7 @@ def mix(docs: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, share: floa
         words = F.greatest(F.least(limit - start, F.col("size")), F.lit(0)).cast("long")
         return F.struct(F.lit(k).alias("pass"), words.alias("words"), time_at(F.least(F.coalesce(F.try_divide(start + words / 2, F.col("target")), F.lit(0.0)), F.lit(1.0)), schedule).alias("position"))
     takes = F.filter(F.array(*(take(k) for k in range(MAX_PASSES))), lambda t: t["words"] > 0)
-    return both.select("doc_id", "source", "text_key", "order_key", "size", "source_size", "target", takes.alias("takes"))
+    return both.select("doc_id", "source", "text_key", "order_key", "row_key", "size", "source_size", "target", takes.alias("takes"))
 
 
 def range_sorted(df: DataFrame, scratch: Scratch, *by: str) -> DataFrame:
@@ -125,19 +128,23 @@ def per_document(mixed: DataFrame, scratch: Scratch) -> DataFrame:
 def mixed_documents(docs: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, share: float = SHARE_OF_ALL, schedules: tuple = SCHEDULES, seed: int = 17) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, range-sorted by training position.
 
-    Whole documents: a pass that takes less than half of one leaves it out. Rows equal in id, source and text count as one
-    document here, repeated as often as all of them are taken. Only the slim table is sorted and summed; the texts move twice,
-    to meet it and to their range.
+    Whole documents: a pass that takes less than half of one leaves it out. Each row is a document of its own: rows that are equal
+    in all columns are attached to what the mix takes of all of them, rows equal only in id and text are told apart by their other columns. Only the
+    slim table is sorted and summed; the texts move twice, to meet it and to their range. Null text, no words: such a row is never taken.
+    Extra columns of any name and type are kept.
     """
-    taken = mix(docs, scratch, weights, share, schedules, seed).select("doc_id", "source", "text_key", F.explode("takes").alias("t"), "size", "order_key").where(F.col("t.words") * 2 >= F.col("size"))
-    keys = ("doc_id", "source", "text_key")
-    named = lambda df: df.withColumn("_key", F.xxhash64(*keys)).withColumns({f"_{k}": F.col(k) for k in keys})
-    places = scratch.put(named(taken).groupBy("_key", "_doc_id", "_source", "_text_key").agg(F.collect_list(F.struct("t.position", "order_key", "t.pass")).alias("_places")))
-    own = [F.col(f"d.`{c}`") for c in docs.columns]
-    keyed = docs.select(F.struct(*docs.columns).alias("d")).select("d", F.col("d.doc_id").alias("doc_id"), F.col("d.source").alias("source"), F.md5("d.text").alias("text_key"))
-    once = keyed.withColumn("_key", F.xxhash64(*keys)).dropDuplicates(["_key", *keys])
-    met = once.join(places, (once["_key"] == places["_key"]) & once["doc_id"].eqNullSafe(places["_doc_id"]) & once["source"].eqNullSafe(places["_source"]) & (once["text_key"] == places["_text_key"]))
-    flat = met.select("d", F.explode("_places").alias("p")).select(*own, F.col("p.position").alias("_position"), F.col("p.order_key").alias("_order"), F.col("p.pass").alias("_pass"))
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    others = [c for c in docs.columns if c != "text"]
+    # All columns but the text as JSON, and the text's digest: rows with one key are equal.
+    row_key = F.md5(F.concat_ws("|", F.coalesce(F.md5("text"), F.lit("null")), F.to_json(F.struct(*(F.col(f"`{c}`") for c in others)))))
+    taken = mix(docs, scratch, weights, share, schedules, seed, row_key).select("row_key", "order_key", F.explode("takes").alias("t"), "size").where(F.col("t.words") * 2 >= F.col("size"))
+    places = scratch.put(taken.select("row_key", F.col("t.position").alias("position"), "order_key", F.col("t.pass").alias("pass")))
+    once = docs.select(row_key.alias("row_key"), F.struct(*every).alias("d")).groupBy("row_key").agg(F.any_value("d").alias("d"))
+    # A row that is repeated very often is dealt over salts; there are HOT_SHARE such rows at most.
+    hot = scratch.put(hot_keys(places, "row_key"))
+    flat = places.join(F.broadcast(hot), "row_key", "left_anti").join(once, "row_key")
+    if not hot.isEmpty():
+        flat = flat.unionByName(salted_join(places.join(F.broadcast(hot), "row_key", "left_semi"), once.join(F.broadcast(hot), "row_key", "left_semi"), "row_key", ["position", "pass"], "inner", hot))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by = ("_position", "_order", "_pass")
-    return flat.repartitionByRange(parts, *by).sortWithinPartitions(*by).drop(*by)
+    by = ("position", "order_key", "pass")
+    return flat.repartitionByRange(parts, *by).sortWithinPartitions(*by).select(*(F.col(f"d.`{c}`").alias(c) for c in docs.columns))

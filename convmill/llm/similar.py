@@ -2,23 +2,16 @@
 
 ``simhash`` links 64-bit fingerprints within 4 bits, which is far closer than a similarity of 0.8 on five-word shingles: that
 leaves about 15 % of the bits different. Here each distinct text gets a fingerprint of several 64-bit words, cut into blocks;
-each block emits its ball of radius 1 (every variant within half the block's radius of 2), entries shuffle on block and variant, and those that meet are
-verified: by 64 other bits of the fingerprint at once, then by their sketches. With ``plan`` a pair at 0.8 meets in some block with a
-chance of 98 % or more, and blocks widen with the number of texts, so that chance meetings stay few for each.
+each block emits its ball of radius 1 (every variant within half the block's radius of 2), and entries shuffle on block and variant.
+Two texts that meet, and of whose 128 check bits few differ, may be alike. With ``plan`` a pair at 0.8 meets in some block with a
+chance of RECALL or more, and blocks widen with the number of texts, so that chance meetings stay few for each.
 
-Of the texts that meet in one variant all are held against each other, if they are RUN_MOST or fewer, else against the MIDDLES
-nearest to the run's middle (the majority of their bits). Of the pairs whose check bits are close, each text first keeps those with its
-FEWEST least partners; the pairs to verify are then linear in the texts, whatever the groups. A second round takes every close pair that was left out
-and whose texts are not in one component by then, so none is lost.
-
-A sketch is the SKETCH least hashes of the shingle set, 32 bits of each. For texts of fewer shingles it is the set itself, and the
-similarity exact. Else it is an estimate with a deviation of 0.025 at 0.8, which only drops pairs below ``least`` less DOUBT (a pair at
-0.8 falls there with a chance under 1e-9); every other pair is decided by the whole shingle sets, written once for the texts of such pairs.
+What may be alike falls into families: the connected components of those meetings. A family is found from a spanning forest of its
+meetings, so what is written is linear in the texts, whatever the sizes of the groups; no pair is left out of it.
+Within a family every pair is decided by the whole shingle sets: its members are dealt into chunks, each two chunks meet in one task,
+which counts common shingles by an inverted index and writes a spanning forest of the pairs alike by ``least`` or more.
 
 Fingerprints of a few shingles differ in more bits: sets up to SHORT emit EXTRA further blocks, whose meetings pass with LOOSE_BITS.
-
-Defined results. Null, empty or wordless texts have no shingle: equal to each other only. Texts shorter than a shingle: one shingle, the
-whole. Equal texts are one text here, whatever their number. Very long texts: whole. Empty table: no links.
 """
 
 from __future__ import annotations
@@ -28,33 +21,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from . import simhash
-from .common import Scratch, arrow_batches, salted_join
+from .common import Scratch, arrow_batches, fresh, running, salted_join
 from .components import components
 
 WORDS = 5
 LEAST = 0.8
-DOUBT = 0.18
-SKETCH = 256
-RUN_MOST = 32
-MIDDLES = 2
-FEWEST = 2
-RECALL = 0.98
+RECALL = 0.99
 #: Texts up to which blocks are NARROW bits wide; each doubling adds a bit.
 NARROW, TEXTS = 21, 1 << 18
-#: Most differing bits of the 64 that verify a meeting: above 99 % of pairs at 0.8, one in 10,000 of unrelated ones.
-CHECK_BITS = 17
+#: Words of 64 bits that check a meeting, and the most bits of them that differ: above 99.9 % of pairs at 0.8, one in 10 million of unrelated ones.
+CHECKS, CHECK_BITS = 2, 33
 #: Shingles up to which a set emits EXTRA blocks. At 0.8 sets of 4 and 5 shingles meet with 98 % and are passed with 99 %; larger ones do more often.
-SHORT, EXTRA, LOOSE_BITS = 80, 10, 20
-#: Slots of the filter that keeps texts in no open pair from being shuffled: 2 MB, whatever the input.
+SHORT, EXTRA, LOOSE_BITS = 80, 10, 36
+#: Entries of one variant up to which all its pairs are held against each other at once; larger ones first against MIDDLES.
+RUN, MIDDLES = 32, 2
+#: Shingles in a chunk of a family, and texts in one: FEW or more, so that a text is in 64 chunk pairs at most up to a family of 64 * MOST.
+CHUNK, FEW, MOST = 1 << 21, 256, 1 << 14
+#: Slots of the filter that keeps texts of no family from being shuffled: 2 MB, whatever the input.
 SLOTS = 1 << 24
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
-ENTRY = np.dtype([("key", "<u8"), ("id", "<i8"), ("check", "<u8")])
-ROOTED = np.dtype([*ENTRY.descr, ("root", "<i8")])
+ENTRY = np.dtype([("key", "<u4"), ("id", "<i8"), *((f"check{i}", "<u8") for i in range(CHECKS))])
 
 
 def plan(texts: int, least: float = LEAST, recall: float = RECALL) -> tuple[int, int]:
@@ -101,50 +92,34 @@ def long_print(shingles: np.ndarray, words: int) -> bytes:
     return b"".join(int(majority(mixed(shingles, k))).to_bytes(8, "little") for k in range(words)) if len(shingles) else bytes(8 * words)
 
 
-def sketch(shingles: np.ndarray) -> bytes:
-    """The top 32 bits of the SKETCH least hashes, in order."""
-    return (shingles[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes()
-
+def mark_of(text: Column) -> Column:
+    """The 128 bits by which texts are told apart; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
-def likeness(a: bytes, b: bytes) -> tuple[float, bool]:
-    """Jaccard similarity of what two sketches both cover, and whether that is the whole of both."""
-    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-    full = [s for s in (x, y) if len(s) >= SKETCH]
-    if full:
-        top = min(s[-1] for s in full)
-        x, y = x[: np.searchsorted(x, top, side="right")], y[: np.searchsorted(y, top, side="right")]
-    both = len(np.intersect1d(x, y))
-    union = len(np.unique(x)) + len(np.unique(y)) - both
-    return (both / union if union else 1.0), not full
 
-
-def jaccard(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two whole shingle sets."""
-    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    union = len(x) + len(y) - both
-    return both / union if union else 1.0
+def _slot(mark: Column) -> Column:
+    return F.conv(F.hex(F.substring(mark, 1, 3)), 16, 10).cast("int")
 
 
 def prints(docs: DataFrame, words: int, blocks_words: int, extra_words: int) -> DataFrame:
-    """doc_id, id (the text's hash), fp (the 64-bit fingerprint of ``simhash``), print (``blocks_words`` 64-bit words and one more for the check; for short sets ``extra_words`` more) and sketch, in one pass over the texts."""
+    """doc_id, mark, fp (the 64-bit fingerprint of ``simhash``), n (shingles) and print (``blocks_words`` 64-bit words and CHECKS more; for short sets ``extra_words`` more), in one pass over the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2).to_pylist()
             sets = [shingle_set(t, words) for t in texts]
             short = np.array([simhash.simhash(t) for t in texts], np.uint64).view(np.int64)
-            marks = [long_print(s, blocks_words + 1 + (extra_words if len(s) <= SHORT else 0)) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(short), pa.array(marks, pa.binary()), pa.array([sketch(s) for s in sets], pa.binary())], names=["doc_id", "id", "fp", "print", "sketch"])
+            prints = [long_print(s, blocks_words + CHECKS + (extra_words if len(s) <= SHORT else 0)) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(short), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary())], names=["doc_id", "mark", "fp", "n", "print"])
 
     arrow_batches(docs.sparkSession)
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("id"), text.cast("binary").alias("text")).mapInArrow(run, "doc_id long, id long, fp long, print binary, sketch binary")
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark_of(F.col("text")).alias("mark"), text.alias("text")).mapInArrow(run, "doc_id long, mark binary, fp long, n long, print binary")
 
 
-def _entries(width: int, blocks: int, groups: int, kind: np.dtype = ENTRY):
+def _entries(width: int, blocks: int, groups: int):
     per_word = 64 // width
-    check = -(-blocks // per_word)
+    head = -(-blocks // per_word)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flips = np.concatenate([[0], np.uint64(1) << np.arange(width, dtype=np.uint64)]).astype(np.uint64)
@@ -152,27 +127,27 @@ def _entries(width: int, blocks: int, groups: int, kind: np.dtype = ENTRY):
             if not batch.num_rows:
                 continue
             every, marks = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            few = np.flatnonzero(np.fromiter((len(m) > 8 * (check + 1) for m in marks), bool, len(marks)))
-            base = np.frombuffer(b"".join(m[: 8 * (check + 1)] for m in marks), "<u8").reshape(len(marks), -1)
-            more = np.frombuffer(b"".join(marks[i][8 * (check + 1) :] for i in few.tolist()), "<u8").reshape(len(few), -(-EXTRA // per_word))
-            roots = batch.column(2).to_numpy() if kind == ROOTED else None
+            whole = 8 * (head + CHECKS)
+            few = np.flatnonzero(np.fromiter((len(m) > whole for m in marks), bool, len(marks)))
+            base = np.frombuffer(b"".join(m[:whole] for m in marks), "<u8").reshape(len(marks), -1)
+            more = np.frombuffer(b"".join(marks[i][whole:] for i in few.tolist()), "<u8").reshape(len(few), -(-EXTRA // per_word))
             # The blocks of one word at a time: what one batch emits stays bounded.
             steps = [(base, np.arange(len(marks)), range(f, min(blocks, f + per_word)), 0) for f in range(0, blocks, per_word)]
             steps += [(more, few, range(f, min(EXTRA, f + per_word)), 1) for f in range(0, EXTRA, per_word) if len(few)]
             for words, rows, some, loose in steps:
-                out = []
+                made, groups_of = [], []
                 for block in some:
                     value = words[:, block // per_word] >> np.uint64(block % per_word * width) & np.uint64((1 << width) - 1)
-                    entry = np.empty((len(rows), len(flips)), kind)
+                    entry = np.empty((len(rows), len(flips)), ENTRY)
                     name = mixed((value[:, None] ^ flips) * np.uint64(4096) + np.uint64(block + loose * blocks), 9)
                     # The top bit tells the blocks of short sets.
-                    entry["key"] = name >> np.uint64(1) | np.uint64(loose << 63)
-                    entry["id"], entry["check"] = every[rows][:, None], base[rows, -1][:, None]
-                    if kind == ROOTED:
-                        entry["root"] = roots[rows][:, None]
-                    out.append(entry.ravel())
-                entry = np.concatenate(out)
-                group = (mixed(entry["key"], 3) % np.uint64(groups)).astype(np.int64)
+                    entry["key"] = (name >> np.uint64(33)).astype(np.uint32) | np.uint32(loose << 31)
+                    entry["id"] = every[rows][:, None]
+                    for i in range(CHECKS):
+                        entry[f"check{i}"] = base[rows, head + i][:, None]
+                    made.append(entry.ravel())
+                    groups_of.append((mixed(name, 3) % np.uint64(groups)).astype(np.int64).ravel())
+                entry, group = np.concatenate(made), np.concatenate(groups_of)
                 order = np.argsort(group, kind="stable")
                 entry, group = entry[order], group[order]
                 cuts = np.flatnonzero(np.diff(group)) + 1
@@ -182,131 +157,171 @@ def _entries(width: int, blocks: int, groups: int, kind: np.dtype = ENTRY):
     return run
 
 
-def _runs(entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The entries by key and id, and start and size of each run of one key."""
-    entry = entry[np.lexsort((entry["id"], entry["key"]))]
-    key = entry["key"]
-    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return entry, new, np.diff(np.append(new, len(key)))
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links each node of these edges to the least of its component; the least themselves are left out."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(ids))
+    while len(x):
+        low = np.minimum(root[x], root[y])
+        now = root.copy()
+        np.minimum.at(now, root[x], low)
+        np.minimum.at(now, root[y], low)
+        while (step := now[now]).tobytes() != now.tobytes():
+            now = step
+        if (now == root).all():
+            break
+        root = now
+    other = root != np.arange(len(ids))
+    return ids[other], ids[root[other]]
 
 
-def _allowed(key: np.ndarray) -> np.ndarray:
-    return np.where(key >> np.uint64(63), LOOSE_BITS, CHECK_BITS)
+def _apart(checks: list[np.ndarray], a: np.ndarray | int, b: np.ndarray) -> np.ndarray:
+    return sum(np.bitwise_count(c[a] ^ c[b]).astype(np.int16) for c in checks)
 
 
-def _close(entry: np.ndarray, new: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all pairs of runs of RUN_MOST or fewer whose check bits are close."""
-    key, check = entry["key"], entry["check"]
-    few, left, right = np.flatnonzero(np.repeat((size > 1) & (size <= RUN_MOST), size)), [], []
-    for lag in range(1, RUN_MOST):
+def _meet_middles(checks: list[np.ndarray], run: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """A forest whose components hold all close pairs of one large run.
+
+    Those close to one of the members nearest to its middle are taken as one; each of the others is held against all.
+    """
+    far = sum(np.bitwise_count(c[run] ^ majority(np.ascontiguousarray(c[run]))).astype(np.int16) for c in checks)
+    pivots = run[np.argsort(far, kind="stable")[:MIDDLES]]
+    near = np.zeros(len(run), bool)
+    for p in pivots:
+        near |= _apart(checks, p, run) <= most
+    near[np.isin(run, pivots)] = True
+    left, right = [run[near]], [np.full(near.sum(), pivots[0])]
+    others = run[~near]
+    step = max(1, (1 << 21) // len(run))
+    for i in range(0, len(others), step):
+        u = others[i : i + step]
+        r, c = np.nonzero(sum(np.bitwise_count(x[u][:, None] ^ x[run][None, :]).astype(np.int16) for x in checks) <= most)
+        p, q = forest(u[r], run[c])
+        left.append(p)
+        right.append(q)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _meetings(entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ids whose components hold all close pairs of the entries of one group."""
+    entry = entry[np.lexsort((entry["id"], entry["key"]))]
+    key, ids, checks = np.ascontiguousarray(entry["key"]), np.ascontiguousarray(entry["id"]), [np.ascontiguousarray(entry[f"check{i}"]) for i in range(CHECKS)]
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(new, len(key)))
+    allowed = np.where(key >> np.uint32(31), LOOSE_BITS, CHECK_BITS)
+    few, left, right = np.flatnonzero(np.repeat((size > 1) & (size <= RUN), size)), [], []
+    for lag in range(1, RUN):
         a, b = few[: len(few) - lag], few[lag:]
         same = key[a] == key[b]
         if not same.any():
             break
         a, b = a[same], b[same]
-        ok = np.bitwise_count(check[a] ^ check[b]) <= _allowed(key[a])
+        ok = _apart(checks, a, b) <= allowed[a]
         left.append(a[ok])
         right.append(b[ok])
+    for start, n in zip(new[size > RUN].tolist(), size[size > RUN].tolist()):
+        a, b = _meet_middles(checks, np.arange(start, start + n), int(allowed[start]))
+        left.append(a)
+        right.append(b)
     none = np.empty(0, np.int64)
-    return np.concatenate([none, *left]), np.concatenate([none, *right])
-
-
-def _candidates(entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of ids to verify, of the entries of one group, and the ids of which some close pair was left out."""
-    entry, new, size = _runs(entry)
-    ids, check = entry["id"], entry["check"]
-    a, b = _close(entry, new, size)
-    left, right, skipped = [a], [b], []
-    for start, n in zip(new[size > RUN_MOST].tolist(), size[size > RUN_MOST].tolist()):
-        run = np.arange(start, start + n)
-        skipped.append(ids[run])
-        middle = majority(np.ascontiguousarray(check[run]))
-        for pivot in run[np.lexsort((ids[run], np.bitwise_count(check[run] ^ middle)))[:MIDDLES]]:
-            other = run[(run != pivot) & (np.bitwise_count(check[run] ^ check[pivot]) <= _allowed(entry["key"][pivot]))]
-            left.append(np.minimum(other, pivot))
-            right.append(np.maximum(other, pivot))
-    a, b = np.concatenate(left), np.concatenate(right)
-    # The least ids are the same in many runs, so a group's pairs repeat rather than spread.
-    order = np.lexsort((a, b))
-    a, b = a[order], b[order]
-    first = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])) if len(b) else order
-    kept = np.arange(len(b)) - np.repeat(first, np.diff(np.append(first, len(b)))) < FEWEST
-    pairs = np.unique(np.stack([ids[a[kept]], ids[b[kept]]], axis=1), axis=0)
-    return pairs, np.unique(np.concatenate([ids[a[~kept]], ids[b[~kept]], *skipped]))
-
-
-def _apart(entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All close pairs of ids that are not in one component yet."""
-    entry, new, size = _runs(entry)
-    ids, check, root = entry["id"], entry["check"], entry["root"]
-    a, b = _close(entry, new, size)
-    left, right = [a], [b]
-    for start, n in zip(new[size > RUN_MOST].tolist(), size[size > RUN_MOST].tolist()):
-        run = np.arange(start, start + n)
-        names, counts = np.unique(root[run], return_counts=True)
-        # The component that most of the run is in meets the others from their side.
-        for p in run[root[run] != names[counts.argmax()]]:
-            other = run[(root[run] != root[p]) & (np.bitwise_count(check[run] ^ check[p]) <= _allowed(entry["key"][p]))]
-            left.append(np.minimum(other, p))
-            right.append(np.maximum(other, p))
-    a, b = np.concatenate(left), np.concatenate(right)
-    a, b = a[root[a] != root[b]], b[root[a] != root[b]]
-    return np.unique(np.stack([ids[a], ids[b]], axis=1), axis=0), np.empty(0, np.int64)
-
-
-def _met(kind: np.dtype = ENTRY):
-    """Rows come sorted by group; a group's entries are taken together. Ids with pairs left out come with a null partner."""
-    find = _apart if kind == ROOTED else _candidates
+    a, b = ids[np.concatenate([none, *left])], ids[np.concatenate([none, *right])]
+    return a[a != b], b[a != b]
+
+
+def _met(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by group; a group's entries are taken together. One forest over all groups of the task, or of each ``most`` links."""
+    now, held = None, []
+    a = b = np.empty(0, np.int64)
+
+    def done() -> None:
+        nonlocal a, b
+        x, y = _meetings(np.frombuffer(b"".join(held), ENTRY))
+        held.clear()
+        a, b = forest(np.concatenate([a, x]), np.concatenate([b, y]))
+
+    for batch in batches:
+        for group, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if group != now and held:
+                done()
+                if len(a) > most:
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                    a = b = np.empty(0, np.int64)
+            now = group
+            held.append(entries)
+    if held:
+        done()
+    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def alike(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """A forest of the pairs whose sets have a Jaccard similarity of ``least`` or more; only pairs across the sides where there are two."""
+    n, size = len(sets), np.fromiter(map(len, sets), np.int64, len(sets))
+    two = side.min() != side.max() if n else False
+    codes, inverse, count = np.unique(np.concatenate(sets) if n else np.empty(0, np.uint64), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), size)
+    posting = owner[np.argsort(inverse, kind="stable")]
+    start = np.cumsum(count) - count
+    ends = np.cumsum(size)
+    label, left, right = np.arange(n), [], []
+    for i in range(n):
+        if two and side[i]:
+            continue
+        open_ = label != label[i]
+        if two:
+            open_ &= side == 1
+        elif i:
+            open_[:i] = False
+        if not open_.any():
+            continue
+        own = inverse[ends[i] - size[i] : ends[i]]
+        own = own[count[own] > 1]
+        k = count[own]
+        met = posting[np.repeat(start[own] - (np.cumsum(k) - k), k) + np.arange(k.sum())]
+        both = np.bincount(met, minlength=n)
+        union = size[i] + size - both
+        found = np.flatnonzero(open_ & (both >= least * union))
+        for j in found.tolist():
+            if label[j] != label[i]:
+                left.append(i)
+                right.append(j)
+                label[label == label[j]] = label[i]
+    return ids[left], ids[right]
+
+
+def _decide(least: float):
+    """Rows come sorted by root, i, j; those of one pair of chunks are taken together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, ids, sides, sets = None, [], [], []
 
         def done() -> pa.RecordBatch:
-            pairs, skipped = find(np.frombuffer(b"".join(held), kind))
-            held.clear()
-            b = pa.array(np.concatenate([pairs[:, 1], skipped]), mask=np.arange(len(pairs) + len(skipped)) >= len(pairs))
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([pairs[:, 0], skipped])), b], names=["a", "b"])
+            a, b = alike(np.array(ids, np.int64), sets, np.array(sides), least)
+            for x in (ids, sides, sets):
+                x.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
-            for group, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if group != now and held:
+            for root, i, j, own, id_, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if (root, i, j) != now and ids:
                     yield done()
-                now = group
-                held.append(entries)
-        if held:
+                now = root, i, j
+                ids.append(id_)
+                sides.append(int(own > i))
+                sets.append(np.frombuffer(raw, "<u8"))
+        if ids:
             yield done()
 
     return run
 
 
-def _verify(least: float):
-    """a, b and whether the pair is decided, of those whose sketches leave a likeness of ``least`` possible."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [likeness(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            ok = pa.array([value >= (least if exact else least - DOUBT) for value, exact in found], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([exact for _, exact in found], pa.bool_())], names=["a", "b", "sure"]).filter(ok)
-
-    return run
-
-
-def _decide(least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = [jaccard(x, y) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return run
-
-
-def whole_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """id, shingles (all 64-bit hashes, sorted) of the distinct texts with these ids.
+def whole_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """mark, shingles (all 64-bit hashes, sorted) of the distinct texts with these marks.
 
     A filter of SLOTS bits lets these texts through and few others, so that the others' shingles are neither made nor moved.
     """
-    slot = F.pmod("id", F.lit(SLOTS))
-    filled = ids.select(F.floor(slot / 64).cast("int").alias("w"), F.expr(f"shiftleft(1L, CAST(pmod(id, {SLOTS}) % 64 AS INT))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits")).collect()
+    slots = members.select(_slot(F.col("mark")).alias("slot"))
+    filled = slots.select((F.col("slot") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, slot % 64)").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits")).collect()
     table = np.zeros(SLOTS // 64, np.uint64)
     for r in filled:
         table[r["w"]] = np.uint64(r["bits"] & (1 << 64) - 1)
@@ -315,60 +330,61 @@ def whole_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint64)
         for batch in batches:
-            at = batch.column(0).to_numpy() % SLOTS
+            at = batch.column(1).to_numpy()
             batch = batch.filter(pa.array((bits[at // 64] >> (at % 64).astype(np.uint64) & np.uint64(1)).astype(bool)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, words).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, words).tobytes() for t in batch.column(2).to_pylist()], pa.binary())], names=["mark", "shingles"])
 
     arrow_batches(docs.sparkSession)
-    text = F.coalesce("text", F.lit(""))
-    made = docs.select(F.xxhash64(text).alias("id"), text.cast("binary").alias("text")).mapInArrow(run, "id long, shingles binary")
-    return made.join(ids, "id", "left_semi").groupBy("id").agg(F.first("shingles").alias("shingles"))
+    mark = mark_of(F.col("text"))
+    made = docs.select(mark.alias("mark"), _slot(mark).alias("slot"), F.coalesce("text", F.lit("")).cast("binary").alias("text")).mapInArrow(run, "mark binary, shingles binary")
+    return made.groupBy("mark").agg(F.first("shingles").alias("shingles"))
 
 
 def distinct_texts(docs: DataFrame, scratch: Scratch, words: int = WORDS, least: float = LEAST) -> tuple[DataFrame, int, int]:
-    """id, doc_id (the least), fp, print, sketch of each distinct text, and the plan. Copies of a text come together by partial aggregation."""
+    """id, mark, doc_id (the least), fp, n, print of each distinct text, and the plan. Copies of a text come together by partial aggregation; ids are dealt as the table is written."""
     width, blocks = plan(docs.count(), least)
     made = prints(docs, words, -(-blocks // (64 // width)), -(-EXTRA // (64 // width)))
-    return scratch.put(made.groupBy("id").agg(F.min(F.struct("doc_id", "fp", "print", "sketch")).alias("t")).select("id", "t.*")), width, blocks
-
+    one = made.groupBy("mark").agg(F.min(F.struct("doc_id", "fp", "n", "print")).alias("t"))
+    return scratch.put(one.select(F.monotonically_increasing_id().alias("id"), "mark", "t.*")), width, blocks
 
-def links(docs: DataFrame, texts: DataFrame, scratch: Scratch, width: int, blocks: int, words: int = WORDS, least: float = LEAST) -> DataFrame:
-    """a, b of the texts (id, print, sketch) of ``docs`` whose shingle sets are alike by ``least`` or more; enough of these for their components.
 
-    The first round leaves out close pairs where a text has several; the second takes every one of those whose texts are not in one component by then.
-    """
+def families(texts: DataFrame, scratch: Scratch, width: int, blocks: int) -> DataFrame:
+    """id, root of the texts that may be alike to another: the components of the meetings that the check bits pass."""
     spark = texts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    some = texts.select("id", "print")
+    # A group holds about 40,000 entries, whatever the number of texts.
+    total, few = some.agg(F.count(F.lit(1)), F.count(F.when(F.length("print") > 8 * (-(-blocks // (64 // width)) + CHECKS), 1))).first()
+    groups = max(4 * parts, (total * blocks + few * EXTRA) * (width + 1) // 40_000)
+    arrow_batches(spark, rows=4096, mb=64)
+    entries = some.mapInArrow(_entries(width, blocks, groups), "group long, entries binary")
+    met = scratch.put(entries.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_met, "a long, b long"))
+    return components(met, scratch).withColumnRenamed("node", "id")
+
+
+def chunks(members: DataFrame, scratch: Scratch) -> DataFrame:
+    """id, mark, root, chunk, chunks of the texts (id, mark, n, root) of families, each dealt into chunks of CHUNK shingles and max(FEW, family / 64) texts, but MOST, at most."""
+    stats = members.groupBy("root").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("shingles"))
+    share = F.ceil(F.lit(CHUNK) / F.greatest(F.lit(FEW), F.least(F.col("texts") / 64, F.lit(MOST))))
+    sized = salted_join(members, stats, "root", ["id"], "inner").withColumn("w", F.greatest("n", share))
+    # No sum of weights is above this, so neither is a chunk's number.
+    sized = scratch.put(sized.withColumn("chunks", F.floor((F.col("shingles") + F.col("texts") * share) / CHUNK) + 1).drop("texts", "shingles"))
+    one = sized.where("chunks = 1").select("id", "mark", "root", F.lit(0).cast("long").alias("chunk"), "chunks")
+    many = running(sized.where("chunks > 1"), ["root"], ["id"], "w", "before").select("id", "mark", "root", F.floor(F.col("before") / CHUNK).alias("chunk"), "chunks")
+    return one.unionAll(many)
 
-    def meeting(some: DataFrame, kind: np.dtype) -> DataFrame:
-        # A group holds about 40,000 entries, whatever the number of texts.
-        few = some.where(F.length("print") > 8 * (-(-blocks // (64 // width)) + 1)).count()
-        groups = max(4 * parts, (some.count() * blocks + few * EXTRA) * (width + 1) // 40_000)
-        arrow_batches(spark, rows=4096, mb=64)
-        entries = some.mapInArrow(_entries(width, blocks, groups, kind), "group long, entries binary")
-        return scratch.put(entries.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_met(kind), "a long, b long"))
-
-    def verified(met: DataFrame) -> DataFrame:
-        a = texts.select(F.col("id").alias("a"), F.col("sketch").alias("x"))
-        b = texts.select(F.col("id").alias("b"), F.col("sketch").alias("y"))
-        # The middle of a large group has many pairs: that side is dealt over salts.
-        both = salted_join(met.where("b IS NOT NULL").distinct(), a, "a", ["b"], "inner").join(b, "b").select("a", "b", "x", "y")
-        arrow_batches(spark)
-        likely = scratch.put(both.mapInArrow(_verify(least), "a long, b long, sure boolean"))
-        open_ = likely.where("NOT sure").select("a", "b")
-        ids = scratch.put(open_.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        sets = scratch.put(whole_sets(docs, ids, words))
-        x, y = (sets.select(F.col("id").alias(c), F.col("shingles").alias(n)) for c, n in zip("ab", "xy"))
-        whole = salted_join(open_, x, "a", ["b"], "inner").join(y, "b").select("a", "b", "x", "y")
-        arrow_batches(spark)
-        return scratch.put(likely.where("sure").select("a", "b").unionAll(whole.mapInArrow(_decide(least), "a long, b long")))
-
-    met = meeting(texts.select("id", "print"), ENTRY)
-    found = verified(met)
-    open_ = met.where("b IS NULL").select(F.col("a").alias("id")).distinct()
-    roots = components(found, scratch).withColumnRenamed("node", "id")
-    rest = scratch.put(texts.select("id", "print").join(open_, "id", "left_semi").join(roots, "id", "left").select("id", "print", F.coalesce("root", "id").alias("root")))
-    return found.unionAll(verified(meeting(rest, ROOTED)))
+
+def links(docs: DataFrame, texts: DataFrame, scratch: Scratch, width: int, blocks: int, words: int = WORDS, least: float = LEAST) -> DataFrame:
+    """a, b of the texts (id, mark, n, print) of ``docs`` whose shingle sets are alike by ``least`` or more; enough of these for their components."""
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    roots = families(texts, scratch, width, blocks)
+    members = scratch.put(texts.select("id", "mark", "n").join(roots, "id"))
+    sets = whole_sets(docs, members, words)
+    placed = chunks(members, scratch).join(sets, "mark")
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda j: F.struct(F.least("chunk", j).alias("i"), F.greatest("chunk", j).alias("j")))
+    dealt = placed.select("root", F.explode(pairs).alias("p"), "chunk", "id", "shingles").select("root", "p.i", "p.j", "chunk", "id", "shingles")
+    arrow_batches(docs.sparkSession)
+    return scratch.put(dealt.repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(_decide(least), "a long, b long"))
 
 
 def print_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
@@ -377,25 +393,30 @@ def print_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
     near = simhash.links(named.select("fp"), scratch)
     a, b = (named.select(F.col("fp").alias(c), F.col("rep").alias(f"rep_{c}")) for c in "ab")
     apart = salted_join(near, a, "a", ["b"], "inner").join(b, "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
-    alike = salted_join(texts.select("id", "fp"), named, "fp", ["id"], "inner").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    return apart.unionAll(alike)
+    alike_ = salted_join(texts.select("id", "fp"), named, "fp", ["id"], "inner").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    return apart.unionAll(alike_)
 
 
 def keep_one(docs: DataFrame, scratch: Scratch, words: int = WORDS, least: float = LEAST) -> DataFrame:
-    """``docs`` less all but one row of each group of near duplicates: the least doc_id, of its rows the first by text hash.
+    """``docs`` less all but one row of each group of near duplicates: the one of the least doc_id, then of the least mark of its text.
 
     Linked are equal texts, texts alike by ``least`` on shingles of ``words``, and texts whose 64-bit fingerprints lie
-    within the radius of ``simhash``. Only marks of the texts are shuffled until the survivors are known. Rows without doc_id take
-    part in no group and stay.
+    within the radius of ``simhash``. Only marks of the texts are shuffled until the survivors are known.
+
+    Defined results. Null text: as empty; texts without words are one group. Rows without doc_id take part in no group and stay. Equal
+    doc_ids with different texts: each row in its text's group. Repeated rows: one stays; of rows equal in doc_id and text
+    the first by its other columns as JSON. Empty table: empty result. Very long texts: whole. Extra columns of any name and type are kept.
     """
-    named = docs.where("doc_id IS NOT NULL")
+    key, mark, row, least_id, least_mark = fresh(docs, "key", "mark", "row", "least_id", "least_mark")
+    named = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     texts, width, blocks = distinct_texts(named, scratch, words, least)
     edges = links(named, texts, scratch, width, blocks, words, least).unionAll(print_links(texts, scratch))
     roots = components(edges, scratch).withColumnRenamed("node", "id")
-    rooted = scratch.put(texts.select("id", "doc_id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")))
-    first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "id")).alias("m")).select(F.col("m.doc_id").alias("_least"), F.col("m.id").alias("_id"))
-    kept = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    kept = kept.join(first, (kept["doc_id"] == first["_least"]) & (kept["_hash"] == first["_id"]), "left_semi").drop("_hash")
-    rank = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), *[c for c in docs.columns if c not in ("doc_id", "text")])
-    kept = kept.withColumn("_row", F.row_number().over(rank)).where("_row = 1").drop("_row")
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    rooted = scratch.put(texts.select("id", "doc_id", "mark").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")))
+    first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("m")).select(F.col("m.doc_id").alias(least_id), F.col("m.mark").alias(least_mark))
+    marked = docs.withColumns({key: F.col("doc_id").cast("long"), mark: mark_of(F.col("text"))})
+    kept = marked.join(first, (marked[key] == first[least_id]) & (marked[mark] == first[least_mark]), "left_semi")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    rank = Window.partitionBy(key, mark).orderBy(F.to_json(F.struct(*others)) if others else F.lit(0))
+    kept = kept.withColumn(row, F.row_number().over(rank)).where(F.col(row) == 1)
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(docs.where("doc_id IS NULL"))

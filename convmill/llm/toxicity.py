@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_batches
+from .common import Scratch, arrow_batches, fresh
 
 #: The bound of what is learned from, in labelled documents.
 SAMPLE = 20_000
@@ -182,11 +182,11 @@ class Trees:
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Knots of the non-decreasing fit of y to x, by pooling adjacent violators."""
-    order = np.argsort(x, kind="stable")
+    """Knots of the non-decreasing fit of y to x: equal x are one point, then adjacent violators are pooled."""
+    points, at, count = np.unique(x, return_inverse=True, return_counts=True)
     pools: list[list[float]] = []
-    for a, b in zip(x[order].tolist(), y[order].tolist()):
-        pools.append([b, 1.0, a, a])
+    for a, b, n in zip(points.tolist(), (np.bincount(at, y) / count).tolist(), count.tolist()):
+        pools.append([b, float(n), a, a])
         while len(pools) > 1 and pools[-2][0] >= pools[-1][0]:
             v, w, _, hi = pools.pop()
             p = pools[-1]
@@ -217,10 +217,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """text, y, fold of up to ``most`` labelled documents that are not held out; the ids are few by that bound and so are broadcast."""
+    """text, y, fold of up to ``most`` labelled documents that are not held out, one row each (of repeated doc_ids the least text); the ids are few by that bound and so are broadcast."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("y"))
     ids = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(ids), "doc_id").select("text", F.col("y").cast("int").alias("y"), F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(5)).cast("int").alias("fold"))
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("text", F.col("y").cast("int").alias("y"), F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(5)).cast("int").alias("fold"))
 
 
 def stems_of(text: bytes) -> set[str]:
@@ -283,22 +283,23 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, most: int = SAMPLE
 
 
 def scored(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
-    """doc_id and score, or all columns of ``docs`` and ``_score`` last, if ``keep``."""
-    name = "_score" if keep else "score"
+    """doc_id and score, or all columns of ``docs`` and the score as the last, under a name that none of them has, if ``keep``."""
+    (raw,) = fresh(docs, "bytes")
+    name = fresh(docs, "score")[0] if keep else "score"
     kept = docs if keep else docs.select("doc_id", "text")
-    asked = kept.withColumn("_bytes", F.col("text").cast("binary"))
+    asked = kept.withColumn(raw, F.col("text").cast("binary"))
     if not keep:
         asked = asked.drop("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("_bytes")
+            at = batch.schema.get_field_index(raw)
             score = pa.array(model.scores(batch.column(at).to_pylist()), pa.float64())
-            names = [n for n in batch.schema.names if n != "_bytes"]
+            names = [n for n in batch.schema.names if n != raw]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), score], names=[*names, name])
 
     arrow_batches(docs.sparkSession)
-    schema = asked.drop("_bytes").schema.add(name, "double")
+    schema = asked.drop(raw).schema.add(name, "double")
     return asked.mapInArrow(run, schema)
 
 
@@ -309,4 +310,6 @@ def judged(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` without those scored at THRESHOLD or above."""
-    return scored(docs, model, keep=True).where(F.col("_score") < THRESHOLD).drop("_score")
+    marked = scored(docs, model, keep=True)
+    score = marked.columns[-1]
+    return marked.where(F.col(score) < THRESHOLD).drop(score)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, salted_join
+from .common import ascii_lower, fresh, salted_join
 
 #: Odd multipliers of the eight words of a block; fixed values of the split-block design in the Parquet format.
 WORD_SALTS = (0x47B6137B, 0x44974D91, 0x8824AD5B, 0xA2B7289D, 0x705495C7, 0x2DF1424B, 0x9EFC4947, 0x5C6BFB31)
@@ -58,23 +58,24 @@ def judge(pages: DataFrame, rules: DataFrame, otherwise: str = "allow") -> DataF
     fits = lambda df, size: F.broadcast(df) if size <= BROADCAST_BYTES else df
 
     own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    seen = pages.select(*own).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))}).withColumn("_at", F.concat_ws("\n", "host", "path"))
+    at, found = fresh(pages, "at", "best")
+    seen = pages.select(*own).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))}).withColumn(at, F.concat_ws("\n", "host", "path"))
     parts = F.split("host", r"\.")
     count = F.size(parts)
     suffixes = F.transform(F.sequence(F.lit(1), F.least(count, F.lit(max(labels, 1)))), lambda k: F.array_join(F.slice(parts, count - k + 1, k), "."))
     lengths = F.filter(F.array(*(F.lit(x) for x in lens)) if lens else F.array().cast("array<int>"), lambda x: x <= F.length("path"))
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(lengths, lambda x: F.concat(s, F.substring("path", F.lit(1), x)))))
-    asked = seen.select("_at", "host", "path").distinct().select("_at", F.explode(keys).alias("key"))
+    asked = seen.select(at, "host", "path").distinct().select(at, F.explode(keys).alias("key"))
     filled = bloom_blocks(listed, blocks)
     possible = asked.withColumn("block", _block(F.col("key"), blocks)).join(fits(filled, blocks * 80), "block")
     for i in range(8):
         possible = possible.where(F.col(f"w{i}").bitwiseAND(_mask(F.col("key"), i)) != 0)
     # The listed keys of hosts such as "com" are asked for by a large share of the pages: past the broadcast bound, deal those over salts.
-    possible = possible.select("_at", "key")
-    exact = possible.join(F.broadcast(listed), "key") if facts["bytes"] <= BROADCAST_BYTES else salted_join(possible, listed, "key", ["_at"], "inner")
-    best = exact.groupBy("_at").agg(F.max(F.struct(F.length("key"), "key", "listed_verdict")).alias("_best"))
+    possible = possible.select(at, "key")
+    exact = possible.join(F.broadcast(listed), "key") if facts["bytes"] <= BROADCAST_BYTES else salted_join(possible, listed, "key", [at], "inner")
+    best = exact.groupBy(at).agg(F.max(F.struct(F.length("key"), "key", "listed_verdict")).alias(found))
     return (
-        salted_join(seen, best, "_at", own, "left")
-        .withColumns({"rule": F.col("_best.key"), "verdict": F.coalesce("_best.listed_verdict", F.lit(otherwise))})
+        salted_join(seen, best, at, ["url"], "left")
+        .withColumns({"rule": F.col(f"{found}.key"), "verdict": F.coalesce(f"{found}.listed_verdict", F.lit(otherwise))})
         .select(*own, "host", "path", "rule", "verdict")
     )

@@ -60,3 +60,21 @@ def test_odd_rows(spark):
     assert sharding.assign(docs.limit(0), Scratch(spark)).count() == 0
     one = sharding.assign(docs.where("doc_id = 3"), Scratch(spark)).collect()
     assert [r.slot for r in one] == [0]
+
+
+def test_full_shards_exchange(spark):
+    # Every text has a copy, so no unlinked document leaves room: pairs come together by exchange.
+    texts = [(i, f"text {i // 2} " * (8 + i // 2 % 5)) for i in range(4000)]
+    rows = sharding.assign(spark.createDataFrame(texts, "doc_id long, text string"), Scratch(spark)).collect()
+    largest = max(r.size for r in rows)
+    checked(rows, texts, 16 * largest)
+    pairs = defaultdict(set)
+    for r in rows:
+        pairs[r.doc_id // 2].add(r.shard)
+    assert sum(len(p) == 1 for p in pairs.values()) >= 0.95 * len(pairs)
+
+
+def test_odd_rows_are_balanced(spark):
+    texts = [(i % 7 or None, None if i % 5 == 0 else f"word {i % 40} " * (1 + i % 9)) for i in range(1500)]
+    rows = sharding.assign(spark.createDataFrame(texts, "doc_id long, text string"), Scratch(spark)).collect()
+    checked(rows, texts, 4 * max(r.size for r in rows))

@@ -66,3 +66,46 @@ def test_odd_rows_and_no_labels(spark):
     model = toxicity.fit(docs.limit(0), spark.createDataFrame([(1, 1)], "doc_id long, toxic int"), s)
     assert toxicity.judged(docs.limit(0), model).count() == 0
     assert toxicity.keep_clean(docs, model).columns == docs.columns and toxicity.keep_clean(docs, model).count() == len(rows)
+
+
+def test_isotonic_pools_equal_points_first():
+    x, v = toxicity.isotonic(np.array([1.0, 1, 1, 1, 2]), np.array([0.0, 0, 0, 1, 1]))
+    assert np.interp([1.0, 2.0], x, v).tolist() == [0.25, 1.0]
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(0, 12, 400).astype(float), rng.random(400)
+    x, v = toxicity.isotonic(a, b)
+    # The fit at each point by its min-max form: the least over later ends of the greatest mean from earlier starts.
+    at = np.unique(a)
+    mean = lambda i, j: b[(a >= at[i]) & (a <= at[j])].mean()
+    want = [max(min(mean(i, j) for j in range(k, len(at))) for i in range(k + 1)) for k in range(len(at))]
+    assert np.allclose(np.interp(at, x, v), want)
+
+
+def test_sample_bounds_rows_of_repeated_ids(spark):
+    docs = spark.createDataFrame([(i % 10, f"text {i}") for i in range(1000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, toxic int")
+    rows = toxicity.training_sample(docs, labels, 5).collect()
+    assert len(rows) == 5
+
+
+def test_query_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"), Scratch(spark))
+    kinds = toxicity.Kinds(model.marks)
+    want = {}
+    for r in docs.collect():
+        x, margin = toxicity.features((r.text or "").encode(), kinds), model.trees.start
+        for feats, cuts, value in model.trees.splits:
+            node = 0
+            for _ in range(model.trees.depth):
+                node = 2 * node + 1 + int(x[feats[node]] >= cuts[node])
+            margin += value[node - (2**model.trees.depth - 1)]
+        want[r.doc_id] = min(1.0, max(0.0, 0.999 * float(np.interp(margin, *model.knots)) + 0.001 / (1 + np.exp(-margin))))
+    got = {r.doc_id: r.score for r in queries.op7_toxicity(spark, SF).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "fine", "a", 2.0, {"k": 1})], "doc_id long, text string, _bytes string, _score double, m map<string,int>")
+    kept = toxicity.keep_clean(docs, toxicity.Model({}, None, None, 0.0))
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [tuple(r) for r in docs.collect()]
