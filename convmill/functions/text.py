@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +30,11 @@ def characters(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used: plans stay small where such uses nest."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def json_string(text: Column, ascii_only: bool = False) -> Column:
     """The body of a JSON string; ``ascii_only`` also escapes what is beyond ASCII, as surrogate pairs where needed."""
     body = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
@@ -47,4 +54,4 @@ def json_string(text: Column, ascii_only: bool = False) -> Column:
             out = out.when(n > 0xFFFF, wide).when(n > 126, unit(n))
         return out.otherwise(c)
 
-    return F.when(body.rlike(odd), F.array_join(F.transform(characters(body), one), "")).otherwise(body)
+    return let(body, lambda b: F.when(b.rlike(odd), F.array_join(F.transform(characters(b), one), "")).otherwise(b))

@@ -16,7 +16,7 @@ DIGITS = 3
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row for each combination of ``keys`` (null differs from empty): the first by ``order``.
+    """One row for each combination of ``keys`` (null differs from empty): the first by ``order``, of ties the first by all columns as JSON.
 
     Keys are compared by a SHA-256 of their JSON form, so the aggregation shuffles digests and order columns only, and a hot key is
     reduced before the shuffle.
@@ -26,7 +26,10 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     first = df.select(digest.alias("_digest"), *order).groupBy("_digest").agg(least.alias("_first"))
     mine = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     kept = df.withColumns({"_d": digest, "_mine": mine})
-    return kept.join(first, (F.col("_d") == F.col("_digest")) & F.col("_mine").eqNullSafe(F.col("_first")), "left_semi").drop("_d", "_mine")
+    kept = kept.join(first, (F.col("_d") == F.col("_digest")) & F.col("_mine").eqNullSafe(F.col("_first")), "left_semi")
+    # Ties, equal rows among them, are reduced before any shuffle, so often repeated ones never meet.
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    return kept.groupBy("_d").agg(F.min_by(row, F.to_json(row)).alias("_row")).select("_row.*")
 
 
 def ranked(df: DataFrame, key: list[str], seed: str, out: str = "rank") -> DataFrame:
@@ -42,7 +45,7 @@ def sample(df: DataFrame, n: int, key: list[str], seed: str = "sample") -> DataF
     """``n`` rows without replacement, or all if there are fewer."""
     if n < 0:
         raise ValueError("a sample has 0 rows or more")
-    return df.withColumn("_h", D.digest(seed, *map(F.col, key))).orderBy("_h", *key).limit(n).drop("_h")
+    return ranked(df, key, seed, "_rank").where(F.col("_rank") <= n).drop("_rank")
 
 
 def sample_with_replacement(df: DataFrame, n: int, key: list[str], seed: str = "resample") -> DataFrame:

@@ -48,7 +48,14 @@ def calculate(expression: str | None) -> str:
 
 
 def calculate_column(expression: Column) -> Column:
-    return F.udf(lambda e: calculate(e), "string")(expression)
+    """``calculate`` in Arrow batches; each distinct expression of a batch is worked out once."""
+
+    @F.pandas_udf("string")
+    def run(batch: pd.Series) -> pd.Series:
+        known = {e: calculate(e) for e in batch.dropna().unique()}
+        return batch.map(lambda e: known.get(e) or calculate(None))
+
+    return run(expression)
 
 
 class Registry:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import draw as D
 from ..functions import vocab as V
-from ..functions.text import json_string, words
+from ..functions.text import json_string, let, words
 from .messages import first_of, replace_last
 
 KINDS = ("single", "multi", "none")
@@ -25,13 +27,8 @@ def calculation(query: Column) -> Column:
     return F.when(F.size(numbers) >= 2, F.concat(F.get(numbers, F.lit(0)), F.lit(" + "), F.get(numbers, F.lit(1)))).when(F.size(numbers) == 1, F.concat(F.get(numbers, F.lit(0)), F.lit(" * 2"))).otherwise("1 + 1")
 
 
-def arguments(tool: Column, query: Column) -> Column:
-    """A tool's arguments from a query: a map in call order; empty for unknown tools.
-
-    Texts are escaped as JSON already, so writing them into a call escapes them once more, as those who read the calls expect.
-    """
-    first = F.slice(words(F.lower(query)), 1, 5)
-    text = json_string(F.array_join(first, " "), ascii_only=True)
+def _fields(query: Column, first: Column, text: Column) -> dict[str, dict[str, Column]]:
+    """Each known tool's arguments in call order, from a query, its ``first`` words and their ``text``."""
     some = lambda c: json_string(c, ascii_only=True)
     head = F.substring(query, 1, 50)
     of = {
@@ -43,10 +40,43 @@ def arguments(tool: Column, query: Column) -> Column:
         "task_tracker_tool": {"task_details": some(F.concat(F.lit("Task: "), head))},
         "get_current_weather": {"location": some(F.coalesce(F.try_element_at(first, F.lit(-1)), F.lit("New York")))},
     }
-    out = F
-    for name in V.TOOLS:
-        out = out.when(tool == name, F.create_map(*[x for k, v in of.get(name, {"query": text}).items() for x in (F.lit(k), v)]))
-    return out.otherwise(F.create_map().cast("map<string,string>"))
+    return {name: of.get(name, {"query": text}) for name in V.TOOLS}
+
+
+def _with_words(query: Column, use: Callable[[Column, Column], Column]) -> Column:
+    first = F.slice(words(F.lower(query)), 1, 5)
+    return let(first, lambda f: let(json_string(F.array_join(f, " "), ascii_only=True), lambda t: use(f, t)))
+
+
+def arguments(tool: Column, query: Column) -> Column:
+    """A tool's arguments from a query: a map in call order; empty for unknown tools.
+
+    Texts are escaped as JSON already, so writing them into a call escapes them once more, as those who read the calls expect.
+    """
+
+    def made(first: Column, text: Column) -> Column:
+        out = F
+        for name, fields in _fields(query, first, text).items():
+            out = out.when(tool == name, F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v)]))
+        return out.otherwise(F.create_map().cast("map<string,string>"))
+
+    return _with_words(query, made)
+
+
+def call_lines(query: Column) -> Column:
+    """For each known tool the call with its arguments from a query, and on the next line what it is made to answer."""
+
+    def made(first: Column, text: Column) -> Column:
+        entries = []
+        for name, fields in _fields(query, first, text).items():
+            begin, rest = V.TOOL_ANSWERS[name].split("{") if name in V.TOOL_ANSWERS else (f"Tool result: {name} executed", "}")
+            arg, end = rest.split("}")
+            shown = [x for k, v in fields.items() for x in (F.lit(f'"{k}": "'), json_string(v), F.lit('", '))]
+            shown[-1] = F.lit('"}}}')
+            entries += [F.lit(name), F.concat(F.lit(f'{V.NEED}{{"tool_call": {{"name": "{name}", "arguments": {{'), *shown, F.lit(f"\n{begin}"), fields.get(arg, F.lit("")), F.lit(end))]
+        return F.create_map(*entries)
+
+    return _with_words(query, made)
 
 
 def answer(tool: Column, args: Column) -> Column:
@@ -65,12 +95,13 @@ def call_json(tool: Column, args: Column) -> Column:
     return F.concat(F.lit('{"tool_call": {"name": "'), json_string(tool), F.lit('", "arguments": {'), F.array_join(fields, ", "), F.lit("}}}"))
 
 
-def with_calls(kind: Column, tools: Column, user: Column, response: Column, key: Column, seed: str = "variant") -> Column:
-    """The answer of a variant: one call, two different ones, or none; unknown kinds count as none."""
+def with_calls(kind: Column, tools: Column, lines: Column, response: Column, key: Column, seed: str = "variant") -> Column:
+    """The answer of a variant, by the ``call_lines`` of its chat: one call, two different ones, or none; unknown kinds count as none."""
     order = D.shuffled(tools, seed, key)
     count = F.when(kind == "single", 1).when(kind == "multi", 2).otherwise(0)
-    lines = F.flatten(F.transform(F.slice(order, F.lit(1), F.least(count, F.size(tools))), lambda t: F.array(F.concat(F.lit(V.NEED), call_json(t, arguments(t, user))), answer(t, arguments(t, user)))))
-    return F.when(count == 0, response).otherwise(F.array_join(F.concat(lines, F.array(F.concat(F.lit(V.ADVICE), response))), "\n"))
+    unknown = lambda t: F.concat(F.lit(V.NEED), call_json(t, F.create_map().cast("map<string,string>")), F.lit("\nTool result: "), t, F.lit(" executed"))
+    calls = F.transform(F.slice(order, F.lit(1), F.least(count, F.size(tools))), lambda t: F.coalesce(F.try_element_at(lines, t), unknown(t)))
+    return F.when(count == 0, response).otherwise(F.array_join(F.concat(calls, F.array(F.concat(F.lit(V.ADVICE), response))), "\n"))
 
 
 def variants(chats: DataFrame, count: int, tools: list[str], key: str = "conv_id", relevant=None, seed: str = "variant") -> DataFrame:
@@ -84,9 +115,11 @@ def variants(chats: DataFrame, count: int, tools: list[str], key: str = "conv_id
     originals = base.select(key, F.lit(0).cast("bigint").alias("variant"), F.lit("original").alias("kind"), "messages")
     user, response = first_of(F.col("messages"), "user"), first_of(F.col("messages"), "assistant")
     order = D.shuffled(D.strings(kinds(count)), f"{seed}-kinds", F.col(key))
-    dealt = base.where((user != "") & (response != "")).select(key, "messages", F.posexplode(order).alias("at", "kind"))
-    allowed = relevant(user) if relevant else D.strings(tools)
-    text = with_calls(F.col("kind"), allowed, user, response, F.concat_ws("-", F.col(key).cast("string"), F.col("at").cast("string")), seed)
+    # Calls are worked out once for a chat, before it is dealt over its variants.
+    ready = base.select(key, "messages", user.alias("user"), response.alias("response")).where("user <> '' AND response <> ''")
+    ready = ready.select(key, "messages", "response", call_lines(F.col("user")).alias("lines"), (relevant(F.col("user")) if relevant else D.strings(tools)).alias("allowed"))
+    dealt = ready.select("*", F.posexplode(order).alias("at", "kind"))
+    text = with_calls(F.col("kind"), F.col("allowed"), F.col("lines"), F.col("response"), F.concat_ws("-", F.col(key).cast("string"), F.col("at").cast("string")), seed)
     made = dealt.select(key, (F.col("at") + 1).cast("bigint").alias("variant"), "kind", replace_last(F.col("messages"), "assistant", text).alias("messages"))
     return originals.unionByName(made)
 

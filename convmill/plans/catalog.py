@@ -284,13 +284,12 @@ def tool_execute(spark, sf_dir):
     return K.execute_calls(calls).select("conv_id", "result")
 
 
-@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 2 THEN 'Error: Calculation failed - division by zero' ELSE CAST(CASE WHEN l_linenumber % 3 = 0 THEN l_orderkey + 3 * l_partkey ELSE -(l_suppkey // 7) END AS VARCHAR) END AS result FROM lineitem WHERE l_suppkey % 7 = 0")
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 2 THEN 'Error: Calculation failed - integer modulo by zero' ELSE CAST(CASE WHEN l_linenumber % 3 = 0 THEN l_orderkey + 3 * l_partkey ELSE -(l_suppkey // 7) END AS VARCHAR) END AS result FROM lineitem")
 def safe_calc(spark, sf_dir):
     k = F.col("l_linenumber") % 3
     s = lambda c: F.col(c).cast("string")
     text = F.when(k == 0, F.concat(s("l_orderkey"), F.lit(" + 3 * "), s("l_partkey"))).when(k == 1, F.concat(F.lit("-("), s("l_suppkey"), F.lit(" // 7)"))).otherwise(F.concat(s("l_suppkey"), F.lit(" % 0")))
-    out = K.calculate_column(text)
-    return read(spark, sf_dir, "lineitem").where("l_suppkey % 7 = 0").select("l_orderkey", "l_linenumber", F.when(out.startswith("Error: Calculation failed"), "Error: Calculation failed - division by zero").otherwise(out).alias("result"))
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", K.calculate_column(text).alias("result"))
 
 
 # Preference pairs
@@ -332,6 +331,12 @@ def dedup_exact(spark, sf_dir):
     return U.keep_first(read(spark, sf_dir, "documents"), ["lang", "source", "text"], ["doc_id"]).select("doc_id")
 
 
+@query("SELECT md5(coalesce(text, '')) AS digest, min(doc_id // 4) AS place FROM documents GROUP BY text")
+def dedup_ties(spark, sf_dir):
+    some = read(spark, sf_dir, "documents").select("text", F.floor(F.col("doc_id") / 4).alias("place"))
+    return U.keep_first(some.unionAll(some), ["text"], ["place"]).select(F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "place")
+
+
 @query(f"SELECT doc_id FROM documents ORDER BY {S.digest('sample', 'doc_id')}, doc_id LIMIT 100")
 def sample_n(spark, sf_dir):
     return U.sample(read(spark, sf_dir, "documents").select("doc_id"), 100, ["doc_id"])
@@ -386,9 +391,9 @@ def _diversity_sql(source: str, field: str, key: str, most: int) -> str:
     FROM range(least({n} * ({n} - 1) // 2, {most})) d JOIN {ranked} a ON a.rank = {i} + 1 JOIN {ranked} b ON b.rank = {j} + CASE WHEN {j} >= {i} THEN 1 ELSE 0 END + 1"""
 
 
-@query(f"WITH {S.PAIRS} {_diversity_sql('pairs', 'prompt', 'conv_id', 300)} UNION ALL {_diversity_sql('pairs', 'response', 'conv_id', 300)}")
+@query(f"WITH {S.PAIRS} {_diversity_sql('pairs', 'prompt', 'conv_id', R.PAIRS_MOST)} UNION ALL {_diversity_sql('pairs', 'response', 'conv_id', R.PAIRS_MOST)}")
 def diversity_report(spark, sf_dir):
-    report = R.diversity_report(pairs(spark, sf_dir), ["prompt", "response"], ["conv_id"], most=300)
+    report = R.diversity_report(pairs(spark, sf_dir), ["prompt", "response"], ["conv_id"])
     return report.withColumns({c: F.round(c, 9) for c in ("unique_ratio", "avg_jaccard")})
 
 
@@ -424,20 +429,19 @@ def ints(array: Column) -> Column:
     return F.array_join(F.transform(array, lambda x: x.cast("string")), " ")
 
 
-@query(f"SELECT item_id, array_to_string({_CODES % 'text'}[1:64], ' ') AS ids FROM benchmark")
+@query(f"SELECT item_id, array_to_string({_CODES % 'text'}[1:2048], ' ') AS ids FROM benchmark")
 def char_tokens(spark, sf_dir):
-    return T.tokenize(read(spark, sf_dir, "benchmark"), T.CharacterTokenizer(), most=64).select("item_id", ints(F.col("input_ids")).alias("ids"))
+    return T.tokenize(read(spark, sf_dir, "benchmark"), T.CharacterTokenizer()).select("item_id", ints(F.col("input_ids")).alias("ids"))
 
 
 _TEMPLATE = [101, 114]
-_BATCH = f"""t AS (SELECT item_id, item_id // 8 AS batch_id, {_CODES % 'text'}[1:40 + item_id % 17] AS ids FROM benchmark), w AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS n FROM t),
+_BATCH = f"""t AS (SELECT item_id, item_id // 8 AS batch_id, {_CODES % 'text'}[1:2048] AS ids FROM benchmark), w AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS n FROM t),
 p AS (SELECT item_id, batch_id, len(ids) AS k, ids || list_transform(range(n - len(ids)), lambda z: 0) AS ids FROM w),
 s AS (SELECT *, coalesce(list_min(list_filter(range(1, len(ids)), lambda i: ids[i] = {_TEMPLATE[0]} AND ids[i + 1] = {_TEMPLATE[1]})) + 1, len(ids)) AS start FROM p)"""
 
 
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = F.slice(T.CharacterTokenizer().ids(F.col("text")), F.lit(1), (F.lit(40) + F.col("item_id") % 17).cast("int"))
-    rows = read(spark, sf_dir, "benchmark").select("item_id", F.floor(F.col("item_id") / 8).alias("batch_id"), ids.alias("input_ids"))
+    rows = T.tokenize(read(spark, sf_dir, "benchmark"), T.CharacterTokenizer()).select("item_id", F.floor(F.col("item_id") / 8).alias("batch_id"), "input_ids")
     return T.collate(rows, "batch_id", _TEMPLATE)
 
 

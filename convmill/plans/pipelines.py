@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import draw as D
+from ..functions.durable import written
 from ..functions.rules import Rule
 from ..operators import augment as A
 from ..operators import classify as C
@@ -87,8 +88,8 @@ def updated(records: DataFrame, key: str = "intent_id", dialect: Dialect = MASTE
 
 
 def curated(records: DataFrame, share: float = 0.1, sample: int | None = None, review: float = 0.0, key: tuple = ("intent_id",), seed: str = "curate") -> DataFrame:
-    """Exact duplicates dropped, a sample taken, a share flagged for review, and rows split."""
-    out = U.keep_first(records, ["persona_archetype", "application_prompt", "ideal_response_final"], list(key))
+    """Exact duplicates dropped, a sample taken, a share flagged for review, and rows split. Each step reads its input twice, so that is written first."""
+    out = written(U.keep_first(written(records), ["persona_archetype", "application_prompt", "ideal_response_final"], list(key)))
     if sample is not None:
         out = U.sample(out, sample, list(key), seed)
     if review:
