@@ -1,20 +1,24 @@
 """Document fingerprints by prefix polynomial hashes.
 
-``PrefixHash`` holds the modular prefix sums of c[j] * B^j, so any two spans are compared in
-constant time and the longest common extension of two positions is found by binary search.
+``PrefixHash`` holds the modular prefix sums of c[j] * B^j under two bases, so any two spans are compared in
+constant time and the longest common extension of two positions, to the right or to the left, is found by binary search.
 
-A fingerprint samples those arrays: the number of code points, the hash of the whole under two
-bases, and the hashes of the prefixes and suffixes whose lengths lie on one geometric grid. Two
-fingerprints are alike by the longest common prefix and suffix that binary search over the grid finds, as a share of the longer text.
+A fingerprint is the number of code points, the hash of the whole under both bases, and the hashes of spans that cover the text: they end where the
+hash of the last WINDOW code points, read from the prefix sums, is 0 modulo SPAN, so equal passages have equal spans wherever they lie.
+
+The likeness of two documents is the share of the longer one in passages that both have, at any offsets. Candidates are both beginnings, both
+ends and equal spans; each is extended both ways by the prefix arrays to the last equal code point, and what was counted once in either text isn't again.
+``estimate`` reads the share from two stored fingerprints alone, to within the spans at the passages' ends.
 
 Defined results. Null text: as empty. Empty texts are equal to each other: likeness 1. Order of documents:
 doc_id ascending, nulls first, then a hash of the text; a lone document is its own next.
-Repeated rows: each stays, the next one being its copy. Very long texts: hashed in blocks of BLOCK code points. Extra columns are dropped.
+Repeated rows: each stays, the next one being its copy. Very long texts: whole; sums are built in blocks of BLOCK code points and held in 16 bytes a code point. Extra columns are dropped.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter, defaultdict, deque
 from collections.abc import Iterator
 from functools import cache
 
@@ -28,9 +32,8 @@ from .common import arrow_batches
 P = (1 << 31) - 1
 BASES = (1_046_527_193, 1_734_212_909)
 BLOCK = 1 << 20
-#: Grid lengths in each doubling, and hex digits kept of each sampled hash.
-PER_OCTAVE, DIGITS = 6, 5
-GRID = np.unique(np.round(2.0 ** (np.arange(0, 40 * PER_OCTAVE) / PER_OCTAVE)).astype(np.int64))
+#: Code points whose hash ends a span, mean length of a span, its least and greatest length, and hex digits kept of its hash.
+WINDOW, SPAN, LEAST, MOST, DIGITS = 8, 32, 8, 1024, 6
 
 
 @cache
@@ -69,11 +72,16 @@ def shifts(base: int, at: np.ndarray) -> np.ndarray:
     inverse = pow(base, P - 2, P)
     low = powers(inverse)[at % BLOCK]
     if len(at) and at.max() >= BLOCK:
-        high = np.array([pow(inverse, int(i) // BLOCK * BLOCK, P) for i in at], np.uint64)
-        low = low * high % np.uint64(P)
+        block, which = np.unique(at // BLOCK, return_inverse=True)
+        high = np.array([pow(inverse, int(i) * BLOCK, P) for i in block], np.uint64)
+        low = low * high[which] % np.uint64(P)
     return low
 
 
+def power(base: int, i: int) -> int:
+    return int(powers(base)[i]) if i <= BLOCK else pow(base, i, P)
+
+
 class PrefixHash:
     """Modular prefix arrays of one text, for span equality and common extensions."""
 
@@ -88,51 +96,116 @@ class PrefixHash:
         return tuple((int(s[j]) - int(s[i])) * pow(b, (P - 1 - i % (P - 1)), P) % P for s, b in zip(self.sums, BASES))
 
     def same(self, i: int, other: PrefixHash, j: int, n: int) -> bool:
-        return self.span(i, i + n) == other.span(j, j + n)
-
-    def extension(self, i: int, other: PrefixHash, j: int) -> int:
-        """How far the texts agree from i and j on."""
-        low, high = 0, min(self.n - i, other.n - j)
+        """Whether the spans of n code points from i and j are equal; each is moved to the other's place rather than both to 0."""
+        for x, y, b in zip(self.sums, other.sums, BASES):
+            if (int(x[i + n]) - int(x[i])) * power(b, j) % P != (int(y[j + n]) - int(y[j])) * power(b, i) % P:
+                return False
+        return True
+
+    def extension(self, i: int, other: PrefixHash, j: int, most: int | None = None) -> int:
+        """How far the texts agree from i and j on, up to ``most``."""
+        low, high = 0, min(self.n - i, other.n - j, *([] if most is None else [most]))
         while low < high:
             mid = (low + high + 1) // 2
             low, high = (mid, high) if self.same(i, other, j, mid) else (low, mid - 1)
         return low
 
+    def extension_left(self, i: int, other: PrefixHash, j: int, most: int | None = None) -> int:
+        """How far the texts agree before i and j, up to ``most``."""
+        low, high = 0, min(i, j, *([] if most is None else [most]))
+        while low < high:
+            mid = (low + high + 1) // 2
+            low, high = (mid, high) if self.same(i - mid, other, j - mid, mid) else (low, mid - 1)
+        return low
+
+    def ends(self) -> np.ndarray:
+        """Where the spans of the text begin and end: 0, the places where a window's hash is 0 modulo SPAN, and n; LEAST to MOST apart but at the end."""
+        found = []
+        for start in range(0, self.n - WINDOW + 1, BLOCK):
+            at = np.arange(start, min(start + BLOCK, self.n - WINDOW + 1))
+            here = (self.sums[0][at + WINDOW] + np.uint64(P) - self.sums[0][at]) % np.uint64(P) * shifts(BASES[0], at) % np.uint64(P)
+            found.append(at[here % np.uint64(SPAN) == 0] + WINDOW)
+        places = np.concatenate([*found, [self.n]]) if found else np.array([self.n])
+        out, now = [0], 0
+        while now < self.n:
+            k = int(np.searchsorted(places, now + LEAST))
+            after = int(places[k]) if k < len(places) else self.n
+            now = min(after, now + MOST)
+            out.append(now)
+        return np.array(out)
+
+    def marks(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ends of the spans, and the spans' hashes."""
+        ends = self.ends()
+        s, at = self.sums[0][ends], ends[:-1]
+        return ends, (s[1:] + np.uint64(P) - s[:-1]) % np.uint64(P) * shifts(BASES[0], at) % np.uint64(P)
+
+
+class Fingerprint:
+    """A text's prefix arrays with its spans, and ``mark``: ``n:whole:spans``, the hashes in hex but for n; a span is three digits of its length less 1 and DIGITS of its hash."""
+
+    def __init__(self, text: str) -> None:
+        self.hash = PrefixHash(text)
+        self.n = self.hash.n
+        self.ends, spans = self.hash.marks()
+        self.spans = spans.tolist()
+        mask = (1 << 4 * DIGITS) - 1
+        shown = "".join([f"{n - 1:03x}{x & mask:0{DIGITS}x}" for n, x in zip(np.diff(self.ends).tolist(), self.spans)])
+        self.mark = f"{self.n}:{int(self.hash.sums[0][-1]):08x}{int(self.hash.sums[1][-1]):08x}:{shown}"
+
+    def shared(self, other: Fingerprint) -> int:
+        """Code points in passages that both texts have; none is counted twice in either."""
+        a, b = self.hash, other.hash
+        if not a.n or not b.n:
+            return 0
+        free = np.ones(b.n, bool)
+        head = a.extension(0, b, 0)
+        tail = a.extension_left(a.n, b, b.n, min(a.n, b.n) - head)
+        free[:head] = False
+        free[b.n - tail :] = False
+        total, stop, now = head + tail, a.n - tail, head
+        at: dict[int, deque[int]] = defaultdict(deque)
+        for x, j in zip(other.spans, other.ends.tolist()):
+            at[x].append(j)
+        for x, i, end in zip(self.spans, self.ends.tolist(), self.ends[1:].tolist()):
+            if i < now or end > stop or x not in at:
+                continue
+            places, n = at[x], end - i
+            while places and not free[places[0] : places[0] + n].all():
+                places.popleft()
+            if not places or not a.same(i, b, j := places[0], n):
+                continue
+            # The free code points before and after what is known to be equal bound the extension.
+            taken = np.flatnonzero(~free[:j])
+            left = a.extension_left(i, b, j, min(i - now, j - (int(taken[-1]) + 1 if len(taken) else 0)))
+            taken = np.flatnonzero(~free[j:])
+            right = a.extension(i, b, j, min(stop - i, int(taken[0]) if len(taken) else b.n - j))
+            free[j - left : j + right] = False
+            total += left + right
+            now = i + right
+        return total
+
+    def likeness(self, other: Fingerprint) -> float:
+        """1 for equal texts, else the share of the longer text that is shared, below 1."""
+        if self.mark == other.mark:
+            return 1.0
+        longer = max(self.n, other.n)
+        return min(self.shared(other), longer - 1) / longer
+
 
 def fingerprint(text: str) -> str:
-    """``n:whole:prefixes:suffixes``, hex but for n; the samples are DIGITS wide, one for each grid length up to n."""
-    codes = codes_of(text)
-    n = len(codes)
-    grid = GRID[: np.searchsorted(GRID, n, side="right")]
-    # Lengths at which the prefix sums are needed: the grid, the starts of the suffixes, the whole.
-    wanted = np.unique(np.concatenate([grid, n - grid, [n]]))
-    first = prefix_at(codes, BASES[0], wanted)
-    other = prefix_at(codes, BASES[1], np.array([n]))
-    whole = int(first[-1]), int(other[-1])
-    at = lambda x: first[np.searchsorted(wanted, x)]
-    suffix = (np.uint64(whole[0]) + np.uint64(P) - at(n - grid)) % np.uint64(P) * shifts(BASES[0], n - grid) % np.uint64(P)
-    mask = (1 << 4 * DIGITS) - 1
-    hexed = lambda xs: "".join([f"{x & mask:0{DIGITS}x}" for x in xs.tolist()])
-    return f"{n}:{whole[0]:08x}{whole[1]:08x}:{hexed(at(grid))}:{hexed(suffix)}"
-
-
-def _common(a: str, b: str) -> int:
-    """The longest grid length at which both samples agree: agreement holds up to a point and not beyond, so by binary search."""
-    low, high = 0, min(len(a), len(b)) // DIGITS
-    while low < high:
-        mid = (low + high + 1) // 2
-        at = slice((mid - 1) * DIGITS, mid * DIGITS)
-        low, high = (mid, high) if a[at] == b[at] else (low, mid - 1)
-    return int(GRID[low - 1]) if low else 0
-
-
-def likeness(a: str, b: str) -> float:
-    """1 for equal fingerprints, else the share of the longer text in a common prefix or suffix, below 1."""
+    return Fingerprint(text).mark
+
+
+def estimate(a: str, b: str) -> float:
+    """The share of the longer text in spans that both fingerprints have, below 1 unless they are equal."""
     if a == b:
         return 1.0
-    (n, _, ap, as_), (m, _, bp, bs) = a.split(":"), b.split(":")
+    (n, _, x), (m, _, y) = a.split(":"), b.split(":")
+    width = 3 + DIGITS
+    spans = [Counter(s[i : i + width] for i in range(0, len(s), width)) for s in (x, y)]
     longer = max(int(n), int(m))
-    return min(_common(ap, bp) + _common(as_, bs), longer - 1) / longer
+    return min(sum(k * (int(s[:3], 16) + 1) for s, k in (spans[0] & spans[1]).items()), longer - 1) / longer
 
 
 def _rank(value: Column, bounds: list[int]) -> Column:
@@ -186,13 +259,13 @@ def compare(docs: DataFrame) -> DataFrame:
             for bucket, doc_id, text, carry in zip(*(c.to_pylist() for c in batch.columns)):
                 if carry and held is None:
                     continue
-                mark = held[2] if held and held[1] == text else fingerprint(text)
+                mark = held[2] if held and held[1] == text else Fingerprint(text)
                 if held is not None and bucket == now:
                     own_id, own, own_mark = held
                     cut = len(own) // 2
                     edited = own[: len(own) - cut] + text[:cut]
-                    edited_mark = own_mark if edited == own else fingerprint(edited)
-                    rows.append((own_id, len(own), hashlib.sha256(edited.encode()).hexdigest(), own_mark, edited_mark, likeness(own_mark, edited_mark), likeness(own_mark, mark)))
+                    edited_mark = own_mark if edited == own else mark if edited == text else Fingerprint(edited)
+                    rows.append((own_id, len(own), hashlib.sha256(edited.encode()).hexdigest(), own_mark.mark, edited_mark.mark, own_mark.likeness(edited_mark), own_mark.likeness(mark)))
                 now, held = bucket, None if carry else (doc_id, text, mark)
             columns = list(zip(*rows)) if rows else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)

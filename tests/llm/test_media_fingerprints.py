@@ -43,11 +43,47 @@ def test_blocks_do_not_change_hashes(monkeypatch):
     fp.powers.cache_clear()
 
 
-def test_grid_samples_give_the_common_prefix_and_suffix():
-    a, b = "x" * 500 + "P" + "y" * 499, "x" * 500 + "Q" + "y" * 499
-    near = fp.likeness(fp.fingerprint(a), fp.fingerprint(b))
-    assert 0.85 < near < 1
-    assert fp.likeness(fp.fingerprint("qqqq"), fp.fingerprint("zzzz")) == 0
+class Plain(fp.PrefixHash):
+    """The same by comparing code points."""
+
+    def same(self, i, other, j, n):
+        return bool((self.codes[i : i + n] == other.codes[j : j + n]).all())
+
+
+def plain_likeness(x, y):
+    a, b = fp.Fingerprint(x), fp.Fingerprint(y)
+    a.hash, b.hash = Plain(x), Plain(y)
+    return a.likeness(b)
+
+
+def test_extensions_to_the_left():
+    rng = random.Random(5)
+    s = "".join(rng.choice("ab") for _ in range(200))
+    a, b = fp.PrefixHash(s), fp.PrefixHash("Q" + s[40:])
+    for _ in range(200):
+        i, j = rng.randrange(201), rng.randrange(162)
+        k = 0
+        while k < min(i, j) and s[i - k - 1] == ("Q" + s[40:])[j - k - 1]:
+            k += 1
+        assert a.extension_left(i, b, j) == k and a.extension_left(i, b, j, 3) == min(k, 3)
+
+
+def test_likeness_counts_shared_passages_at_any_offset():
+    rng = random.Random(1)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    a, b, c = words(300), words(300), words(60)
+    near = lambda x, y: fp.Fingerprint(x).likeness(fp.Fingerprint(y))
+    assert near(a, a) == near("", "") == 1.0 and near(a, "") == 0.0 and near("qqqq", "zzzz") == 0.0
+    assert near(a, "x" + a) > 0.99 and near("x" + a + "y", "z" + a + "w") > 0.99
+    assert near(a, a[: len(a) // 2] + "!" + a[len(a) // 2 :]) > 0.99
+    assert near(a, b) < 0.1 and len(c) / (len(a) + len(c)) - 0.02 < near(a[:500] + c + a[500:], b[:900] + c + b[900:]) < 0.35
+    assert 0.9 < near(a[700:] + a[:700], a) <= 1
+    # What occurs once in one text is shared once.
+    assert near("word " * 400, "word " * 100) <= 0.26
+    assert fp.estimate(fp.fingerprint(a), fp.fingerprint("x" + a)) > 0.9 and fp.estimate(fp.fingerprint(a), fp.fingerprint(b)) < 0.1
+    for n in (1, 5, 40, 2500):
+        spans = fp.Fingerprint(a[:n])
+        assert spans.ends[-1] == min(n, len(a)) and (n < 100 or 10 < len(a[:n]) / len(spans.spans) < 100)
 
 
 def brute(rows):
@@ -60,9 +96,13 @@ def test_fingerprint_query_equals_brute_force(spark):
     rows = queries.op3_fingerprints(spark, SF).collect()
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert {(r.doc_id, r.edited_sha256) for r in rows} == brute(texts.items()) and len(rows) == len(texts)
+    after = {i: texts[j] for i, j in zip(sorted(texts), [*sorted(texts)[1:], min(texts)])}
     for r in rows:
-        assert r.fingerprint == fp.fingerprint(texts[r.doc_id]) and r.n_chars == len(texts[r.doc_id])
-        assert 0 <= r.near_next <= 1 and 0.3 <= r.near_edited <= 1
+        own, following = texts[r.doc_id], after[r.doc_id]
+        edited = own[: len(own) - len(own) // 2] + following[: len(own) // 2]
+        assert r.fingerprint == fp.fingerprint(own) and r.n_chars == len(own) and r.edited_fingerprint == fp.fingerprint(edited)
+        assert r.near_next == plain_likeness(own, following) and r.near_edited == plain_likeness(own, edited)
+        assert 0 <= r.near_next <= 1 and (len(own) - len(own) // 2) / max(1, len(own)) - 1e-3 <= r.near_edited <= 1
 
 
 def test_fingerprint_odd_rows(spark):
