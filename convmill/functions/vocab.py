@@ -82,6 +82,11 @@ PERSONA_SHIFTS = [
     ("Career Changer", "career prospects", "side project goals", " It's for a side project."),
     ("Business Professional", "run overtime", "lack focus", " Meetings often lack focus."),
     ("Social Host", "first dinner party", "large family gathering", " It's for a large family gathering."),
+    ("Content Creator", "concerned about originality", "focused on efficiency", " I want to be more efficient."),
+    ("Parent", "poor organizational skills", "time management issues", " My child struggles with time management."),
+    ("Team Leader", "fear of conflict", "desire for team harmony", " I want to maintain team harmony."),
+    ("Style Seeker", "limited budget", "sustainable fashion focus", " I'm interested in sustainable fashion."),
+    ("Media Creator", "technical aspects", "audience engagement", " I want to focus on audience engagement."),
 ]
 SYSTEM_PROMPTS = {
     "Foundational": "You are a factual and transparent assistant providing direct, unambiguous answers to user queries. Focus on clarity and practical information, ensuring responses are concise and helpful.",

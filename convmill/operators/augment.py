@@ -47,14 +47,14 @@ def dynamic_perturbation(context: Column, depth: int, key: Column, seed: str = "
     return F.array_join(F.slice(D.shuffled(F.array(*made), seed, key), 1, min(depth, len(made))), " ")
 
 
-def pairs_in_depth(persona: Column, context: Column, prompt: Column, depth: int, key: Column, extra: dict[str, list[tuple[str, str]]] | None = None, seed: str = "depth") -> Column:
-    """As ``pairs``, with a dynamic perturbation and further pairs by what the persona has."""
+def pairs_in_depth(persona: Column, context: Column, prompt: Column, depth: int, key: Column, extra: dict[str, list[tuple[str, str]]] | None = None, seed: str = "depth", pool: list | None = None) -> Column:
+    """As ``pairs``, with a dynamic perturbation and further pairs by what the persona has, the first of ``extra`` that it has."""
     base = F.array(F.struct(dynamic_perturbation(context, depth, key, seed).alias("context"), prompt.alias("prompt")))
-    more = [
-        F.when(persona.contains(need), F.array(*(F.struct(F.concat(context, F.lit(c)).alias("context"), F.concat(prompt, F.lit(p)).alias("prompt")) for c, p in suffixes))).otherwise(F.slice(base, 1, 0))
-        for need, suffixes in (extra or {}).items()
-    ]
-    return D.shuffled(F.concat(base, pairs(persona, context, prompt, key), *more), seed, key)
+    more = F
+    for need, suffixes in (extra or {}).items():
+        more = more.when(persona.contains(need), F.array(*(F.struct(F.concat(context, F.lit(c)).alias("context"), F.concat(prompt, F.lit(p)).alias("prompt")) for c, p in suffixes)))
+    none = F.slice(base, 1, 0)
+    return D.shuffled(F.concat(base, pairs(persona, context, prompt, key, pool), none if more is F else more.otherwise(none)), seed, key)
 
 
 def shift_context(context: Column, persona: Column) -> Column:

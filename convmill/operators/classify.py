@@ -56,10 +56,11 @@ def attributes(layer_: Column, key: Column, count: int = 3, seed: str = "attribu
     return F.slice(D.shuffled(by_label(pools or V.ATTRIBUTES, layer_, V.DEFAULT_LAYER), seed, key), 1, count)
 
 
-def steps(layer_: Column, key: Column, least: int = 3, seed: str = "steps", pools: dict | None = None) -> Column:
-    """From ``least`` to all of the layer's steps, in drawn order."""
+def steps(layer_: Column, key: Column, least: int = 3, seed: str = "steps", pools: dict | None = None, most: int | None = None) -> Column:
+    """From ``least`` to ``most`` or all of the layer's steps, in drawn order."""
     pool = by_label(pools or V.STEPS, layer_, V.DEFAULT_LAYER)
-    count = (F.lit(least) + D.index(F.size(pool) - least + 1, f"{seed}-count", key)).cast("int")
+    top = F.size(pool) if most is None else F.least(F.size(pool), F.lit(most))
+    count = (F.lit(least) + D.index(top - least + 1, f"{seed}-count", key)).cast("int")
     return F.slice(D.shuffled(pool, seed, key), F.lit(1), count)
 
 
@@ -84,12 +85,13 @@ def steps_by_cues(response: Column, cues: list | None = None) -> Column:
     return F.when(F.size(found) == 0, F.array(F.lit(V.DEFAULT_STEP))).otherwise(found)
 
 
-def follow_up(persona_: Column, key: Column, banks: list[tuple[str, list[str]]] | None = None, seed: str = "follow") -> Column:
+def follow_up(persona_: Column, key: Column, banks: list[tuple[str, list[str]]] | None = None, seed: str = "follow", general: list[str] | None = None) -> Column:
     """A question of the first bank whose key is in the persona, else a general one."""
     out = F
     for name, pool in banks or []:
         out = out.when(persona_.contains(name), D.strings(pool))
-    pool = D.strings(V.FOLLOW_UPS) if out is F else out.otherwise(D.strings(V.FOLLOW_UPS))
+    general = V.FOLLOW_UPS if general is None else general
+    pool = D.strings(general) if out is F else out.otherwise(D.strings(general))
     return D.choice(pool, seed, key)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import dialects as L
 from ..functions import draw as D
 from ..functions import vocab as V
 from ..functions.rules import Rule, classify_by_table, table as rule_table
@@ -174,6 +175,40 @@ def augment_depth(spark, sf_dir):
     return pairs(spark, sf_dir).select("conv_id", F.posexplode(pool).alias("at", "p")).select("conv_id", F.col("at").cast("bigint").alias("at"), "p.context", "p.prompt")
 
 
+# The dialects' own tables
+_DRAWN_PERSONA = lambda names: D.choice(D.strings(names), "dialect", F.col("conv_id"))
+_SEEKERS = [*L.PUBLICATION_PERSONA_PAIRS, "Fitness Seeker > Parent", "Other"]
+_PUBLIC = S.choice(S.lst(_SEEKERS), "dialect", "conv_id")
+for _name, _synonyms, _suffixes, _strip in (("proactive", L.PROACTIVE_SYNONYMS, L.PROACTIVE_SUFFIXES, ".,?!"), ("publication", L.PUBLICATION_SYNONYMS, L.PUBLICATION_SUFFIXES, "")):
+    # Every other word of a text becomes one that has synonyms, so that all entries are met.
+    _fed = lambda s: F.concat_ws(" ", F.col("response"), F.lit(" ".join([*s, *(w.title() + "." for w in s)])))
+    pair_query(f"paraphrase_{_name}", lambda s=_synonyms, x=_strip, f=_fed: A.paraphrase(f(s), F.col("conv_id"), s, x), S.paraphrase(f"(response || ' ' || {S.q(' '.join([*_synonyms, *(w.title() + '.' for w in _synonyms)]))})", "conv_id", _synonyms, strip=_strip), "text")
+    pair_query(f"context_{_name}", lambda s=_suffixes: C.context(F.col("prompt"), F.col("conv_id"), CONTEXTS, s), f"{S.classify('prompt', CONTEXTS, S.q(V.CONTEXT_DEFAULT))} || {S.choice(S.lst(_suffixes), 'context', 'conv_id')}")
+pair_query("attributes_publication", lambda: joined(C.attributes(_layer(), F.col("conv_id"), pools=L.PUBLICATION_ATTRIBUTES)), f"array_to_string({S.attributes(_LAYER_SQL, 'conv_id', L.PUBLICATION_ATTRIBUTES)}, '; ')", "attributes")
+pair_query("steps_publication", lambda: joined(C.steps(_layer(), F.col("conv_id"), pools=L.PUBLICATION_STEPS, most=4)), f"array_to_string({S.steps(_LAYER_SQL, 'conv_id', L.PUBLICATION_STEPS, 4)}, '; ')", "steps")
+_ASKERS = [*(name for name, _ in L.PROACTIVE_BANKS), "Other"]
+_ASKER = S.choice(S.lst(_ASKERS), "dialect", "conv_id")
+pair_query("follow_up_proactive", lambda: C.follow_up(_DRAWN_PERSONA(_ASKERS), F.col("conv_id"), L.PROACTIVE_BANKS, general=L.PROACTIVE_QUESTIONS), S.choice(S.case([(f"contains({_ASKER}, {S.q(n)})", S.lst(b)) for n, b in L.PROACTIVE_BANKS], S.lst(L.PROACTIVE_QUESTIONS)), "follow", "conv_id"), "question")
+_PAIR_SQL = "SELECT conv_id, i - 1 AS at, p.context AS context, p.prompt AS prompt FROM made"
+_PROACTIVE_POOL = S.pairs(_PUBLIC, _SHOWN, "prompt", "conv_id", L.PROACTIVE_PAIRS)
+_PUBLIC_MORE = S.case([(f"contains({_PUBLIC}, {S.q(k)})", "[" + ", ".join(f"{{'context': {_SHOWN} || {S.q(c)}, 'prompt': prompt || {S.q(p)}}}" for c, p in v) + "]") for k, v in L.PUBLICATION_PERSONA_PAIRS.items()], "[]")
+_PUBLIC_POOL = S.shuffled(f"list_concat(list_concat({_DEPTH_BASE}, {S.pairs(_PUBLIC, _SHOWN, 'prompt', 'conv_id', L.PUBLICATION_PAIRS)}), {_PUBLIC_MORE})", "depth", "conv_id")
+
+
+def _pairs_shown(spark: SparkSession, sf_dir: str, pool: Column) -> DataFrame:
+    return pairs(spark, sf_dir).select("conv_id", F.posexplode(pool).alias("at", "p")).select("conv_id", F.col("at").cast("bigint").alias("at"), "p.context", "p.prompt")
+
+
+@query(f"WITH {S.PAIRS}, made AS (SELECT conv_id, unnest({_PROACTIVE_POOL}) AS p, generate_subscripts({_PROACTIVE_POOL}, 1) AS i FROM pairs) {_PAIR_SQL}")
+def augment_proactive(spark, sf_dir):
+    return _pairs_shown(spark, sf_dir, A.pairs(_DRAWN_PERSONA(_SEEKERS), C.context(F.col("prompt"), rules=CONTEXTS), F.col("prompt"), F.col("conv_id"), L.PROACTIVE_PAIRS))
+
+
+@query(f"WITH {S.PAIRS}, pooled AS (SELECT conv_id, {_PUBLIC_POOL} AS pool FROM pairs), made AS (SELECT conv_id, unnest(pool) AS p, generate_subscripts(pool, 1) AS i FROM pooled) {_PAIR_SQL}")
+def augment_publication(spark, sf_dir):
+    return _pairs_shown(spark, sf_dir, A.pairs_in_depth(_DRAWN_PERSONA(_SEEKERS), C.context(F.col("prompt"), rules=CONTEXTS), F.col("prompt"), 2, F.col("conv_id"), L.PUBLICATION_PERSONA_PAIRS, pool=L.PUBLICATION_PAIRS))
+
+
 _RECORDS = f"""{S.PAIRS},
 ctx AS (SELECT *, {S.classify('prompt', CONTEXTS, S.q(V.CONTEXT_DEFAULT))} || {S.choice(S.lst(V.CONTEXT_SUFFIXES), 'convmill-context', 'conv_id')} AS context, {_PERSONA_SQL} AS persona0, {S.layer('response', 'conv_id', 'convmill-layer')} AS layer FROM pairs),
 pool AS (SELECT *, {S.pairs('persona0', 'context', 'prompt', 'conv_id')} AS pool FROM ctx),

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import dialects as L
 from ..functions import draw as D
 from ..functions.durable import written
 from ..functions.rules import Rule
@@ -38,21 +39,42 @@ class Dialect:
     intent_rules: list[Rule] | None = None
     context_rules: list[Rule] | None = None
     weights: dict[str, int] | None = None
+    suffixes: list[str] | None = None
+    attribute_pools: dict | None = None
+    step_pools: dict | None = None
+    steps_most: int | None = None
+    banks: list | None = None
+    questions: list[str] | None = None
+    pair_pool: list | None = None
     extra_pairs: dict = field(default_factory=dict)
     seed: str = "convmill"
 
 
 MASTER = Dialect()
-PROACTIVE = Dialect(pool_bound=True)
-PUBLICATION = Dialect(factor=20, depth=2, classify_original=True, question=False, pool_bound=True, strip="")
+PROACTIVE = Dialect(pool_bound=True, synonyms=L.PROACTIVE_SYNONYMS, suffixes=L.PROACTIVE_SUFFIXES, banks=L.PROACTIVE_BANKS, questions=L.PROACTIVE_QUESTIONS, pair_pool=L.PROACTIVE_PAIRS)
+PUBLICATION = Dialect(
+    factor=20,
+    depth=2,
+    classify_original=True,
+    question=False,
+    pool_bound=True,
+    strip="",
+    synonyms=L.PUBLICATION_SYNONYMS,
+    suffixes=L.PUBLICATION_SUFFIXES,
+    attribute_pools=L.PUBLICATION_ATTRIBUTES,
+    step_pools=L.PUBLICATION_STEPS,
+    steps_most=4,
+    pair_pool=L.PUBLICATION_PAIRS,
+    extra_pairs=L.PUBLICATION_PERSONA_PAIRS,
+)
 DIALECTS = {"master": MASTER, "proactive": PROACTIVE, "publication": PUBLICATION}
 
 
 def intent_records(pairs: DataFrame, key: str = "conv_id", dialect: Dialect = MASTER) -> DataFrame:
     """Intent records of (key, prompt, response): the original (variant 0) and factor - 1 drawn augmentations of each."""
     d, row = dialect, F.col(key)
-    base = pairs.where("prompt <> '' AND response <> ''").withColumns({"original": F.col("prompt"), "context": C.context(F.col("prompt"), row, d.context_rules, seed=f"{d.seed}-context"), "_persona": C.persona(F.col("prompt"), d.persona_rules)})
-    pool = A.pairs_in_depth(F.col("_persona"), F.col("context"), F.col("prompt"), d.depth, row, d.extra_pairs) if d.depth else A.pairs(F.col("_persona"), F.col("context"), F.col("prompt"), row)
+    base = pairs.where("prompt <> '' AND response <> ''").withColumns({"original": F.col("prompt"), "context": C.context(F.col("prompt"), row, d.context_rules, d.suffixes, seed=f"{d.seed}-context"), "_persona": C.persona(F.col("prompt"), d.persona_rules)})
+    pool = A.pairs_in_depth(F.col("_persona"), F.col("context"), F.col("prompt"), d.depth, row, d.extra_pairs, pool=d.pair_pool) if d.depth else A.pairs(F.col("_persona"), F.col("context"), F.col("prompt"), row, d.pair_pool)
     base = base.withColumn("_pool", pool)
     count = F.least(F.lit(d.factor - 1), F.size("_pool")) if d.pool_bound else F.lit(d.factor - 1)
     rows = A.exploded(base.withColumn("_pool", A.drawn(F.col("_pool"), count, row)), "_pool", key)
@@ -61,7 +83,7 @@ def intent_records(pairs: DataFrame, key: str = "conv_id", dialect: Dialect = MA
     rows = rows.withColumns({"persona_archetype": C.persona(judged, d.persona_rules), "capability_layer": C.layer(F.col("response"), row, f"{d.seed}-layer")})
     response = A.paraphrase(F.col("response"), one, d.synonyms, d.strip)
     if d.question:
-        response = F.concat(response, F.lit(" "), C.follow_up(F.col("persona_archetype"), one))
+        response = F.concat(response, F.lit(" "), C.follow_up(F.col("persona_archetype"), one, d.banks, general=d.questions))
     return rows.select(
         key,
         "variant",
@@ -73,8 +95,8 @@ def intent_records(pairs: DataFrame, key: str = "conv_id", dialect: Dialect = MA
         F.col("context").alias("context_summary"),
         F.col("prompt").alias("application_prompt"),
         response.alias("ideal_response_final"),
-        C.attributes(F.col("capability_layer"), one).alias("ideal_response_attributes"),
-        C.steps(F.col("capability_layer"), one).alias("ideal_response_cot"),
+        C.attributes(F.col("capability_layer"), one, pools=d.attribute_pools).alias("ideal_response_attributes"),
+        C.steps(F.col("capability_layer"), one, pools=d.step_pools, most=d.steps_most).alias("ideal_response_cot"),
     )
 
 
@@ -84,7 +106,7 @@ def updated(records: DataFrame, key: str = "intent_id", dialect: Dialect = MASTE
     asks = F.trim("ideal_response_final").endswith("?")
     persona = F.coalesce("persona_archetype", C.persona(F.col("application_prompt"), dialect.persona_rules))
     layer = F.coalesce("capability_layer", C.layer(F.col("ideal_response_final"), F.col(key)))
-    return kept.withColumns({"ideal_response_cot": F.when(asks, F.col("ideal_response_cot")).otherwise(C.steps(layer, F.col(key))), "ideal_response_final": A.with_question(F.col("ideal_response_final"), C.follow_up(persona, F.col(key)))})
+    return kept.withColumns({"ideal_response_cot": F.when(asks, F.col("ideal_response_cot")).otherwise(C.steps(layer, F.col(key), pools=dialect.step_pools, most=dialect.steps_most)), "ideal_response_final": A.with_question(F.col("ideal_response_final"), C.follow_up(persona, F.col(key), dialect.banks, general=dialect.questions))})
 
 
 def curated(records: DataFrame, share: float = 0.1, sample: int | None = None, review: float = 0.0, key: tuple = ("intent_id",), seed: str = "curate") -> DataFrame:

@@ -71,13 +71,13 @@ def layer(text: str, key: str, seed: str = "layer", rules: list[Rule] | None = N
     return classify(text, rules or V.LAYER_RULES, choice(lst(V.LAYERS), seed, key))
 
 
-def attributes(layer_: str, key: str) -> str:
-    return f"{shuffled(by_label(V.ATTRIBUTES, layer_, V.DEFAULT_LAYER), 'attributes', key)}[1:3]"
+def attributes(layer_: str, key: str, pools: dict | None = None) -> str:
+    return f"{shuffled(by_label(pools or V.ATTRIBUTES, layer_, V.DEFAULT_LAYER), 'attributes', key)}[1:3]"
 
 
-def steps(layer_: str, key: str) -> str:
-    pool = by_label(V.STEPS, layer_, V.DEFAULT_LAYER)
-    return f"{shuffled(pool, 'steps', key)}[1:3 + {draw('steps-count', key)} % (len({pool}) - 2)]"
+def steps(layer_: str, key: str, pools: dict | None = None, most: int = 99) -> str:
+    pool = by_label(pools or V.STEPS, layer_, V.DEFAULT_LAYER)
+    return f"{shuffled(pool, 'steps', key)}[1:3 + {draw('steps-count', key)} % (least(len({pool}), {most}) - 2)]"
 
 
 def paraphrase(text: str, key: str, synonyms: dict[str, list[str]], seed: str = "paraphrase", strip: str = ".,?!") -> str:
@@ -97,8 +97,8 @@ def perturbation(context: str, depth: int, key: str, seed: str = "perturb") -> s
     return f"array_to_string({shuffled(f'[{made}]', seed, key)}[1:{depth}], ' ')"
 
 
-def pairs(persona: str, context: str, prompt: str, key: str) -> str:
-    made = ", ".join(f"CASE WHEN contains({persona}, {q(need)}) THEN {{'context': {context} || {q(c)}, 'prompt': {prompt} || {q(p)}}} END" for need, c, p in V.AUGMENTATIONS)
+def pairs(persona: str, context: str, prompt: str, key: str, pool: list | None = None) -> str:
+    made = ", ".join(f"CASE WHEN contains({persona}, {q(need)}) THEN {{'context': {context} || {q(c)}, 'prompt': {prompt} || {q(p)}}} END" for need, c, p in pool or V.AUGMENTATIONS)
     return shuffled(f"list_filter([{made}], lambda y: y IS NOT NULL)", "pairs", key)
 
 
