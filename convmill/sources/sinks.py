@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.durable import written
+
 
 def save(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A folder of JSON lines in UTF-8; null fields are written as null."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def save_lines(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """As ``save``; a row that has no JSON form (null, or a number that JSON can't write) is left out, and their number is returned."""
+    line = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"ignoreNullFields": "false"})
+    odd = [F.coalesce(F.isnan(F.col(f"`{c}`")) | (F.abs(F.col(f"`{c}`")) == float("inf")), F.lit(False)) for c, t in df.dtypes if t in ("double", "float")]
+    bad = line.isNull()
+    for o in odd:
+        bad = bad | o
+    seen = Observation()
+    df.select(line.alias("value"), bad.alias("bad")).observe(seen, F.count(F.when(F.col("bad"), 1)).alias("skipped")).where("NOT bad").select("value").write.mode(mode).text(path)
+    return seen.get["skipped"]
+
+
 def save_splits(df: DataFrame, path: str, column: str = "split", mode: str = "overwrite") -> None:
     """One folder a split; a split without rows gets none."""
     df.write.mode(mode).option("ignoreNullFields", "false").partitionBy(column).json(path)
@@ -29,6 +43,10 @@ def append_tasks(spark: SparkSession, path: str, tasks: DataFrame) -> DataFrame:
         if "PATH_NOT_FOUND" not in str(error):
             raise
         last = 0
-    numbered = tasks.where("task_details IS NOT NULL").select((F.row_number().over(Window.orderBy("task_details")) + F.lit(last)).cast("bigint").alias("id"), "task_details", F.lit("pending").alias("status"), F.current_timestamp().alias("created_at"))
+    # Numbered in ranges: each partition's offset is the number of rows in those before it, so no task holds all rows.
+    some = written(tasks.where("task_details IS NOT NULL").select("task_details").repartitionByRange("task_details").sortWithinPartitions("task_details").select("task_details", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = some.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first")).select("part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
+    numbered = some.join(F.broadcast(offsets), "part").select((F.col("at") - F.col("first") + F.col("off") + 1 + F.lit(last)).cast("bigint").alias("id"), "task_details", F.lit("pending").alias("status"), F.current_timestamp().alias("created_at"))
     numbered.write.mode("append").parquet(path)
     return spark.read.parquet(path).where(F.col("id") > last)
