@@ -117,8 +117,8 @@ def wav_length(b: memoryview, at: int) -> int:
 def pdf_length(b: memoryview, at: int) -> int:
     if bytes(b[at + 5 : at + 6]) not in (b"1", b"2") or bytes(b[at + 6 : at + 7]) != b".":
         return 0
-    end = bytes(b[at:]).find(b"%%EOF")
-    return end + 5 if end > 0 else 0
+    end = b.obj.find(b"%%EOF", at)
+    return end + 5 - at if end > 0 else 0
 
 
 #: Magic bytes of the formats, with their media types.
@@ -146,13 +146,14 @@ def sniffed(media: bytes | None, declared: str | None, find: ahocorasick.Automat
     out = {"detected_type": None, "media_type": declared, "corrected": False, "true_length": None, "carved": []}
     if media is None:
         return out
-    view, free = memoryview(media), 0
+    view, free, last_end = memoryview(media), 0, media.rfind(b"%%EOF")
     for end, (n, kind, check) in find.iter(media.decode("latin-1")):
         at = end - n + 1
         # What is embedded lies after the start; within an embedded item nothing more is carved.
         if at and at < free:
             continue
-        length = check(view, at)
+        # A document without an end further on isn't searched for one.
+        length = check(view, at) if check is not pdf_length or at < last_end else 0
         if length and at == 0:
             out |= {"detected_type": kind, "media_type": kind, "corrected": declared != kind, "true_length": length}
         elif length:
@@ -175,13 +176,17 @@ def wav_samples(media: bytes) -> bytes:
     return media[at : at + n]
 
 
+def padded(text: bytes) -> bytes:
+    return text + b"\xff" * (max(1, -(-len(text) // BLOCK)) * BLOCK - len(text))
+
+
 def stored(docs: DataFrame, declared: str = "application/octet-stream") -> DataFrame:
     """doc_id, n_bytes, declared_type and media: each text's bytes, padded with 255 to a positive multiple of BLOCK, as samples."""
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x or b"" for x in batch.column(1).to_pylist()]
-            media = [as_wav(x + b"\xff" * (max(1, -(-len(x) // BLOCK)) * BLOCK - len(x))) for x in texts]
+            media = [as_wav(padded(x)) for x in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(map(len, texts), pa.int64()), pa.array([declared] * len(texts), pa.string()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "declared_type", "media"])
 
     arrow_batches(docs.sparkSession)
@@ -213,23 +218,46 @@ def sniff(df: DataFrame, media: str = "media", declared: str = "declared_type")
 DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
+def described(doc_id: int | None, n_bytes: int, media: bytes, found: dict) -> tuple:
+    """The values of DIGEST, of samples read back from the media."""
+    payload = wav_samples(media)
+    seen = np.bincount(np.frombuffer(payload, np.uint8), minlength=256)
+    share = seen[seen > 0] / len(payload)
+    mean = float((seen * np.arange(256)).sum() / len(payload))
+    spread = float(np.sqrt((seen * (np.arange(256) - mean) ** 2).sum() / len(payload)))
+    carved = ",".join(f"{c['type']}@{c['offset']}+{c['length']}" for c in found["carved"])
+    feature = f"type={found['media_type']};corrected={int(found['corrected'])};mean={mean:.6f};spread={spread:.6f};entropy={-(share * np.log2(share)).sum():.6f};carved={carved}"
+    return doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature
+
+
+def _digests(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * 8
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in DIGEST.split(", ")])
+
+
+def stored_digest(docs: DataFrame, declared: str = "application/octet-stream") -> DataFrame:
+    """``digest(sniff(stored(docs)))`` in one pass: the media never leave the task that makes them, one at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = automaton()
+        for batch in batches:
+            rows = []
+            for doc_id, text in zip(batch.column(0).cast(pa.int64()).to_pylist(), batch.column(1)):
+                text = text.as_py() or b""
+                media = as_wav(padded(text))
+                rows.append(described(doc_id, len(text), media, sniffed(media, declared, find)))
+            yield _digests(rows)
+
+    arrow_batches(docs.sparkSession)
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, DIGEST)
+
+
 def digest(df: DataFrame) -> DataFrame:
     """Reads the samples of sniffed media back and describes them: type found, level, spread, byte entropy, what was carved."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                media, payload = r["media"], wav_samples(r["media"])
-                seen = np.bincount(np.frombuffer(payload, np.uint8), minlength=256)
-                share = seen[seen > 0] / len(payload)
-                mean = float((seen * np.arange(256)).sum() / len(payload))
-                spread = float(np.sqrt((seen * (np.arange(256) - mean) ** 2).sum() / len(payload)))
-                carved = ",".join(f"{c['type']}@{c['offset']}+{c['length']}" for c in r["carved"])
-                feature = f"type={r['media_type']};corrected={int(r['corrected'])};mean={mean:.6f};spread={spread:.6f};entropy={-(share * np.log2(share)).sum():.6f};carved={carved}"
-                rows.append((r["doc_id"], r["n_bytes"], len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature))
-            columns = list(zip(*rows)) if rows else [[]] * 8
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in DIGEST.split(", ")])
+            yield _digests([described(r["doc_id"], r["n_bytes"], r["media"], r) for r in batch.to_pylist()])
 
     return df.select("doc_id", "n_bytes", "media", "media_type", "corrected", "carved").mapInArrow(describe, DIGEST)

@@ -23,7 +23,7 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.digest(media.sniff(media.stored(table(spark, sf_dir, "documents"))))
+    return media.stored_digest(table(spark, sf_dir, "documents"))
 
 
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,3 +160,17 @@ def test_media_odd_rows(spark):
     check_media(run(odd(spark)).collect(), ODD)
     assert run(odd(spark).limit(0)).count() == 0
     assert run(odd(spark).withColumn("doc_id", F.lit(None).cast("long"))).count() == len(ODD)
+
+
+def test_one_pass_equals_the_three_operators(spark):
+    rows = lambda df: sorted(map(str, df.collect()))
+    for docs in (odd(spark), spark.read.parquet(f"{SF}/documents.parquet")):
+        assert rows(media.stored_digest(docs)) == rows(media.digest(media.sniff(media.stored(docs))))
+
+
+def test_many_signatures_without_an_end_take_linear_time():
+    import time
+
+    began = time.time()
+    assert media.sniffed(b"%PDF-1.4 " * 300_000, None, media.automaton())["carved"] == []
+    assert time.time() - began < 20

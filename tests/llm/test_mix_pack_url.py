@@ -144,3 +144,18 @@ def test_url_rules_equal_brute_force(spark):
     none = url_filter.judge(pages, spark.createDataFrame([], "host string, path string, verdict string"))
     assert {r.verdict for r in none.collect()} == {"allow"} and none.count() == len(urls)
     assert url_filter.judge(pages.limit(0), spark.createDataFrame(rules, "host string, path string, verdict string")).count() == 0
+
+
+def test_mixed_rows_of_equal_ids_keep_their_columns(spark):
+    rows = [(1, "a b", "x", "en", {"k": 1}), (1, "a b", "x", "de", {"k": 2}), (2, "c d e", "y", "fr", {}), (2, "c d e", "y", "fr", {}), (None, "f g", None, "es", {}), (3, None, "y", "fr", {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, position string, d map<string,int>")
+    got = mixing.mixed_documents(docs, Scratch(spark))
+    assert got.columns == docs.columns
+    counts = {}
+    for r in got.collect():
+        counts[r.doc_id, r.position] = counts.get((r.doc_id, r.position), 0) + 1
+    assert {(1, "en"), (1, "de"), (2, "fr")} <= counts.keys() and (3, "fr") not in counts
+    words = {(i, p): len(t.split()) for i, t, _, p, _ in rows if t}
+    takes = mixing.mix(docs, Scratch(spark)).selectExpr("explode(filter(takes, t -> t.words * 2 >= size)) AS t").count()
+    assert sum(counts.values()) == takes and counts.keys() <= words.keys()
+    assert sorted(map(str, got.collect())) == sorted(map(str, mixing.mixed_documents(docs.repartition(3), Scratch(spark)).collect()))
