@@ -304,6 +304,8 @@ def log10_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
 
 def score(docs: DataFrame, scratch: Scratch, states: int = STATES, rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    if head + TAILS + 2 > 1 << 16:
+        raise ValueError("symbols are held in 16 bits: head is 64,510 at most")
     vocabulary, known = learn_vocabulary(docs, scratch, head)
     # Rows of like length lie together, so that the recursion's batches have few idle steps.
     encoded = scratch.put(encode(docs, vocabulary).sortWithinPartitions("n_tokens"))
