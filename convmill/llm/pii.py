@@ -27,6 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from .common import Scratch, fresh, salted_join
 
 KEY = "surrogate-key-1"
@@ -104,9 +105,13 @@ def _word_entity(word: Column, part: str, gender: Column | None = None) -> Colum
     return _entity(F.concat_ws("_", F.lit(part), _script(word)), F.lower(word), gender)
 
 
-def _is_mention(mention: Column) -> Column:
+def matches_in(text: Column) -> Column:
+    """Each match of ANY in a text as ``m``, its kind ``k``, and whether it is a mention of its own."""
+    return F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: let(kind_of(m), lambda k: F.struct(m.alias("m"), k.alias("k"), _is_mention(m, k).alias("sure"))))
+
+
+def _is_mention(mention: Column, kind: Column) -> Column:
     """Whether a match is a mention of its own: runs are not, nor digits in a row that fail the Luhn test and are not 16."""
-    kind = kind_of(mention)
     row = mention.rlike(r"^\d+$")
     return (kind != "run") & ~((kind == "card") & row & (F.length(mention) != 16) & (luhn(F.when(row, mention).otherwise("0")) != 0))
 
@@ -117,9 +122,8 @@ def _pairs_of(run: Column) -> Column:
     return F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.struct(F.concat_ws(" ", F.lower(a), F.lower(b)).alias("pair"), F.array(_word_entity(a, "given"), _word_entity(b, "surname")).alias("words")))
 
 
-def entities_of(mention: Column) -> Column:
+def entities_of(mention: Column, kind: Column) -> Column:
     """The entities of one mention: one (kind, normal form, gender), or one for each part of a name."""
-    kind = kind_of(mention)
     digits = F.regexp_replace(mention, r"\D", "")
     norm = (
         F.when(kind == "secret", F.regexp_extract(mention, _SECRET_VALUE, 2))
@@ -261,17 +265,23 @@ def _cased(surrogate: Column, word: Column) -> Column:
     return F.when(word == F.upper(word), F.upper(surrogate)).otherwise(F.initcap(surrogate))
 
 
-def _written(mention: Column, known: Column) -> Column:
+def _written(mention: Column, kind: Column, sure: Column, known: Column) -> Column:
     """A mention in its own layout with the surrogates of its entities; other matches as they are."""
-    kind = kind_of(mention)
-    one = _surrogate(F.element_at(entities_of(mention), 1), known)
+    return F.when(kind == "run", _names_in_run(mention, known)).when(sure, let(entities_of(mention, kind), lambda e: _surrogates_laid(mention, kind, e, known))).otherwise(mention)
+
+
+def _surrogates_laid(mention: Column, kind: Column, entities: Column, known: Column) -> Column:
+    """As the mention is written: names word by word, addresses and keys whole, numbers sign by sign."""
+    parts = F.transform(F.arrays_zip(entities.alias("e"), _name_parts(mention).alias("w")), lambda z: _cased(_surrogate(z["e"], known), z["w"]))
+    name = F.concat(F.regexp_extract(mention, rf"^((?:{_TITLE}|{_CUE}) )?", 1), F.array_join(parts, " "))
+    return F.when(kind == "name", name).otherwise(let(_surrogate(F.element_at(entities, 1), known), lambda one: _one_laid(mention, kind, one)))
+
+
+def _one_laid(mention: Column, kind: Column, one: Column) -> Column:
     signs = _chars(F.regexp_replace(one, r"[^\p{L}\p{N}]", ""))
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
     laid = F.aggregate(_chars(mention), start, lambda s, c: F.when(c.rlike(r"[\p{L}\p{N}]"), F.struct(F.concat(s["out"], F.coalesce(F.try_element_at(signs, s["at"]), c)).alias("out"), (s["at"] + 1).alias("at"))).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))), lambda s: s["out"])
-    parts = F.transform(F.arrays_zip(entities_of(mention).alias("e"), _name_parts(mention).alias("w")), lambda z: _cased(_surrogate(z["e"], known), z["w"]))
-    name = F.concat(F.regexp_extract(mention, rf"^((?:{_TITLE}|{_CUE}) )?", 1), F.array_join(parts, " "))
-    new = F.when(kind == "name", name).when(kind == "secret", F.concat(F.regexp_extract(mention, _SECRET_VALUE, 1), one)).when(kind.isin("email", "ip", "key"), one).otherwise(laid)
-    return F.when(kind == "run", _names_in_run(mention, known)).when(_is_mention(mention), new).otherwise(mention)
+    return F.when(kind == "secret", F.concat(F.regexp_extract(mention, _SECRET_VALUE, 1), one)).when(kind.isin("email", "ip", "key"), one).otherwise(laid)
 
 
 def replace_entities(docs: DataFrame, scratch: Scratch, key: str = KEY) -> DataFrame:
@@ -283,14 +293,14 @@ def replace_entities(docs: DataFrame, scratch: Scratch, key: str = KEY) -> DataF
     has = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
     clean = docs.where(~has).select(*every, F.lit(0).alias("n_mentions"), F.lit("").alias("kinds"))
     # Written once, so that the pattern runs over all texts twice only: here and for those without a match.
-    found = scratch.put(docs.where(has).withColumn(matches, F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).withColumn(doc, F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text"))))
+    found = scratch.put(docs.where(has).withColumn(matches, matches_in(F.col("text"))).withColumn(doc, F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text"))))
 
-    mentions = F.filter(matches, _is_mention)
-    per_doc = found.select(F.col(doc).alias("doc"), F.explode(F.array_distinct(F.flatten(F.transform(mentions, entities_of)))).alias("e")).select("doc", "e.*").distinct()
+    mentions = F.filter(matches, lambda x: x["sure"])
+    per_doc = found.select(F.col(doc).alias("doc"), F.explode(F.array_distinct(F.flatten(F.transform(mentions, lambda x: entities_of(x["m"], x["k"]))))).alias("e")).select("doc", "e.*").distinct()
     # Full names that mentions show, and the runs of all documents in which they occur again.
-    full = F.filter(F.transform(F.filter(mentions, lambda m: kind_of(m) == "name"), _name_parts), lambda p: F.size(p) == 2)
+    full = F.filter(F.transform(F.filter(mentions, lambda x: x["k"] == "name"), lambda x: _name_parts(x["m"])), lambda p: F.size(p) == 2)
     names = found.select(F.explode(full).alias("p")).select(F.concat_ws(" ", F.lower(F.col("p")[0]), F.lower(F.col("p")[1])).alias("pair")).distinct()
-    runs = F.array_distinct(F.flatten(F.transform(F.filter(matches, lambda m: kind_of(m) == "run"), _pairs_of)))
+    runs = F.array_distinct(F.flatten(F.transform(F.filter(matches, lambda x: x["k"] == "run"), lambda x: _pairs_of(x["m"]))))
     again = scratch.put(salted_join(found.select(F.col(doc).alias("doc"), F.explode(runs).alias("r")).select("doc", "r.*"), scratch.put(names), "pair", ["doc"], "inner").distinct())
     per_doc = per_doc.unionByName(again.select("doc", F.explode("words").alias("e")).select("doc", "e.*"))
     per_doc = scratch.put(per_doc.withColumn("entity", F.concat_ws(":", "kind", "norm")))
@@ -301,11 +311,11 @@ def replace_entities(docs: DataFrame, scratch: Scratch, key: str = KEY) -> DataF
     known = known.distinct().groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias(map_)).withColumnRenamed("doc", doc)
 
     gaps = F.split("text", ANY, -1)
-    laid = F.transform(matches, lambda m: _written(m, F.col(map_)))
+    laid = F.transform(matches, lambda x: _written(x["m"], x["k"], x["sure"], F.col(map_)))
     joined = found.join(known, doc, "left")
-    changed_at = F.filter(F.arrays_zip(F.col(matches).alias("m"), F.col(new).alias("w")), lambda z: z["m"] != z["w"])
-    kinds = F.array_join(F.array_sort(F.array_distinct(F.transform(changed_at, lambda z: F.when(kind_of(z["m"]) == "run", "name").otherwise(kind_of(z["m"]))))), ",")
-    seen = joined.withColumn(new, F.when(F.col(map_).isNull(), F.col(matches)).otherwise(laid))
+    changed_at = F.filter(F.arrays_zip(F.col(matches).alias("m"), F.col(new).alias("w")), lambda z: z["m"]["m"] != z["w"])
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.transform(changed_at, lambda z: F.when(z["m"]["k"] == "run", "name").otherwise(z["m"]["k"])))), ",")
+    seen = joined.withColumn(new, F.when(F.col(map_).isNull(), F.transform(matches, lambda x: x["m"])).otherwise(laid))
     text = F.array_join(F.zip_with(gaps, F.concat(F.col(new), F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")
     out_text = F.when(F.col(map_).isNull(), F.col("text")).otherwise(text)
     changed = seen.select(*(out_text.alias("text") if c == "text" else F.col(f"`{c}`") for c in own), F.size(changed_at).alias("n_mentions"), kinds.alias("kinds"))
