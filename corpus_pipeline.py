@@ -25,6 +25,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with surrogates for personal data and ``n_chars`` counted anew where the text changed. Null texts stay null; an empty table gives an empty one."""
     return pii.replace_entities(docs, Scratch(spark)).select(*docs.columns)
 
 
@@ -34,6 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every row, repeats included, as ``op8_packing`` returns them. Null texts are packed as empty; an empty table gives no pieces."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), Scratch(spark))
 
 
