@@ -21,11 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table of its own, removed at the end of the driver's process."""
-    spark = df.sparkSession
+def fresh_path(spark: SparkSession) -> str:
+    """A path of its own in the shared folder; what is there is removed at the end of the driver's process."""
     path = f"{shared_dir(spark)}/convmill-records-{uuid.uuid4().hex}"
-    df.write.parquet(path)
 
     def remove() -> None:
         if spark.sparkContext._jsc is not None:
@@ -34,4 +32,11 @@ def written(df: DataFrame) -> DataFrame:
                 there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
 
     atexit.register(remove)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table of its own, removed at the end of the driver's process."""
+    path = fresh_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dialects as L
 from ..functions import draw as D
 from ..functions import vocab as V
+from ..functions.durable import fresh_path
 from ..functions.rules import Rule, classify_by_table, table as rule_table
 from ..functions.text import SPACES, words
 from ..operators import augment as A
@@ -21,7 +23,7 @@ from ..operators import metrics as R
 from ..operators import preference as P
 from ..operators import presets, tokens as T, toolcalls as K
 from ..operators import variants as X
-from ..sources import jsonl
+from ..sources import jsonl, sinks
 from . import pipelines, sql as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -325,6 +327,34 @@ def tool_execute(spark, sf_dir):
     return K.execute_calls(calls).select("conv_id", "result")
 
 
+@query("SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'Tool shout result: ' || upper(s_name) WHEN 1 THEN 'Tool mirror result: ' || reverse(s_name) WHEN 2 THEN 'Tool shout invalid args: Missing required argument for shout' ELSE 'Unknown tool: whisper' END AS result FROM supplier")
+def tool_registry(spark, sf_dir):
+    registry = K.Registry()
+    registry.register("shout")(F.upper)
+    registry.register_function(spark, "mirror", lambda x: x[::-1])
+    k = F.col("s_suppkey") % 4
+    name = F.when(k == 1, "mirror").when(k == 3, "whisper").otherwise("shout")
+    args = F.create_map(F.lit("query"), F.when(k != 2, F.col("s_name")))
+    return read(spark, sf_dir, "supplier").select("s_suppkey", registry.execute(name, args).alias("result"))
+
+
+def _asks_once(messages: list[dict]) -> str:
+    """A model that has its question worked out, then tells the result."""
+    if len(messages) == 1:
+        return f'Need data: {{"tool_call": {{"name": "calc_tool", "arguments": {{"query": "{messages[0]["content"]}"}}}}}}'
+    return "It is " + messages[-1]["content"].removeprefix("Tool results: ")
+
+
+@query("SELECT p_partkey, 'It is ' || (p_partkey * 3 + p_size) AS answer FROM part")
+def agent_loop(spark, sf_dir):
+    @F.pandas_udf("string")
+    def asked(questions: pd.Series) -> pd.Series:
+        return questions.map(lambda q: K.converse(_asks_once, q, lambda name, args: K.calculate(args["query"]), strict=True))
+
+    question = F.concat(F.col("p_partkey").cast("string"), F.lit(" * 3 + "), F.col("p_size").cast("string"))
+    return read(spark, sf_dir, "part").select("p_partkey", asked(question).alias("answer"))
+
+
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 2 THEN 'Error: Calculation failed - integer modulo by zero' ELSE CAST(CASE WHEN l_linenumber % 3 = 0 THEN l_orderkey + 3 * l_partkey ELSE -(l_suppkey // 7) END AS VARCHAR) END AS result FROM lineitem")
 def safe_calc(spark, sf_dir):
     k = F.col("l_linenumber") % 3
@@ -355,6 +385,11 @@ def preference_pairs(spark, sf_dir):
     return P.preference_pairs(marked(spark, sf_dir))
 
 
+@query(f"WITH {_MARKED_CTE} SELECT conv_id, CASE WHEN {_HAS} THEN {_WITHOUT} ELSE {_WRONG} END AS rejected FROM tooled")
+def preference_checked(spark, sf_dir):
+    return P.checked(P.preference_pairs(marked(spark, sf_dir))).select("conv_id", "rejected")
+
+
 @query(f"WITH {_MARKED_CTE} SELECT conv_id, {_HAS} AS has_call, {_WITHOUT} AS remainder FROM marked")
 def tool_presence(spark, sf_dir):
     return marked(spark, sf_dir).select("conv_id", P.has_call(F.col("response")).alias("has_call"), P.without_call(F.col("response")).alias("remainder"))
@@ -393,6 +428,18 @@ def split_exact(spark, sf_dir):
     return U.split(read(spark, sf_dir, "documents").select("doc_id"), 0.15, ["doc_id"]).select("doc_id", "split")
 
 
+@query("SELECT count(*) AS n, 'train' AS split FROM region")
+def split_of_one(spark, sf_dir):
+    return U.split(read(spark, sf_dir, "region").agg(F.count(F.lit(1)).alias("n")), 0.5, ["n"])
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 5 > 1 AND text IS NOT NULL AND regexp_matches(text, '[^\\s]')")
+def blank_dropped(spark, sf_dir):
+    # Texts of white space and missing ones are planted: one in five each.
+    text = F.when(F.col("doc_id") % 5 == 0, " \n\t ").when(F.col("doc_id") % 5 > 1, F.col("text"))
+    return U.drop_blank(read(spark, sf_dir, "documents").withColumn("text", text)).select("doc_id")
+
+
 @query(f"WITH {S.PAIRS}, r AS {S.ranked('pairs', 'conv_id', 'review')} SELECT conv_id, rank <= greatest(1, floor(0.1 * (SELECT count(*) FROM pairs))) AS review, CASE WHEN rank <= greatest(1, floor(0.1 * (SELECT count(*) FROM pairs))) THEN {S.paraphrase('response', 'conv_id', SYNONYMS)} ELSE response END AS response FROM r")
 def review_flag(spark, sf_dir):
     return U.flag_for_review(pairs(spark, sf_dir), 0.1, ["conv_id"], "response", A.paraphrase(F.col("response"), F.col("conv_id"), SYNONYMS)).select("conv_id", "review", "response")
@@ -496,6 +543,22 @@ def label_mask(spark, sf_dir):
     return batches(spark, sf_dir).select("item_id", T.response_start(F.col("input_ids"), _TEMPLATE).cast("bigint").alias("start"), ints(F.col("labels")).alias("labels"))
 
 
+@query(f"SELECT item_id, CASE WHEN item_id % 3 = 2 THEN array_to_string({_CODES % 'text'}[1:2048], ' ') ELSE '0' END AS ids, CASE WHEN item_id % 3 = 2 THEN least(len(text), 2048) ELSE 1 END AS n_mask FROM benchmark")
+def pad_for_empty(spark, sf_dir):
+    text = F.when(F.col("item_id") % 3 == 0, "").when(F.col("item_id") % 3 == 2, F.col("text"))
+    rows = T.tokenize(read(spark, sf_dir, "benchmark").withColumn("text", text), T.CharacterTokenizer())
+    return rows.select("item_id", ints(F.col("input_ids")).alias("ids"), F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint").alias("n_mask"))
+
+
+@query(f"""WITH t AS (SELECT item_id, item_id // 8 AS batch_id, CASE WHEN item_id % 5 = 0 THEN [] WHEN item_id % 5 > 1 THEN {_CODES % 'text'}[1:2048] END AS ids FROM benchmark), k AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS n FROM t)
+SELECT item_id, n, array_to_string(ids || list_transform(range(n - len(ids)), lambda z: 0), ' ') AS ids FROM k WHERE len(ids) > 0""")
+def batch_without_ids(spark, sf_dir):
+    # Rows whose ids are empty or missing are planted: one in five each.
+    ids = F.when(F.col("item_id") % 5 == 0, F.array().cast("array<int>")).when(F.col("item_id") % 5 > 1, F.col("input_ids"))
+    rows = T.tokenize(read(spark, sf_dir, "benchmark"), T.CharacterTokenizer()).select("item_id", F.floor(F.col("item_id") / 8).alias("batch_id"), ids.alias("input_ids"))
+    return T.collate(rows, "batch_id", _TEMPLATE).select("item_id", F.size("labels").cast("bigint").alias("n"), ints(F.col("input_ids")).alias("ids"))
+
+
 @query(f"""WITH t AS (SELECT item_id, len(text) AS n, list_transform({_CODES % 'text'}[1:2048], lambda x: CASE WHEN x = 32 THEN 0 ELSE x END) AS ids FROM benchmark)
 SELECT item_id, CASE item_id % 4 WHEN 0 THEN array_to_string(list_transform(ids, lambda x: CASE WHEN x = 0 THEN 0 ELSE 1 END), ' ') WHEN 1 THEN array_to_string(list_transform(ids, lambda x: 1), ' ')
 WHEN 2 THEN array_to_string(list_transform(ids, lambda x, i: CASE WHEN i - 1 < n // 2 AND (i - 1) % 3 = 0 THEN 0 ELSE 1 END), ' ') ELSE array_to_string(list_transform(ids, lambda x, i: (i - 1) % 2), ' ') END AS mask FROM t""")
@@ -537,6 +600,67 @@ for _d in ("chat", "object", "any"):
     _jsonl(_d)
 
 
+@query("SELECT event_id, CASE WHEN event_id % 7 IN (0, 1) THEN 'malformed' END AS reject_reason FROM events")
+def jsonl_legacy(spark, sf_dir):
+    return jsonl.parsed(event_lines(spark, sf_dir), "legacy").select("event_id", "reject_reason")
+
+
+@query("SELECT event_id, CASE event_id % 7 WHEN 3 THEN event_type END AS first FROM events WHERE event_id % 7 <> 0")
+def jsonl_strict(spark, sf_dir):
+    # Malformed lines would end the read, so they are mended first.
+    lines = event_lines(spark, sf_dir).withColumn("value", F.when(F.col("event_id") % 7 == 1, "[]").otherwise(F.col("value")))
+    return jsonl.kept(lines, "strict").select("event_id", F.get("messages", F.lit(0))["content"].alias("first"))
+
+
+# Sinks, read back
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS priority, o_orderstatus = 'F' AS finished FROM orders")
+def saved_lines(spark, sf_dir):
+    path = fresh_path(spark)
+    priority = F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderpriority")).alias("priority")
+    sinks.save(read(spark, sf_dir, "orders").select("o_orderkey", priority, (F.col("o_orderstatus") == "F").alias("finished")), path)
+    kinds = {"o_orderkey": "bigint", "priority": "string", "finished": "boolean"}
+    return jsonl.load(spark, path, "object").select(*(F.try_variant_get("record", f"$.{c}", t).alias(c) for c, t in kinds.items()))
+
+
+@query("SELECT count(*) FILTER (WHERE c_custkey % 4 < 2) AS skipped, count(*) FILTER (WHERE c_custkey % 4 >= 2) AS saved FROM customer")
+def saved_with_skips(spark, sf_dir):
+    path = fresh_path(spark)
+    k = F.col("c_custkey") % 4
+    skipped = sinks.save_lines(read(spark, sf_dir, "customer").select("c_name", F.when(k == 0, float("nan")).when(k == 1, float("inf")).when(k == 2, 0.5).alias("share")), path)
+    return jsonl.load(spark, path, "object").agg(F.lit(skipped).cast("bigint").alias("skipped"), F.count(F.lit(1)).alias("saved"))
+
+
+@query(f"SELECT doc_id, text, CASE WHEN rank <= ceil(0.15 * (SELECT count(*) FROM documents)) THEN 'validation' ELSE 'train' END AS split FROM {S.ranked('documents', 'doc_id', 'split')}")
+def saved_splits(spark, sf_dir):
+    path = fresh_path(spark)
+    sinks.save_splits(U.split(read(spark, sf_dir, "documents").select("doc_id", "text"), 0.15, ["doc_id"]), path)
+    back = jsonl.load_splits(spark, {s: f"{path}/split={s}" for s in ("train", "validation")})
+    return back.select(F.try_variant_get("record", "$.doc_id", "bigint").alias("doc_id"), F.try_variant_get("record", "$.text", "string").alias("text"), "split")
+
+
+@query("SELECT lang AS value, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang")
+def saved_metrics(spark, sf_dir):
+    path = fresh_path(spark)
+    sinks.save_metrics(R.distribution(read(spark, sf_dir, "documents"), "lang"), path)
+    return spark.read.schema("value string, n bigint").json(path)
+
+
+@query("SELECT row_number() OVER (ORDER BY s_name) AS id, s_name AS task_details, 'pending' AS status FROM supplier UNION ALL SELECT (SELECT count(*) FROM supplier) + row_number() OVER (ORDER BY c_name), c_name, 'pending' FROM customer")
+def appended_tasks(spark, sf_dir):
+    path = fresh_path(spark)
+    for name, column in (("supplier", "s_name"), ("customer", "c_name")):
+        sinks.append_tasks(spark, path, read(spark, sf_dir, name).select(F.col(column).alias("task_details")))
+    return spark.read.parquet(path).select("id", "task_details", "status")
+
+
+@query("SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, len(n_name) + 1 AS length, CASE WHEN len(n_name) < 8 THEN n_name || chr(10) END AS text FROM nation")
+def text_files(spark, sf_dir):
+    path = fresh_path(spark)
+    read(spark, sf_dir, "nation").select("n_nationkey", "n_name").write.partitionBy("n_nationkey").text(path)
+    texts = jsonl.whole_texts(spark, path, most=8, allowed=[path])
+    return texts.select(F.regexp_extract("path", "n_nationkey=([0-9]+)", 1).cast("bigint").alias("n_nationkey"), "length", "text")
+
+
 @query("SELECT CASE WHEN event_id % 7 = 3 THEN 'chat' ELSE 'other' END AS kind, count(*) AS n FROM events WHERE event_id % 7 NOT IN (0, 1) GROUP BY 1")
 def jsonl_kinds(spark, sf_dir):
     return jsonl.kept(event_lines(spark, sf_dir), "any").groupBy(F.col("record_kind").alias("kind")).agg(F.count(F.lit(1)).alias("n"))

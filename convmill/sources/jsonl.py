@@ -1,7 +1,7 @@
 """JSON lines: read as text, parsed by expression, with a reason for every line that is left out.
 
 One parser serves all dialects. ``chat``: an object whose ``messages`` is a list. ``object``: any object. ``any``: any value.
-``strict`` is ``any`` but fails on the first malformed line.
+``strict`` is ``any`` but fails on the first malformed line. ``legacy`` is ``any`` but counts a blank line as malformed.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import stripped
 from ..schema import BLANK, INTENT, MALFORMED, MESSAGES, NO_MESSAGES, NOT_OBJECT
 
-DIALECTS = ("chat", "object", "any", "strict")
+DIALECTS = ("chat", "object", "any", "strict", "legacy")
 TEXT_MOST = 1 << 20
 
 
@@ -22,7 +22,7 @@ def reason(line: Column, dialect: str = "chat") -> Column:
         raise ValueError(f"a dialect is one of {', '.join(DIALECTS)}")
     value = F.try_parse_json(line)
     kind = F.schema_of_variant(value)
-    out = F.when(stripped(line) == "", F.lit(BLANK))
+    out = F.when(stripped(line) == "", F.lit(MALFORMED if dialect == "legacy" else BLANK))
     if dialect != "strict":
         out = out.when(value.isNull(), F.lit(MALFORMED))
     if dialect in ("chat", "object"):
