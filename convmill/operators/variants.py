@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,56 +25,68 @@ def calculation(query: Column) -> Column:
     return F.when(F.size(numbers) >= 2, F.concat(F.get(numbers, F.lit(0)), F.lit(" + "), F.get(numbers, F.lit(1)))).when(F.size(numbers) == 1, F.concat(F.get(numbers, F.lit(0)), F.lit(" * 2"))).otherwise("1 + 1")
 
 
-def _fields(query: Column, first: Column, text: Column) -> dict[str, dict[str, Column]]:
-    """Each known tool's arguments in call order, from a query, its ``first`` words and their ``text``."""
-    some = lambda c: json_string(c, ascii_only=True)
-    head = F.substring(query, 1, 50)
+def _texts(query: Column) -> Column:
+    """What tools are told of a query, escaped as JSON: its first words, code, content, details, task and place. One array, so that the escaping is planned once."""
+
+    def made(first: Column) -> Column:
+        head = F.substring(query, 1, 50)
+        return F.array(
+            F.array_join(first, " "),
+            F.concat(F.lit("print("), F.array_join(first, " "), F.lit(")")),
+            F.concat(F.lit("Generated from: "), head),
+            F.concat(F.lit("Meeting about "), F.coalesce(F.get(first, F.lit(0)), F.lit("task"))),
+            F.concat(F.lit("Task: "), head),
+            F.coalesce(F.try_element_at(first, F.lit(-1)), F.lit("New York")),
+        )
+
+    return F.transform(let(F.slice(words(F.lower(query)), 1, 5), made), lambda t: json_string(t, ascii_only=True))
+
+
+def _fields(query: Column, texts: Column) -> dict[str, dict[str, Column]]:
+    """Each known tool's arguments in call order, from a query and its ``_texts``."""
+    text, code, content, details, task, place = (F.get(texts, F.lit(i)) for i in range(6))
     of = {
         "calc_tool": {"query": calculation(query)},
-        "python_repl": {"code": some(F.concat(F.lit("print("), F.array_join(first, " "), F.lit(")")))},
+        "python_repl": {"code": code},
         "read_file": {"filepath": F.lit("/data/allowed/read/notes.txt")},
-        "write_file": {"filepath": F.lit("/data/allowed/write/output.txt"), "content": some(F.concat(F.lit("Generated from: "), head))},
-        "calendar_tool": {"action": F.lit("create_event"), "details": some(F.concat(F.lit("Meeting about "), F.coalesce(F.get(first, F.lit(0)), F.lit("task"))))},
-        "task_tracker_tool": {"task_details": some(F.concat(F.lit("Task: "), head))},
-        "get_current_weather": {"location": some(F.coalesce(F.try_element_at(first, F.lit(-1)), F.lit("New York")))},
+        "write_file": {"filepath": F.lit("/data/allowed/write/output.txt"), "content": content},
+        "calendar_tool": {"action": F.lit("create_event"), "details": details},
+        "task_tracker_tool": {"task_details": task},
+        "get_current_weather": {"location": place},
     }
     return {name: of.get(name, {"query": text}) for name in V.TOOLS}
 
 
-def _with_words(query: Column, use: Callable[[Column, Column], Column]) -> Column:
-    first = F.slice(words(F.lower(query)), 1, 5)
-    return let(first, lambda f: let(json_string(F.array_join(f, " "), ascii_only=True), lambda t: use(f, t)))
-
-
 def arguments(tool: Column, query: Column) -> Column:
     """A tool's arguments from a query: a map in call order; empty for unknown tools.
 
     Texts are escaped as JSON already, so writing them into a call escapes them once more, as those who read the calls expect.
     """
 
-    def made(first: Column, text: Column) -> Column:
+    def made(texts: Column) -> Column:
         out = F
-        for name, fields in _fields(query, first, text).items():
+        for name, fields in _fields(query, texts).items():
             out = out.when(tool == name, F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v)]))
         return out.otherwise(F.create_map().cast("map<string,string>"))
 
-    return _with_words(query, made)
+    return let(_texts(query), made)
 
 
 def call_lines(query: Column) -> Column:
     """For each known tool the call with its arguments from a query, and on the next line what it is made to answer."""
 
-    def made(first: Column, text: Column) -> Column:
-        entries = []
-        for name, fields in _fields(query, first, text).items():
+    def made(texts: Column, again: Column) -> Column:
+        entries, told = [], _fields(query, texts)
+        # Numbers, signs and the fixed paths have nothing to escape; the texts are escaped once more.
+        for name, fields in _fields(query, again).items():
             begin, rest = V.TOOL_ANSWERS[name].split("{") if name in V.TOOL_ANSWERS else (f"Tool result: {name} executed", "}")
             arg, end = rest.split("}")
-            shown = [x for k, v in fields.items() for x in (F.lit(f'"{k}": "'), json_string(v), F.lit('", '))]
+            shown = [x for k, v in fields.items() for x in (F.lit(f'"{k}": "'), v, F.lit('", '))]
             shown[-1] = F.lit('"}}}')
-            entries += [F.lit(name), F.concat(F.lit(f'{V.NEED}{{"tool_call": {{"name": "{name}", "arguments": {{'), *shown, F.lit(f"\n{begin}"), fields.get(arg, F.lit("")), F.lit(end))]
+            entries += [F.lit(name), F.concat(F.lit(f'{V.NEED}{{"tool_call": {{"name": "{name}", "arguments": {{'), *shown, F.lit(f"\n{begin}"), told[name].get(arg, F.lit("")), F.lit(end))]
         return F.create_map(*entries)
 
-    return _with_words(query, made)
+    return let(_texts(query), lambda t: let(F.transform(t, lambda x: json_string(x)), lambda again: made(t, again)))
 
 
 def answer(tool: Column, args: Column) -> Column:
