@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, hmm, media, mixing, packing, pii, sharding, simhash, toxicity, url_filter
+from . import fingerprints, hmm, media, mixing, packing, pii, prefix_bpe, sharding, simhash, toxicity, url_filter
 from .common import Scratch, table
 
 
@@ -98,5 +98,11 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"), Scratch(spark))
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_pii": op2_pii, "op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op6_simhash": op6_simhash, "op7_toxicity": op7_toxicity, "op8_packing": op8_packing, "op9_mixing": op9_mixing, "op10_hmm": op10_hmm}
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return prefix_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_pii": op2_pii, "op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op6_simhash": op6_simhash, "op7_toxicity": op7_toxicity, "op8_packing": op8_packing, "op9_mixing": op9_mixing, "op10_hmm": op10_hmm, "op11_prefix_bpe": op11_prefix_bpe}
 ORACLE_SQL = {"op5_url_filters": OP5_SQL, "op9_mixing": OP9_SQL}
