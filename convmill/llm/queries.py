@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, hmm, media, mixing, packing, pii, prefix_bpe, sharding, simhash, toxicity, url_filter
+from . import fingerprints, hmm, media, mixing, packing, pii, prefix_bpe, sharding, simhash, toxicity, url_filter, vector_codes
 from .common import Scratch, table
 
 
@@ -104,5 +104,30 @@ def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_pii": op2_pii, "op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op6_simhash": op6_simhash, "op7_toxicity": op7_toxicity, "op8_packing": op8_packing, "op9_mixing": op9_mixing, "op10_hmm": op10_hmm, "op11_prefix_bpe": op11_prefix_bpe}
-ORACLE_SQL = {"op5_url_filters": OP5_SQL, "op9_mixing": OP9_SQL}
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"), Scratch(spark))
+
+
+def _vector_codes_sql(rounds: int) -> str:
+    """Distances from inner products of whole numbers below 2^53, which doubles hold exactly."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} AS MATERIALIZED (SELECT rid, p, any_value(x.v) AS v, min((list_inner_product(x.v, x.v) + list_inner_product(b.v, b.v) - 2 * list_inner_product(x.v, b.v))::BIGINT * 256 + e) AS best FROM parts x JOIN b{k} b USING (p) GROUP BY rid, p)""")
+        if k < rounds:
+            steps.append(f"""
+m{k} AS (SELECT p, e, list(m ORDER BY i) AS v FROM (SELECT p, best % 256 AS e, i, floor(sum(v[i]) / count(*)) AS m FROM a{k}, range(1, (SELECT max(d) FROM kept) + 1) r(i) GROUP BY ALL) GROUP BY p, e),
+b{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m{k}.v, b{k}.v) AS v FROM b{k} LEFT JOIN m{k} USING (p, e))""")
+    return f"""
+WITH kept AS MATERIALIZED (SELECT vec_id, label, row_number() OVER () AS rid, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS c, len(embedding) // 4 AS d FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT rid, p, c[p * d + 1:(p + 1) * d] AS v FROM kept, range(4) r(p)),
+b0 AS MATERIALIZED (SELECT p, e, v FROM parts JOIN (SELECT rid, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept) USING (rid) WHERE e < 256),{",".join(steps)},
+h AS (SELECT sha256(string_agg(list_aggregate(list_transform(v, lambda x: x::BIGINT), 'string_agg', ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds}),
+r AS (SELECT rid, string_agg(printf('%02x', best % 256), '' ORDER BY p) AS code, sum(best // 256)::BIGINT AS error FROM a{rounds} GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN r USING (rid), h
+"""
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_pii": op2_pii, "op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op6_simhash": op6_simhash, "op7_toxicity": op7_toxicity, "op8_packing": op8_packing, "op9_mixing": op9_mixing, "op10_hmm": op10_hmm, "op11_prefix_bpe": op11_prefix_bpe, "op13_vector_codes": op13_vector_codes}
+ORACLE_SQL = {"op5_url_filters": OP5_SQL, "op9_mixing": OP9_SQL, "op13_vector_codes": _vector_codes_sql(vector_codes.ROUNDS)}
