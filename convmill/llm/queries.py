@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, hmm, media, mixing, packing, pii, prefix_bpe, sharding, simhash, toxicity, url_filter, vector_codes
+from . import alignment, fingerprints, hmm, media, mixing, packing, pii, prefix_bpe, sharding, simhash, toxicity, url_filter, vector_codes
 from .common import Scratch, table
 
 
@@ -104,6 +104,12 @@ def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), Scratch(spark))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"), Scratch(spark))
 
@@ -129,5 +135,5 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
 """
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_pii": op2_pii, "op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op6_simhash": op6_simhash, "op7_toxicity": op7_toxicity, "op8_packing": op8_packing, "op9_mixing": op9_mixing, "op10_hmm": op10_hmm, "op11_prefix_bpe": op11_prefix_bpe, "op13_vector_codes": op13_vector_codes}
+QUERIES = {"op1_sharding": op1_sharding, "op2_pii": op2_pii, "op3_fingerprints": op3_fingerprints, "op4_media": op4_media, "op5_url_filters": op5_url_filters, "op6_simhash": op6_simhash, "op7_toxicity": op7_toxicity, "op8_packing": op8_packing, "op9_mixing": op9_mixing, "op10_hmm": op10_hmm, "op11_prefix_bpe": op11_prefix_bpe, "op12_alignment": op12_alignment, "op13_vector_codes": op13_vector_codes}
 ORACLE_SQL = {"op5_url_filters": OP5_SQL, "op9_mixing": OP9_SQL, "op13_vector_codes": _vector_codes_sql(vector_codes.ROUNDS)}
