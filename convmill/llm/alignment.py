@@ -243,9 +243,10 @@ def pair_counts(rows: DataFrame, width: int) -> DataFrame:
             counts = np.concatenate([counts, np.ones(len(pairs) - len(counts), np.int64)])
             if len(pairs) > HELD_PAIRS:
                 pairs, counts = _summed(pairs, counts)
-            if len(pairs) > HELD_PAIRS // 2:
-                yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "n"])
-                pairs, counts = pairs[:0], counts[:0]
+                # Only where most are distinct is adding up here of little use.
+                if len(pairs) > HELD_PAIRS // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "n"])
+                    pairs, counts = pairs[:0], counts[:0]
         pairs, counts = _summed(pairs, counts)
         yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "n"])
 
