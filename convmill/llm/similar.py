@@ -9,7 +9,7 @@ chance of RECALL or more, and blocks widen with the number of texts, so that cha
 What may be alike falls into families: the connected components of those meetings. A family is found from a spanning forest of its
 meetings, so what is written is linear in the texts, whatever the sizes of the groups; no pair is left out of it.
 Within a family every pair is decided by the whole shingle sets: its members are dealt into chunks, each two chunks meet in one task,
-which counts common shingles by an inverted index and writes a spanning forest of the pairs alike by ``least`` or more.
+which compares sets that share one of their rarest shingles there, and writes a spanning forest of the pairs alike by ``least`` or more.
 
 Fingerprints of a few shingles differ in more bits: sets up to SHORT emit EXTRA further blocks, whose meetings pass with LOOSE_BITS.
 """
@@ -255,38 +255,108 @@ def _met(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.
 
 
 def alike(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """A forest of the pairs whose sets have a Jaccard similarity of ``least`` or more; only pairs across the sides where there are two."""
+    """A forest of the pairs whose sets have a Jaccard similarity of ``least`` or more; only pairs across the sides where there are two.
+
+    Two such sets share one of the rarest shingles of each, a share of 1 - ``least`` of the set: only sets that meet there are compared, and those
+    of one component are tried from its latest member on until one is alike, since one link is enough. So sets that share only what all
+    share are never compared, and a group of sets that are all alike takes one comparison for each.
+    """
     n, size = len(sets), np.fromiter(map(len, sets), np.int64, len(sets))
-    two = side.min() != side.max() if n else False
-    codes, inverse, count = np.unique(np.concatenate(sets) if n else np.empty(0, np.uint64), return_inverse=True, return_counts=True)
+    two = bool(n) and side.min() != side.max()
+    none = np.flatnonzero(size == 0)
+    # Empty sets are alike.
+    a, b = (none[side[none] == side.min()], none[side[none] != side.min()]) if two else (none[:1], none[1:])
+    across = bool(len(a) and len(b))
+    left = [*a[:1].tolist() * len(b), *a[1:].tolist()] if across else []
+    right = [*b.tolist(), *b[:1].tolist() * len(a[1:])] if across else []
+    if not size.sum():
+        return ids[np.array(left, np.int64)], ids[np.array(right, np.int64)]
+    _, inverse, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(count), np.int64)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+    # Each set's shingles from the rarest on.
     owner = np.repeat(np.arange(n), size)
-    posting = owner[np.argsort(inverse, kind="stable")]
-    start = np.cumsum(count) - count
-    ends = np.cumsum(size)
-    label, left, right = np.arange(n), [], []
-    for i in range(n):
-        if two and side[i]:
-            continue
-        open_ = label != label[i]
-        if two:
-            open_ &= side == 1
-        elif i:
-            open_[:i] = False
-        if not open_.any():
-            continue
-        own = inverse[ends[i] - size[i] : ends[i]]
-        own = own[count[own] > 1]
-        k = count[own]
-        met = posting[np.repeat(start[own] - (np.cumsum(k) - k), k) + np.arange(k.sum())]
-        both = np.bincount(met, minlength=n)
-        union = size[i] + size - both
-        found = np.flatnonzero(open_ & (both >= least * union))
-        for j in found.tolist():
+    flat = rank[inverse] + owner * len(count)
+    flat.sort()
+    flat -= owner * len(count)
+    shared, start = np.sort(count)[flat] > 1, np.cumsum(size) - size
+    first = size - np.ceil(least * size - 1e-9).astype(np.int64) + 1
+    # Who has a shingle among its rarest ones.
+    early = (np.arange(len(flat)) - start[owner] < first[owner]) & shared
+    by_token = np.argsort(flat[early], kind="stable")
+    posting, ends = owner[early][by_token], np.cumsum(np.bincount(flat[early], minlength=len(count)))
+    label, members, placed, held = np.arange(n), [1] * n, np.zeros(n, bool), np.zeros(len(count), bool)
+    postings: tuple[dict, dict] = ({}, {})
+
+    def tried(i: int, some: np.ndarray) -> None:
+        """Links ``i`` to each component of which one of these is alike to it."""
+        codes = flat[np.repeat(start[some] - (np.cumsum(size[some]) - size[some]), size[some]) + np.arange(int(size[some].sum()))]
+        both = np.add.reduceat(held[codes].astype(np.int64), np.cumsum(size[some]) - size[some])
+        for j in some[both >= least * (size[i] + size[some] - both)].tolist():
             if label[j] != label[i]:
                 left.append(i)
                 right.append(j)
-                label[label == label[j]] = label[i]
-    return ids[left], ids[right]
+                # The larger component keeps its name, so names that lists go by stay current.
+                less, more = sorted((int(label[i]), int(label[j])), key=members.__getitem__)
+                members[more] += members[less]
+                label[label == less] = more
+
+    for i in np.argsort(size, kind="stable").tolist():
+        if not size[i]:
+            continue
+        own = flat[start[i] : start[i] + size[i]]
+        rare = own[: first[i]][shared[start[i] : start[i] + first[i]]]
+        mine, others = postings[int(side[i]) if two else 0], postings[1 - int(side[i]) if two else 0]
+        held[own] = True
+        groups: dict[int, list[list[int]]] = {}
+        entries = [e for t in rare.tolist() if (e := others.get(t))]
+        if sum(map(len, entries)) <= 4 * len(rare) + 64:
+            for entry in entries:
+                for r, some in entry.items():
+                    groups.setdefault(int(label[r]), []).append(some)
+            for r, lists in groups.items():
+                for some in _in_turn(lists, size, least * size[i] - 1e-9):
+                    if label[some[0]] == label[i]:
+                        break
+                    tried(i, some)
+        else:
+            # Many components meet here: one of each is tried at once, then the others of those without a link.
+            meets = np.zeros(n, bool)
+            k = ends[rare] - np.where(rare > 0, ends[rare - 1], 0)
+            meets[posting[np.repeat(ends[rare] - np.cumsum(k), k) + np.arange(int(k.sum()))]] = True
+            some = np.flatnonzero(meets & placed & (size >= least * size[i] - 1e-9) & ((side != side[i]) if two else True))
+            some = some[label[some] != label[i]]
+            one = np.unique(label[some], return_index=True)[1]
+            if len(one):
+                tried(i, some[one])
+            for a in range(0, len(some), 4096):
+                rest = np.setdiff1d(some[a : a + 4096], some[one])
+                rest = rest[label[rest] != label[i]]
+                if len(rest):
+                    tried(i, rest)
+        held[own] = False
+        placed[i] = True
+        for token in rare.tolist():
+            mine.setdefault(token, {}).setdefault(int(label[i]), []).append(i)
+    return ids[np.array(left, np.int64)], ids[np.array(right, np.int64)]
+
+
+def _in_turn(lists: list[list[int]], size: np.ndarray, least: float) -> Iterator[np.ndarray]:
+    """The members of these lists large enough to be alike, each once, latest first: one, then ever more at a time."""
+    some, most, seen = [], 1, set()
+    for members in lists:
+        for j in reversed(members):
+            # Lists grow by size, so what comes before is smaller still.
+            if size[j] < least:
+                break
+            if j not in seen:
+                seen.add(j)
+                some.append(j)
+                if len(some) == most:
+                    yield np.array(some)
+                    some, most = [], min(4 * most, 1024)
+    if some:
+        yield np.array(some)
 
 
 def _decide(least: float):

@@ -147,3 +147,31 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 4, 5, 6]
     assert similar.keep_one(docs.limit(0), Scratch(spark)).count() == 0
+
+
+def test_what_all_of_a_family_share_makes_no_comparisons():
+    rng = np.random.default_rng(5)
+    core = rng.integers(0, 1 << 60, 200, dtype=np.uint64)
+    n = 1500
+    template = [np.unique(np.concatenate([core[:150], rng.integers(0, 1 << 60, 50, dtype=np.uint64)])) for _ in range(n)]
+    near = [np.unique(np.concatenate([rng.choice(core, 195, replace=False), rng.integers(0, 1 << 60, 6, dtype=np.uint64)])) for _ in range(n)]
+    tried = []
+    for sets, want in ((template, 0), (near, n - 1)):
+        sizes = 0
+        before = similar._in_turn
+
+        def counting(*args):
+            nonlocal sizes
+            for some in before(*args):
+                sizes += len(some)
+                yield some
+
+        similar._in_turn = counting
+        try:
+            a, _ = similar.alike(np.arange(n), sets, np.zeros(n, int), 0.8)
+        finally:
+            similar._in_turn = before
+        assert len(a) == want
+        tried.append(sizes)
+    # No two of the template meet in their rarest shingles; of the alike ones each takes a comparison or few.
+    assert tried[0] == 0 and tried[1] < 20 * n
