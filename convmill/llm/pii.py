@@ -8,7 +8,7 @@ mention's held, and is written in the mention's own layout.
 
 A name is found by a title, a cue such as "my name is", or a common given name before it. Its words are entities: a person keeps one
 surrogate with and without a title, and the gender is what lists and titles of the whole corpus say of the word. Full names found so are
-then replaced in runs of capitalised words of all documents, where nothing else tells that they are names. A surname alone is found after a title only.
+then replaced in runs of capitalised words of all documents, where nothing else tells that they are names. A surname alone is found after a title only. Pieces of hyphenated names are entities of their own, particles stay, and a name that NOT_NAMES goes on with is none.
 
 Surrogates are checked over the whole corpus: one that another entity of its kind has, or that is itself an entity of
 the corpus, is drawn anew until none is left, so distinct entities stay distinct.
@@ -41,7 +41,14 @@ GIVEN = {
 }
 _TITLE = "(?:" + "|".join(t for ts in TITLES.values() for t in sorted(ts, key=len, reverse=True)) + r")\.?"
 _GIVEN = "(?:" + "|".join(n for ns in GIVEN.values() for n in ns) + ")"
-_PART = r"\p{Lu}[\p{L}'’]{1,40}+(?!\p{N})"
+#: Words that follow a given name or a cue without being a name: offices, roles, places, and words that a given name may be, too.
+NOT_NAMES = ("Account", "Accounts", "Admin", "Administrator", "Adviser", "Agent", "Avenue", "Bank", "Bay", "Board", "Boulevard", "Bridge", "Captain", "Center", "Centre", "Chair", "Church", "City", "Client", "Club", "Coach", "Code", "College", "Colleague", "Colleagues", "Committee", "Company", "Council", "County", "Customer", "Customers", "Department", "Desk", "Director", "Down", "Drive", "Editor", "Editors", "Engineer", "Everyone", "Everybody", "Family", "Finance", "Friend", "Friends", "Group", "Guest", "Guests", "Help", "Hill", "Hiring", "Hospital", "House", "Human", "Island", "Lake", "Lane", "Language", "Madam", "Manager", "Managers", "Market", "Member", "Members", "Ministry", "Museum", "Office", "Officer", "Out", "Park", "Parents", "Place", "Police", "President", "Prize", "Professor", "Purchasing", "Quarter", "Reader", "Readers", "Recruiter", "Recruiting", "Resident", "Residents", "Resources", "River", "Road", "Sales", "School", "Service", "Services", "Sir", "Sirs", "Square", "Staff", "Station", "Street", "Student", "Students", "Subscriber", "Supervisor", "Support", "Teacher", "Team", "Technical", "Tower", "University", "Up", "User", "Users", "Valued", "Village", "Way")
+#: Words between a given name and a surname that stay as they are.
+PARTICLES = ("von", "van", "der", "den", "de", "del", "della", "di", "da", "dos", "das", "du", "la", "le", "al", "bin", "ibn", "ter", "zu", "Von", "Van", "Der", "Den", "De", "Del", "Della", "Di", "Da", "Dos", "Du", "La", "Le", "Al", "Bin")
+_PIECE = r"\p{Lu}[\p{L}'’]++"
+_PART = rf"{_PIECE}(?:-{_PIECE})*+(?!\p{{N}})"
+_AFTER = rf" (?:(?:{'|'.join(PARTICLES)}) ){{0,3}}{_PART}"
+_NO_NAME = rf"(?!(?:{'|'.join(NOT_NAMES)})(?![\p{{L}}\p{{N}}]))"
 #: What introduces a full name.
 _CUE = r"(?:[Nn]ame is|named|[Nn]ame:|[Cc]ontact:|Dear|Sincerely,|[Rr]egards,|[Ss]igned,|appelle|heiße|[Nn]ame ist|llamo|nombre es)"
 _KEY_PREFIX = r"(?:AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-|eyJ)"
@@ -49,23 +56,24 @@ _KEY_PREFIX = r"(?:AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-|eyJ)"
 #: Kinds in the order in which they are tried. A run is no mention of its own: full names found elsewhere are looked up in it.
 PATTERNS = {
     "key": r"(?<![\p{L}\p{N}])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}+|sk-[A-Za-z0-9_-]{20,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)(?![\p{L}\p{N}])",
-    "secret": r"""(?<![\p{L}\p{N}])(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?[A-Za-z0-9_+/.\-]{8,}+""",
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}+(?:\.[\p{L}\p{N}-]{1,63}+){1,8}+",
+    "secret": r"""(?<![\p{L}\p{N}])(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?[^\s"']{7,}[^\s"'.,;:!?)\]}]""",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{L}\p{N}.])(?<!(?i:version|release|ver|v)[. ]{1,2})(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?[\p{L}\p{N}])",
+    "ipv6": r"(?<![\p{L}\p{N}:.])(?=(?:[0-9A-Fa-f]{0,4}:){3})(?=[A-Fa-f:]{0,39}\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}|(?:[0-9A-Fa-f]{1,4}:){2,7}:|::(?:[0-9A-Fa-f]{1,4}:){1,6}[0-9A-Fa-f]{1,4})(?![\p{L}\p{N}:])",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)",
     "phone": r"(?:(?<![\p{L}\p{N}+.-])0\d{1,4}[ /-]\d{5,8}|(?<![\p{L}\p{N}+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,5}){1,5}|(?<![\p{L}\p{N}])\(\d{3}\) ?\d{3}[ .-]\d{4}|(?<![\p{L}\p{N}.-])\d{3}[ .-]\d{3}[ .-]\d{4})(?![\p{L}\p{N}])",
     "card": r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]?\d{1,4})?)(?![\p{L}\p{N}])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE} {_PART}(?: {_PART})?|{_CUE} (?!{_TITLE} ){_PART} {_PART}|{_GIVEN} {_PART})",
-    "run": rf"(?<![\p{{L}}\p{{N}}])(?!{_TITLE} ){_PART}(?: (?!{_TITLE} |{_GIVEN} ){_PART}){{1,12}}",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE} {_PART}(?:{_AFTER})?|{_CUE} (?!{_TITLE} ){_NO_NAME}{_PART}(?! (?:{'|'.join(NOT_NAMES)})(?![\p{{L}}\p{{N}}])){_AFTER}|{_GIVEN}(?:-{_PIECE})*+(?! (?:{'|'.join(NOT_NAMES)})(?![\p{{L}}\p{{N}}])){_AFTER})",
+    "run": rf"(?<![\p{{L}}\p{{N}}])(?!{_TITLE} ){_PART}(?: (?!{_TITLE} |{_GIVEN} ){_PART})++",
 }
 #: What a mention of a kind can begin with: a cheap look ahead of the pattern itself.
-_BEGINS = {"key": "[AgsxeJ]", "secret": "[tTsSpPaA]", "email": "", "iban": "[A-Z]", "ip": r"\d", "ssn": r"\d", "phone": r"[+(\d]", "card": r"\d", "name": r"[\p{Lu}nclrsah]", "run": r"\p{Lu}"}
+_BEGINS = {"key": "[AgsxeJ]", "secret": "[tTsSpPaA]", "email": "", "iban": "[A-Z]", "ip": r"\d", "ipv6": "[0-9A-Fa-f:]", "ssn": r"\d", "phone": r"[+(\d]", "card": r"\d", "name": r"[\p{Lu}nclrsah]", "run": r"\p{Lu}"}
 #: Matches of this are mentions but for digits that fail the Luhn test; ``ANY`` finds runs too.
 SURE = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k != "run") + ")"
 #: All kinds begin where no letter or digit precedes, which one look behind settles for most positions of a text.
 ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{f'(?={_BEGINS[k]})' if _BEGINS[k] else ''}{p})" for k, p in PATTERNS.items()) + ")"
-_SECRET_VALUE = r"""^(.*?[=:]\s{0,3}["']?)([^=:\s"']+)$"""
+_SECRET_VALUE = r"""^([^=:]*[=:]\s{0,3}["']?)([^\s"']+)$"""
 #: Syllables from which names are built, by script.
 _ONSETS = {"latin": list("bdfgklmnprstvz"), "cyrillic": list("бдгклмнпрствз"), "greek": list("βγδζκλμνπρστ")}
 _VOWELS = {"latin": list("aeiou"), "cyrillic": list("аеиоу"), "greek": list("αειου")}
@@ -82,6 +90,11 @@ def kind_of(mention: Column) -> Column:
     return F.coalesce(*(F.when(mention.rlike(f"^(?:{p})$"), F.lit(k)) for k, p in PATTERNS.items()), F.lit("name"))
 
 
+def _word_entities(word: Column, part: str, gender: Column | None = None) -> Column:
+    """One entity for each piece of a hyphenated word; none for a particle."""
+    return F.when(word.isin(*PARTICLES), F.array().cast("array<struct<kind:string,norm:string,gender:string>>")).otherwise(F.transform(F.split(word, "-"), lambda p: _word_entity(p, part, gender)))
+
+
 def _name_parts(mention: Column) -> Column:
     """The words of a name mention without its title or cue."""
     return F.split(F.regexp_replace(mention, rf"^(?:{_TITLE}|{_CUE}) ", ""), " ")
@@ -119,7 +132,7 @@ def _is_mention(mention: Column, kind: Column) -> Column:
 def _pairs_of(run: Column) -> Column:
     """Each two words that follow each other in a run, lower-cased, as ``pair`` entities."""
     words = F.split(run, " ")
-    return F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.struct(F.concat_ws(" ", F.lower(a), F.lower(b)).alias("pair"), F.array(_word_entity(a, "given"), _word_entity(b, "surname")).alias("words")))
+    return F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.struct(F.concat_ws(" ", F.lower(a), F.lower(b)).alias("pair"), F.concat(_word_entities(a, "given"), _word_entities(b, "surname")).alias("words")))
 
 
 def entities_of(mention: Column, kind: Column) -> Column:
@@ -127,7 +140,7 @@ def entities_of(mention: Column, kind: Column) -> Column:
     digits = F.regexp_replace(mention, r"\D", "")
     norm = (
         F.when(kind == "secret", F.regexp_extract(mention, _SECRET_VALUE, 2))
-        .when(kind == "email", F.lower(mention))
+        .when(kind.isin("email", "ipv6"), F.lower(mention))
         .when(kind == "key", mention)
         .when(kind == "ip", mention)
         .when(kind == "iban", F.replace(mention, F.lit(" "), F.lit("")))
@@ -136,7 +149,7 @@ def entities_of(mention: Column, kind: Column) -> Column:
     )
     parts = _name_parts(mention)
     count = F.size(parts)
-    of_name = F.transform(parts, lambda w, i: F.when((i == 0) & (count > 1), _word_entity(w, "given", _gender(w, mention))).otherwise(_word_entity(w, "surname")))
+    of_name = F.flatten(F.transform(parts, lambda w, i: F.when((i == 0) & (count > 1), _word_entities(w, "given", _gender(F.substring_index(w, "-", 1), mention))).otherwise(_word_entities(w, "surname"))))
     return F.when(kind == "name", of_name).otherwise(F.array(_entity(kind, norm)))
 
 
@@ -200,7 +213,7 @@ def _invented(kind: Column, gender: Column, digest: Column, syllables: Column) -
 def candidate(kind: Column, norm: Column, gender: Column, attempt: Column, key: str = KEY) -> Column:
     """The surrogate that a kind, normal form and gender get at this attempt, in normal form."""
     digest = F.sha2(F.concat_ws("|", F.lit(key), kind, norm, attempt.cast("string")), 512)
-    scrambled = _scrambled(norm, digest, F.when(kind == "iban", 2).when(kind == "key", F.length(F.regexp_extract(norm, f"^{_KEY_PREFIX}", 0))).when((kind == "phone") & norm.startswith("+"), 2).when(kind == "card", 1).otherwise(0), (kind == "secret") & norm.rlike("^[0-9a-fA-F]+$"))
+    scrambled = _scrambled(norm, digest, F.when(kind == "iban", 2).when(kind == "key", F.length(F.regexp_extract(norm, f"^{_KEY_PREFIX}", 0))).when((kind == "phone") & norm.startswith("+"), 2).when(kind == "card", 1).otherwise(0), (kind == "ipv6") | (kind == "secret") & norm.rlike("^[0-9a-fA-F]+$"))
     # A number that passed the Luhn test gets a last digit with which the surrogate passes too.
     stem = F.concat(F.left(scrambled, F.length(scrambled) - 1), F.lit("0"))
     card = F.when(luhn(norm) == 0, F.concat(F.left(stem, F.length(stem) - 1), ((10 - luhn(stem)) % 10).cast("string"))).otherwise(scrambled)
@@ -212,7 +225,7 @@ def candidate(kind: Column, norm: Column, gender: Column, attempt: Column, key:
     host = F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), domain), 256)
     # Equal domains stay equal; the host lies under a reserved name.
     email = F.concat(_scrambled(local, digest, F.lit(0), F.lit(False)), F.when(attempt > 3, F.left(digest, attempt - 3)).otherwise(""), F.lit("@"), F.translate(F.left(host, F.lit(10)), "0123456789", "ghijklmnop"), F.lit(".example."), F.when(domain.rlike(r"\.(com|net|org)$"), F.substring_index(domain, ".", -1)).otherwise("org"))
-    ip = F.concat_ws(".", (_number(digest, F.lit(0)) % 16 + 240).cast("string"), *((_number(digest, F.lit(i)) % 256).cast("string") for i in (1, 2, 3)))
+    ip = F.concat_ws(".", F.when(attempt < 20, _number(digest, F.lit(0)) % 16 + 240).otherwise(_number(digest, F.lit(0)) % 256).cast("string"), *((_number(digest, F.lit(i)) % 256).cast("string") for i in (1, 2, 3)))
     return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "iban", iban).when(kind.contains("_"), _invented(kind, gender, digest, F.least(F.lit(2) + F.floor(attempt / 4).cast("int"), F.lit(8)))).otherwise(scrambled)
 
 
@@ -244,13 +257,12 @@ def surrogates(entities: DataFrame, scratch: Scratch, key: str = KEY) -> DataFra
 def _names_in_run(run: Column, known: Column) -> Column:
     """A run of capitalised words with the full names that are known replaced."""
     words = F.split(run, " ")
-    of = lambda w, part: _surrogate(_word_entity(w, part), known)
     pair = lambda a, b: F.try_element_at(known, F.concat(F.lit("pair:"), F.lower(a), F.lit(" "), F.lower(b))).isNotNull()
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("second"))
 
     def step(s: Column, x: Column) -> Column:
         opens = ~s["second"] & F.coalesce(pair(x["w"], x["next"]), F.lit(False))
-        word = F.when(s["second"], _cased(of(x["w"], "surname"), x["w"])).when(opens, _cased(of(x["w"], "given"), x["w"])).otherwise(x["w"])
+        word = F.when(s["second"], _word_laid(x["w"], "surname", known)).when(opens, _word_laid(x["w"], "given", known)).otherwise(x["w"])
         return F.struct(F.concat(s["out"], F.array(word)).alias("out"), opens.alias("second"))
 
     with_next = F.transform(words, lambda w, i: F.struct(w.alias("w"), F.get(words, i + 1).alias("next")))
@@ -265,6 +277,11 @@ def _cased(surrogate: Column, word: Column) -> Column:
     return F.when(word == F.upper(word), F.upper(surrogate)).otherwise(F.initcap(surrogate))
 
 
+def _word_laid(word: Column, part: str, known: Column) -> Column:
+    """A word of a name with the surrogates of its pieces; particles as they are."""
+    return F.when(word.isin(*PARTICLES), word).otherwise(F.array_join(F.transform(F.split(word, "-"), lambda p: _cased(_surrogate(_word_entity(p, part), known), p)), "-"))
+
+
 def _written(mention: Column, kind: Column, sure: Column, known: Column) -> Column:
     """A mention in its own layout with the surrogates of its entities; other matches as they are."""
     return F.when(kind == "run", _names_in_run(mention, known)).when(sure, let(entities_of(mention, kind), lambda e: _surrogates_laid(mention, kind, e, known))).otherwise(mention)
@@ -272,7 +289,8 @@ def _written(mention: Column, kind: Column, sure: Column, known: Column) -> Colu
 
 def _surrogates_laid(mention: Column, kind: Column, entities: Column, known: Column) -> Column:
     """As the mention is written: names word by word, addresses and keys whole, numbers sign by sign."""
-    parts = F.transform(F.arrays_zip(entities.alias("e"), _name_parts(mention).alias("w")), lambda z: _cased(_surrogate(z["e"], known), z["w"]))
+    words = _name_parts(mention)
+    parts = F.transform(words, lambda w, i: F.when((i == 0) & (F.size(words) > 1), _word_laid(w, "given", known)).otherwise(_word_laid(w, "surname", known)))
     name = F.concat(F.regexp_extract(mention, rf"^((?:{_TITLE}|{_CUE}) )?", 1), F.array_join(parts, " "))
     return F.when(kind == "name", name).otherwise(let(_surrogate(F.element_at(entities, 1), known), lambda one: _one_laid(mention, kind, one)))
 

@@ -161,3 +161,32 @@ def test_clashing_names(spark):
     docs = spark.createDataFrame([(1, "me@x.org", "a", "b", {"k": 1})], "doc_id long, text string, _doc string, _known string, _matches map<string,int>")
     (r,) = pii.replace_entities(docs, Scratch(spark)).collect()
     assert r._doc == "a" and r._known == "b" and r._matches == {"k": 1} and "me@x.org" not in r.text
+
+
+def test_planted_people_and_others(spark):
+    """People and what only looks like them, written out, without the engine's own patterns."""
+    people = {
+        "Mr Alex Kim spoke.": "Alex Kim",
+        "Oslo Bergen Paris London Rome Milan Turin Genoa Athens Sparta Corfu Crete Alex Kim spoke": "Alex Kim",
+        "Dr Smith-Jones came.": "Smith-Jones",
+        "Ms Anne-Marie Le Pen and Jean-Luc de la Tour left.": "Anne-Marie Pen Jean-Luc Tour",
+        "Hello, my name is Tariq Brandt.": "Tariq Brandt",
+        "Later Tariq Brandt called": "Tariq Brandt",
+        "Prof " + "K" + "a" * 60 + " taught": "aaaa",
+    }
+    others = ["Dear Hiring Manager,", "The Hiring Manager and Human Resources met.", "Contact: Human Resources", "In Jan Sales rose; Mark Up Language; Paul Street", "Dear Valued Customer", "std::vector a::b at 12:30:45, abc::def"]
+    got = run(spark, [*people, *others])
+    for i, (text, names) in enumerate(people.items()):
+        assert got[i].n_mentions > 0 and not any(n in got[i].text for n in re.findall(r"[^\W_]+", names)), (text, got[i].text)
+        assert re.sub(r"[^\W_]+", "w", text) == re.sub(r"[^\W_]+", "w", got[i].text)
+    assert got[3].text.split()[2:3] == ["Le"] and " de la " in got[3].text
+    assert [got[len(people) + i].text for i in range(len(others))] == others
+
+
+def test_secrets_and_addresses_go_whole(spark):
+    secrets = ["password=hunter2x!$@#zz99", "api_key: 'a=b:c/d+eeeeee'", "token=abc{}<>12345678xyz."]
+    got = run(spark, [*secrets, "host 2001:db8:85a3::8a2e:370:7334 and fe80::1:2:3 end", "x" * 90 + "@example.com", "password=hunter2x!$@#zz99,"])
+    assert not any(x in got[i].text for i, xs in enumerate([["hunter2x", "zz99"], ["eeeeee"], ["12345678", "xyz"]]) for x in xs)
+    assert got[0].text == got[5].text[:-1] and got[2].text[-1] == "." and [len(got[i].text) for i in range(3)] == list(map(len, secrets))
+    a, b = re.fullmatch(r"host ([0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4}::[0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4}) and ([0-9a-f]{4}::[0-9a-f]:[0-9a-f]:[0-9a-f]) end", got[3].text).groups()
+    assert "8a2e:370" not in a and b != "fe80::1:2:3" and "x" * 10 not in got[4].text and got[4].n_mentions == 1
