@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import characters, words
+from ..functions.names import fresh
+from ..functions.text import characters, let, words
 
 IGNORED = -100
 
@@ -89,19 +90,23 @@ def response_start(ids: Column, template: list[int]) -> Column:
 
 def labels(ids: Column, template: list[int], pad: int = 0) -> Column:
     """The ids from the response on; before it, and for padding, IGNORED."""
-    start = response_start(ids, template)
-    return F.transform(ids, lambda x, i: F.when((i < start) | (x == pad), F.lit(IGNORED)).otherwise(x))
+    # The start is found once a row; inside the lambda it would be for every id.
+    marked = lambda start: F.transform(ids, lambda x, i: F.when((i < start) | (x == pad), F.lit(IGNORED)).otherwise(x))
+    return let(response_start(ids, template), marked)
 
 
 def collate(rows: DataFrame, batch: str, template: list[int], pad: int = 0) -> DataFrame:
-    """input_ids, attention_mask and labels of equal length within each batch; rows without ids are left out, and a table of nothing else is an error of its reader."""
+    """input_ids, attention_mask and labels of equal length within each batch; rows without ids are left out, and a batch of nothing else ends the job with its name."""
     if not template:
         raise ValueError("the response template needs at least one id")
-    kept = rows.where(F.coalesce(F.size("input_ids") > 0, F.lit(False)))
+    n, = fresh(rows, "n", also=["attention_mask", "labels"])
+    size = F.greatest(F.coalesce(F.size("input_ids"), F.lit(0)), F.lit(0))
+    # The check is part of the filter over the same window that finds the batch's length, so it takes no pass of its own.
+    empty = F.raise_error(F.concat(F.lit("no row has ids in batch "), F.coalesce(F.col(batch).cast("string"), F.lit("null")))).cast("boolean")
+    kept = rows.withColumn(n, F.max(size).over(Window.partitionBy(batch))).where(F.when(F.col(n) == 0, empty).otherwise(size > 0))
     mask = mended(F.col("attention_mask"), F.col("input_ids"), pad) if "attention_mask" in rows.columns else mask_of(F.col("input_ids"), pad)
-    longest = F.max(F.size("input_ids")).over(Window.partitionBy(batch))
-    wide = kept.withColumn("attention_mask", mask).withColumn("_n", longest).withColumns({"input_ids": padded(F.col("input_ids"), F.col("_n"), pad), "attention_mask": padded(F.col("attention_mask"), F.col("_n"), 0)})
-    return wide.withColumn("labels", labels(F.col("input_ids"), template, pad)).drop("_n")
+    wide = kept.withColumn("attention_mask", mask).withColumns({"input_ids": padded(F.col("input_ids"), F.col(n), pad), "attention_mask": padded(F.col("attention_mask"), F.col(n), 0)})
+    return wide.withColumn("labels", labels(F.col("input_ids"), template, pad)).drop(n)
 
 
 def tokenize(df: DataFrame, tokenizer: Tokenizer, column: str = "text", most: int = 2048) -> DataFrame:

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import ast
-import json
 import operator
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vocab as V
-from .variants import CALL
+from ..functions.names import fresh
+from . import calls
+from .calls import find_calls
 
 #: Results and exponents beyond these are refused: a cell of data must not stall a task.
 DIGITS_MOST, EXPONENT_MOST = 4000, 10_000
@@ -72,8 +72,13 @@ class Registry:
         return keep
 
     def register_function(self, spark: SparkSession, name: str, f: Callable[[str], str]) -> None:
-        """A Python function as a tool and as the SQL function of that name; null in, null out, since a CASE evaluates it for other tools' rows too."""
-        self.tools[name] = spark.udf.register(name, lambda x: None if x is None else f(x), "string")
+        """A Python function as a tool and, in Arrow batches, as the SQL function of that name; null in, null out, since a CASE evaluates it for other tools' rows too."""
+
+        @F.pandas_udf("string")
+        def run(batch: pd.Series) -> pd.Series:
+            return batch.map(lambda x: None if x is None else f(x))
+
+        self.tools[name] = spark.udf.register(name, run)
 
     def execute(self, name: Column, args: Column) -> Column:
         """What the tool answers to its first argument; unknown tools and missing arguments are said to be so."""
@@ -95,34 +100,9 @@ def default_registry() -> Registry:
 
 
 def extract_calls(df: DataFrame, text: str, key: list[str]) -> DataFrame:
-    """key, call (from 0), name, arguments for every well-formed call that has both, in order; objects of up to four levels of braces."""
-    parsed = F.filter(F.transform(F.regexp_extract_all(F.col(text), F.lit(CALL), F.lit(0)), lambda j: F.struct(F.get_json_object(j, "$.tool_call.name").alias("name"), F.get_json_object(j, "$.tool_call.arguments").alias("arguments"), F.try_parse_json(j).isNotNull().alias("ok"))), lambda c: c["ok"] & c["name"].isNotNull() & c["arguments"].isNotNull())
-    return df.select(*key, F.posexplode(parsed).alias("call", "c")).select(*key, F.col("call").cast("bigint").alias("call"), "c.name", F.from_json("c.arguments", "map<string,string>").alias("arguments"))
-
-
-def find_calls(text: str | None) -> list[dict]:
-    """Every tool call of a text that parses and has a name and arguments, at any depth of nesting."""
-    out, decoder = [], json.JSONDecoder()
-    for m in re.finditer(r'\{"tool_call"', text or ""):
-        try:
-            call = decoder.raw_decode(text, m.start())[0]["tool_call"]
-        except (ValueError, KeyError, TypeError):
-            continue
-        if isinstance(call, dict) and "name" in call and "arguments" in call:
-            out.append(call)
-    return out
-
-
-def extract_calls_at_any_depth(df: DataFrame, text: str, key: list[str]) -> DataFrame:
-    """As ``extract_calls`` without its bound on nesting; arguments are JSON text. Texts cross to Python by Arrow, in batches."""
-
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield texts.map(lambda t: [json.dumps([str(c["name"]), json.dumps(c["arguments"], ensure_ascii=False)], ensure_ascii=False) for c in find_calls(t)])
-
-    found = F.pandas_udf(find, "array<string>")(F.col(text))
-    pair = F.from_json("c", "array<string>")
-    return df.select(*key, F.posexplode(found).alias("call", "c")).select(*key, F.col("call").cast("bigint").alias("call"), F.get(pair, F.lit(0)).alias("name"), F.get(pair, F.lit(1)).alias("arguments"))
+    """key, call (from 0), name, arguments (a map; values that are no texts as JSON) for every well-formed call that has both, in order, at any depth. Arguments that are no object give an empty map."""
+    arguments = F.coalesce(F.from_json("arguments", "map<string,string>"), F.create_map().cast("map<string,string>"))
+    return calls.extract(df, text, key).select(*key, "call", "name", arguments.alias("arguments"))
 
 
 def converse(step: Callable[[list[dict]], str], question: str, run: Callable[[str, dict], str], most: int = 5, strict: bool = False) -> str:
@@ -137,11 +117,11 @@ def converse(step: Callable[[list[dict]], str], question: str, run: Callable[[st
         answer = step(messages)
         if strict and not (answer or "").strip():
             raise ValueError("the answer is blank")
-        calls = find_calls(answer)
-        if not calls:
+        found = find_calls(answer)
+        if not found:
             break
         results = []
-        for call in calls:
+        for call in found:
             try:
                 results.append(run(call["name"], call["arguments"]))
             except Exception as error:
@@ -152,13 +132,14 @@ def converse(step: Callable[[list[dict]], str], question: str, run: Callable[[st
     return answer
 
 
-def execute_calls(calls: DataFrame, registry: Registry | None = None) -> DataFrame:
-    """``calls`` plus ``result``; equal calls are worked out once and met again."""
+def execute_calls(called: DataFrame, registry: Registry | None = None) -> DataFrame:
+    """``called`` plus ``result``; equal calls are worked out once and met again."""
     registry = registry or default_registry()
-    keyed = calls.withColumn("_args", F.to_json("arguments"))
-    distinct = keyed.select("name", "_args", "arguments").dropDuplicates(["name", "_args"])
-    worked = distinct.select(F.col("name").alias("_name"), F.col("_args").alias("_a"), registry.execute(F.col("name"), F.col("arguments")).alias("result"))
-    return keyed.join(worked, keyed["name"].eqNullSafe(worked["_name"]) & keyed["_args"].eqNullSafe(worked["_a"]), "left").drop("_args", "_name", "_a")
+    args, tool, told = fresh(called, "args", "tool", "told", also=["result"])
+    keyed = called.withColumn(args, F.to_json("arguments"))
+    distinct = keyed.select("name", args, "arguments").dropDuplicates(["name", args])
+    worked = distinct.select(F.col("name").alias(tool), F.col(args).alias(told), registry.execute(F.col("name"), F.col("arguments")).alias("result"))
+    return keyed.join(worked, keyed["name"].eqNullSafe(worked[tool]) & keyed[args].eqNullSafe(worked[told]), "left").drop(args, tool, told)
 
 
 def anchors(html: Column, pattern: str = r'(?s)<a [^>]*?href="(.*?)"[^>]*>(.*?)</a>', most: int = 5) -> Column:

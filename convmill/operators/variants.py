@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import draw as D
 from ..functions import vocab as V
 from ..functions.text import json_string, let, words
-from .messages import first_of, replace_last
+from .calls import all_parse
+from .messages import all_content, first_of, replace_last
 
 KINDS = ("single", "multi", "none")
 
@@ -134,21 +137,8 @@ def variants(chats: DataFrame, count: int, tools: list[str], key: str = "conv_id
     return originals.unionByName(made)
 
 
-#: A JSON object with up to four levels of braces, strings minded.
-_STRING = r'"(?:[^"\\]|\\.)*+"'
-_LEVEL = rf'(?:[^{{}}"]|{_STRING})*+'
-CALL = r'\{\s*+"tool_call"' + rf"(?:[^{{}}\"]|{_STRING}|\{{(?:[^{{}}\"]|{_STRING}|\{{(?:[^{{}}\"]|{_STRING}|\{{{_LEVEL}\}})*+\}})*+\}})*+\}}"
-
-
-def calls_parse(content: Column) -> Column:
-    """True where every place that begins a tool call begins a whole object that parses."""
-    found = F.regexp_extract_all(content, F.lit(CALL), F.lit(0))
-    begun = F.regexp_count(content, F.lit(r'\{\s*"tool_call"'))
-    return (begun == F.size(found)) & F.forall(found, lambda j: F.try_parse_json(j).isNotNull())
-
-
-def valid(messages: Column, most_tokens: int = 32_000) -> Column:
-    """Not empty, not too long by words, and all tool calls well formed."""
-    from .messages import all_content
-
-    return F.coalesce((F.size(messages) > 0) & (F.size(words(all_content(messages))) <= most_tokens) & F.forall(messages, lambda m: F.coalesce(calls_parse(m["content"]), F.lit(True))), F.lit(False))
+def valid(messages: Column, most_tokens: int = 32_000, count: Callable[[Column], Column] | None = None) -> Column:
+    """Not empty, not too long, and all tool calls well formed, however deep. ``count`` gives a text's tokens; words are counted without it."""
+    tokens = (count or (lambda text: F.size(words(text))))(all_content(messages))
+    whole = all_parse(F.transform(messages, lambda m: m["content"]))
+    return F.coalesce((F.size(messages) > 0) & (tokens <= most_tokens) & whole, F.lit(False))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dialects as L
@@ -15,12 +15,14 @@ from ..functions.durable import fresh_path
 from ..functions.rules import Rule, classify_by_table, table as rule_table
 from ..functions.text import SPACES, words
 from ..operators import augment as A
+from ..operators import calls as N
 from ..operators import chat as H
 from ..operators import classify as C
 from ..operators import curate as U
 from ..operators import messages as M
 from ..operators import metrics as R
 from ..operators import preference as P
+from ..operators import rounds as G
 from ..operators import presets, tokens as T, toolcalls as K
 from ..operators import variants as X
 from ..sources import jsonl, sinks
@@ -355,6 +357,42 @@ def agent_loop(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", asked(question).alias("answer"))
 
 
+@query("""SELECT p_partkey, CAST(0 AS BIGINT) AS call, 'nested' AS name, CASE WHEN p_partkey % 8 = 0 THEN p_name ELSE repeat('{"a":', p_partkey % 8) || '"' || p_name || '"' || repeat('}', p_partkey % 8) END AS a FROM part UNION ALL SELECT p_partkey, 1, 'inner', p_name FROM part WHERE p_partkey % 3 = 0""")
+def nested_calls(spark, sf_dir):
+    # Arguments nest one to eight levels; some texts go on with a call whose name has braces around it in a string, or one that is not closed.
+    k = (F.col("p_partkey") % 8 + 1).cast("int")
+    told = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(' {"tool_call": {"name": "inner", "note": "}{\\"", "arguments": {"a": "'), "p_name", F.lit('"}}}'))).when(F.col("p_partkey") % 3 == 1, ' {"tool_call": {"name": "open"').otherwise("")
+    text = F.concat(F.lit('Need data: {"tool_call": {"name": "nested", "arguments": '), F.repeat(F.lit('{"a": '), k), F.lit('"'), "p_name", F.lit('"'), F.repeat(F.lit("}"), k), F.lit("}}"), told)
+    texts = read(spark, sf_dir, "part").select("p_partkey", text.alias("text"))
+    N.register(spark)
+    found = spark.sql("SELECT p_partkey, c.call, c.name, c.arguments FROM {t} AS t, LATERAL tool_calls(t.text) AS c", t=texts)
+    return found.select("p_partkey", "call", "name", F.from_json("arguments", "map<string,string>")["a"].alias("a"))
+
+
+_TOLD = lambda r: f"CASE WHEN {r} > conv_id % 4 THEN '' WHEN {r} = 1 THEN ' {{\"tool_call\": {{\"name\": \"news_tool\", \"arguments\": {{\"query\": \"a' || conv_id || '\"}}}}}} {{\"tool_call\": {{\"name\": \"none\", \"arguments\": {{}}}}}}' ELSE ' {{\"tool_call\": {{\"name\": \"news_tool\", \"arguments\": {{\"query\": \"b' || conv_id || '\"}}}}}}' END"
+_NEWS = [S.q(x) for x in V.LOOKUPS["news_tool"].split("{}")]
+_GOT = lambda r: f"'Tool news_tool result: ' || {_NEWS[0]} || CASE WHEN {r} = 1 THEN 'a' ELSE 'b' END || conv_id || {_NEWS[1]} || CASE WHEN {r} = 1 THEN chr(10) || 'Unknown tool: none' ELSE '' END"
+
+
+@query(f"""WITH {S.PAIRS}, said AS (SELECT conv_id, list(coalesce(text, '') ORDER BY turn) AS turns FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+t AS (SELECT conv_id, trim(prompt) AS question, turns, least(conv_id % 4 + 1, len(turns) + 1, 3) AS ends FROM pairs JOIN said USING (conv_id))
+SELECT conv_id, ends AS rounds, CASE WHEN ends > len(turns) THEN 'failed' WHEN conv_id % 4 < ends THEN 'answered' ELSE 'unfinished' END AS status, CASE WHEN ends > len(turns) THEN 'Error in model inference: no turn is left' ELSE turns[ends] || {_TOLD('ends')} END AS answer,
+md5(question || array_to_string(list_transform(range(1, ends), lambda r: chr(10) || 'Previous output: ' || turns[r] || {_TOLD('r')} || chr(10) || 'Tool results:' || chr(10) || {_GOT('r')} || chr(10) || 'Now integrate and continue:'), '')) AS prompt_md5 FROM t""")
+def agent_rounds(spark, sf_dir):
+    # Each chat is played again: its answers come turn by turn from the table, the first ones with calls worked in.
+    turns = read(spark, sf_dir, "conversations").where("role = 'assistant'")
+    said = turns.select(F.col("conv_id").alias("said_id"), F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")).alias("at"), F.coalesce("text", F.lit("")).alias("said"))
+
+    def ask(open_: DataFrame, k: int) -> DataFrame:
+        call = lambda q: F.concat(F.lit(' {"tool_call": {"name": "news_tool", "arguments": {"query": "' + q), F.col("conv_id").cast("string"), F.lit('"}}}'))
+        calls = F.when(F.lit(k) > F.col("conv_id") % 4, "").otherwise(F.concat(call("a"), F.lit(' {"tool_call": {"name": "none", "arguments": {}}}')) if k == 1 else call("b"))
+        joined_ = open_.join(said.where(F.col("at") == k), F.col("conv_id") == F.col("said_id"), "left")
+        return joined_.withColumns({"output": F.concat("said", calls), "error": F.when(F.col("said").isNull(), "no turn is left")})
+
+    asked = G.converse(pairs(spark, sf_dir).select("conv_id", F.col("prompt").alias("question")), ask, most=3)
+    return asked.select("conv_id", "rounds", "status", "answer", F.md5("prompt").alias("prompt_md5"))
+
+
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 2 THEN 'Error: Calculation failed - integer modulo by zero' ELSE CAST(CASE WHEN l_linenumber % 3 = 0 THEN l_orderkey + 3 * l_partkey ELSE -(l_suppkey // 7) END AS VARCHAR) END AS result FROM lineitem")
 def safe_calc(spark, sf_dir):
     k = F.col("l_linenumber") % 3

@@ -36,7 +36,7 @@ def test_command_line(spark, tmp_path, task):
 def test_calls_at_any_depth(spark):
     deep = '{"tool_call": {"name": "n", "arguments": {"a": {"b": {"c": {"d": {"e": [1, "}"]}}}}}}}'
     df = spark.createDataFrame([(1, f"x {deep} y {{\"tool_call\": 3}} {{\"tool_call\" {deep}"), (2, None)], "id long, t string")
-    rows = K.extract_calls_at_any_depth(df, "t", ["id"]).orderBy("call").collect()
+    rows = N.extract(df, "t", ["id"]).orderBy("call").collect()
     assert [(r.call, r.name) for r in rows] == [(0, "n"), (1, "n")] and json.loads(rows[0].arguments)["a"]["b"]["c"]["d"]["e"] == [1, "}"]
 
 
