@@ -12,8 +12,8 @@ def fresh(df: DataFrame, *names: str, also: Sequence[str] = ()) -> list[str]:
     taken = {c.lower() for c in (*df.columns, *also)}
     out = []
     for name in names:
-        while f"_{name}" in taken:
+        while f"_{name}".lower() in taken:
             name += "_"
-        taken.add(f"_{name}")
+        taken.add(f"_{name}".lower())
         out.append(f"_{name}")
     return out

@@ -1,20 +1,30 @@
 """Ordered rule tables: the first rule that fits gives the label.
 
-A table is a list of rules or a DataFrame of the same columns. Lists fold into one CASE; a DataFrame is joined and the least
-``ord`` that fits is kept. Keys are compared in lower case, so capitals in a table do no harm.
+A table is a list of rules or a DataFrame of the same columns. Lists fold into one CASE; a DataFrame becomes an index from
+a word, or a part's first three characters, to its rules, which the words and parts of texts are looked up in by equality. What is found that way
+is held against the text where the key is more than that, and the least ``ord`` that fits is kept. Keys are compared in lower
+case, so capitals in a table do no harm.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import any_word
+from .names import fresh
+from .text import any_word, characters, let
 
 #: Rule tables of up to so many rows are broadcast; a table is checked before it is.
 RULES_MOST = 10_000
+#: Characters of a part by which it is looked up.
+GRAM = 3
+#: Keys without signs of patterns, and what separates words.
+_PLAIN = re.compile(r"[^\W_][\w' -]*")
+_BETWEEN = r"[^\p{L}\p{N}_]+"
+_TABLE = "ord int, pattern string, label string, kind string, keys array<string>"
 
 
 @dataclass(frozen=True)
@@ -28,6 +38,13 @@ class Rule:
     def pattern(self) -> str:
         return any_word(self.key.lower()) if self.kind == "word" else self.key
 
+    def keys(self) -> list[str] | None:
+        """The texts one of which is in all that the rule fits; null where it isn't known."""
+        if self.kind == "part":
+            return [self.key.lower()] if len(self.key) >= GRAM else None
+        some = self.key.lower().split("|") if self.kind == "word" else []
+        return some if some and all(_PLAIN.fullmatch(k) for k in some) else None
+
     def fits(self, lowered: Column) -> Column:
         return lowered.contains(self.key.lower()) if self.kind == "part" else lowered.rlike(self.pattern())
 
@@ -43,16 +60,58 @@ def classify(text: Column, rules: list[Rule], default: Column | str | None, lowe
 
 
 def table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
-    return spark.createDataFrame([(i, r.pattern() if r.kind != "part" else r.key.lower(), r.label, r.kind) for i, r in enumerate(rules)], "ord int, pattern string, label string, kind string")
+    return spark.createDataFrame([(i, r.pattern() if r.kind != "part" else r.key.lower(), r.label, r.kind, r.keys()) for i, r in enumerate(rules)], _TABLE)
+
+
+def _index(rules: DataFrame) -> DataFrame:
+    """token, ord, label, kind, pattern (null where the token alone decides) of rules with keys: a word stands for itself, a phrase goes by its longest word, a part by its beginning."""
+    keyed = rules.where("keys IS NOT NULL").select("ord", "label", "kind", "pattern", F.explode("keys").alias("key"))
+    parts = F.filter(F.split("key", _BETWEEN), lambda w: w != "")
+    longest = F.array_max(F.transform(parts, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    one = (F.size(parts) == 1) & (F.get(parts, F.lit(0)) == F.col("key"))
+    token = F.when(F.col("kind") == "part", F.concat(F.lit("part:"), F.left("key", F.lit(GRAM)))).otherwise(F.concat(F.lit("word:"), longest))
+    decided = F.when(F.col("kind") == "part", F.length("key") == GRAM).otherwise(one)
+    return keyed.select(token.alias("token"), "ord", "label", "kind", F.when(~decided, F.col("pattern")).alias("pattern"))
+
+
+def _tokens(low: Column, parts: bool) -> Column:
+    """The words of a text, and with ``parts`` its runs of GRAM characters, each once."""
+    words = F.transform(F.filter(F.split(low, _BETWEEN), lambda w: w != ""), lambda w: F.concat(F.lit("word:"), w))
+    if not parts:
+        return F.array_distinct(words)
+    grams = let(characters(low), lambda cs: F.transform(F.slice(cs, F.lit(1), F.greatest(F.size(cs) - (GRAM - 1), F.lit(0))), lambda c, i: F.concat(F.lit("part:"), c, *(F.get(cs, i + k) for k in range(1, GRAM)))))
+    return F.array_distinct(F.concat(words, grams))
+
+
+def _fit(low: Column, rule: Column) -> Column:
+    return F.when(rule["pattern"].isNull(), True).when(rule["kind"] == "part", F.contains(low, rule["pattern"])).otherwise(F.call_function("regexp_like", low, rule["pattern"]))
 
 
 def classify_by_table(df: DataFrame, text: str, key: list[str], rules: DataFrame, default: str, out: str = "label") -> DataFrame:
-    """``df`` plus ``out``, from rules held as data. Texts are judged once each; the table is small and checked to be."""
+    """``df`` plus ``out``, from rules held as data (ord, pattern, label, kind, and keys as ``table`` makes them).
+
+    Words meet their rules by a join on equality with the broadcast index, whose size is checked; no text is held against all rules. Rules
+    without keys (patterns, parts of fewer than GRAM characters) are tried on every text, as in a CASE. Null text fits none; equal texts are told apart from others by SHA-256.
+    """
     if rules.count() > RULES_MOST:
         raise ValueError(f"a rule table has at most {RULES_MOST} rows")
-    distinct = df.select(F.col(text).alias("_text")).distinct()
-    low = F.lower("_text")
-    fit = F.when(F.col("kind") == "part", low.contains(F.col("pattern"))).otherwise(F.call_function("regexp_like", low, F.col("pattern")))
-    # Every text meets every rule: the stated rule set in one pass, kept as one row a text by partial aggregation.
-    found = distinct.join(F.broadcast(rules), fit, "left").groupBy("_text").agg(F.min_by("label", "ord").alias("_label"))
-    return df.join(found, df[text].eqNullSafe(found["_text"]), "left").withColumn(out, F.coalesce("_label", F.lit(default))).drop("_text", "_label")
+    if "keys" not in rules.columns:
+        rules = rules.withColumn("keys", F.lit(None).cast("array<string>"))
+    index = _index(rules)
+    if index.count() > 10 * RULES_MOST:
+        raise ValueError(f"a rule table has at most {10 * RULES_MOST} alternatives")
+    digest, found, other = fresh(df, "digest", "found", "other", also=[out])
+    low = F.lower(F.col(text))
+    marked = df.withColumn(digest, F.sha2(F.col(text), 256))
+    parts = not rules.where("kind = 'part' AND keys IS NOT NULL").isEmpty()
+    words = marked.select(F.col(digest).alias("digest"), F.explode(_tokens(low, parts)).alias("token"))
+    # A text's hits are at most as many as there are rules.
+    hits = words.join(F.broadcast(index), "token").groupBy("digest").agg(F.collect_set(F.struct("ord", "label", "kind", "pattern")).alias("hits"))
+    joined = marked.join(hits.select(F.col("digest").alias(digest), F.col("hits").alias(found)), digest, "left")
+    plain = rules.where("keys IS NULL").orderBy("ord").collect()
+    at = F.lit(None).cast("struct<ord:int,label:string>")
+    for r in reversed(plain):
+        at = F.when(low.contains(r.pattern) if r.kind == "part" else F.call_function("regexp_like", low, F.lit(r.pattern)), F.struct(F.lit(r.ord).alias("ord"), F.lit(r.label).alias("label"))).otherwise(at)
+    best = F.array_min(F.transform(F.filter(F.col(found), lambda h: _fit(low, h)), lambda h: F.struct(h["ord"].alias("ord"), h["label"].alias("label"))))
+    label = F.array_min(F.array(best, F.col(other)))["label"]
+    return joined.withColumn(other, at).withColumn(out, F.coalesce(label, F.lit(default))).drop(digest, found, other)

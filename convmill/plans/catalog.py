@@ -23,8 +23,10 @@ from ..operators import messages as M
 from ..operators import metrics as R
 from ..operators import preference as P
 from ..operators import rounds as G
+from ..operators import rowwise as W
 from ..operators import presets, tokens as T, toolcalls as K
 from ..operators import variants as X
+from ..operators.memo import Memo
 from ..sources import jsonl, sinks
 from . import pipelines, sql as S
 
@@ -688,7 +690,7 @@ def appended_tasks(spark, sf_dir):
     path = fresh_path(spark)
     for name, column in (("supplier", "s_name"), ("customer", "c_name")):
         sinks.append_tasks(spark, path, read(spark, sf_dir, name).select(F.col(column).alias("task_details")))
-    return spark.read.parquet(path).select("id", "task_details", "status")
+    return sinks.tasks_of(spark, path).select("id", "task_details", "status")
 
 
 @query("SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, len(n_name) + 1 AS length, CASE WHEN len(n_name) < 8 THEN n_name || chr(10) END AS text FROM nation")
@@ -719,3 +721,82 @@ def hardware_presets(spark, sf_dir):
     k = F.col("s_suppkey")
     profiles = read(spark, sf_dir, "supplier").select("s_suppkey", ((k % 5 + 1) * 4 * presets.GIB).alias("vram_bytes"), ((k % 4 + 1) * 10 * presets.GIB).alias("system_ram_bytes"), (k % 3).alias("gpu_count"), F.when(k % 2 == 0, "Windows").otherwise("Linux").alias("os_name"), F.element_at(D.strings(list(presets.PRESETS)), (k % 4 + 1).cast("int")).alias("preset"))
     return presets.recommended(profiles).select("s_suppkey", *(F.col(c).cast("bigint").alias(c) for c in ("batch", "accumulation", "workers")))
+
+
+# Rules as data, batches, caches, row functions and reports
+_BENCH_WORDS = "SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS key FROM benchmark"
+_BENCH_PHRASES = "SELECT DISTINCT array_to_string(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')[1:2], ' ') AS key FROM benchmark"
+_EDGE = "[^\\p{L}\\p{N}_]"
+
+
+@query(f"""WITH keys AS ({_BENCH_WORDS} UNION {_BENCH_PHRASES}), rules AS (SELECT key, row_number() OVER (ORDER BY md5(key), key) AS ord, list_sort(list_transform(string_split(key, ' '), lambda w: {{'n': len(w), 'w': w}}))[-1].w AS word FROM keys QUALIFY ord <= {10_000}),
+said AS (SELECT doc_id, lower(text) AS low, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+'))) AS word FROM documents),
+hits AS (SELECT doc_id, arg_min(key, ord) AS key FROM said JOIN rules USING (word) WHERE key = word OR regexp_matches(low, '(^|{_EDGE})' || key || '($|{_EDGE})') GROUP BY doc_id)
+SELECT doc_id, coalesce('about ' || key, 'other') AS label FROM documents LEFT JOIN hits USING (doc_id)""")
+def rules_at_scale(spark, sf_dir):
+    # Up to 10,000 rules: every word of the benchmark and the first two of each item as a phrase.
+    words_ = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    items = read(spark, sf_dir, "benchmark").select(words_.alias("w"))
+    keys = items.select(F.explode("w").alias("key")).union(items.select(F.array_join(F.slice("w", 1, 2), " "))).distinct()
+    ranked = keys.orderBy(F.md5("key"), "key").limit(10_000).collect()
+    rules = rule_table(spark, [Rule(r.key, f"about {r.key}") for r in ranked])
+    return classify_by_table(read(spark, sf_dir, "documents"), "text", ["doc_id"], rules, "other").select("doc_id", "label")
+
+
+@query(f"""WITH t AS (SELECT doc_id, greatest(coalesce(len({S.words('text')}), 1), 1) AS n FROM documents), c AS (SELECT *, CAST(ceil(n / 8) * 8 AS BIGINT) AS wide FROM t),
+r AS (SELECT *, row_number() OVER (PARTITION BY wide ORDER BY n, {S.digest('batch', 'doc_id')}, doc_id) - 1 AS rank, greatest(4096 // wide, 1) AS per FROM c),
+f AS (SELECT wide, coalesce(sum(batches) OVER (ORDER BY wide ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM (SELECT wide, CAST(ceil(count(*) / any_value(per)) AS BIGINT) AS batches FROM r GROUP BY wide))
+SELECT CAST(first + rank // per AS BIGINT) AS batch_id, count(*) AS n_rows, max(n) AS longest, CAST(max(n) * count(*) - sum(n) AS BIGINT) AS padding FROM r JOIN f USING (wide) GROUP BY 1""")
+def length_batches(spark, sf_dir):
+    rows = read(spark, sf_dir, "documents").select("doc_id", T.WordTokenizer().ids(F.col("text")).alias("input_ids"))
+    n = F.greatest(F.coalesce(F.size("input_ids"), F.lit(1)), F.lit(1)).cast("bigint")
+    return U.batched(rows, "input_ids", ["doc_id"], 4096).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max(n).alias("longest"), (F.max(n) * F.count(F.lit(1)) - F.sum(n)).alias("padding"))
+
+
+@query("SELECT c_custkey, 'Tool shout result: ' || upper(c_mktsegment || c_nationkey) AS result, c_custkey % 2 = 0 OR EXISTS (SELECT 1 FROM customer o WHERE o.c_custkey % 2 = 0 AND o.c_mktsegment = c.c_mktsegment AND o.c_nationkey = c.c_nationkey) AS cached FROM customer c")
+def memo_execute(spark, sf_dir):
+    # The calls of every other customer are executed by an earlier run; the second one works out only what that has not met.
+    registry = K.Registry()
+    registry.register("shout")(F.upper)
+    called = read(spark, sf_dir, "customer").select("c_custkey", F.lit("shout").alias("name"), F.create_map(F.lit("query"), F.concat("c_mktsegment", F.col("c_nationkey").cast("string"))).alias("arguments"))
+    memo = Memo(fresh_path(spark))
+    memo.execute(called.where("c_custkey % 2 = 0"), registry)
+    return memo.execute(called, registry).select("c_custkey", "result", "cached")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN 'ValueError: nothing to share' END AS error, CASE WHEN p_size % 5 > 0 THEN upper(p_name) END AS name, CASE WHEN p_size % 5 > 0 THEN 60 // (p_size % 5) END AS share FROM part")
+def mapped_records(spark, sf_dir):
+    # One row in five raises; its record is kept with what it raised.
+    rows = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+
+    def shared(r: dict) -> dict:
+        if r["p_size"] % 5 == 0:
+            raise ValueError("nothing to share")
+        return {"p_partkey": r["p_partkey"], "name": r["p_name"].upper(), "share": 60 // (r["p_size"] % 5)}
+
+    good, bad = W.mapped(rows, shared, "p_partkey bigint, name string, share bigint", rows=100)
+    failed = bad.select(F.get_json_object("record", "$.p_partkey").cast("bigint").alias("p_partkey"), "error", F.lit(None).cast("string").alias("name"), F.lit(None).cast("bigint").alias("share"))
+    return good.select("p_partkey", F.lit(None).cast("string").alias("error"), "name", "share").unionByName(failed)
+
+
+@query("SELECT p_partkey FROM part WHERE length(p_name) % 2 = 0")
+def filtered_records(spark, sf_dir):
+    kept, _ = W.filtered(read(spark, sf_dir, "part"), lambda r: len(r["p_name"]) % 2 == 0)
+    return kept.select("p_partkey")
+
+
+@query(f"SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS line, {_reason_sql('chat')} AS reason FROM events QUALIFY reason IS NOT NULL")
+def reject_report(spark, sf_dir):
+    # One file for each type of event, in the order of events; lines are numbered throughout, in however many blocks a file is read.
+    path = fresh_path(spark)
+    lines = event_lines(spark, sf_dir).join(read(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    lines.repartition("event_type").sortWithinPartitions("event_type", "event_id").select("event_type", "value").write.partitionBy("event_type").text(path)
+    return jsonl.report(spark, path).select(F.regexp_extract("file", "event_type=([^/]+)", 1).alias("event_type"), "line", "reason")
+
+
+@query()
+def token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    count = T.SubwordTokenizer(public_tokenizers.path("word_bpe_49k.json")).count(F.col("text"))
+    return read(spark, sf_dir, "documents").select("doc_id", count.alias("n_tokens")).withColumn("fits", F.col("n_tokens") <= 1000)

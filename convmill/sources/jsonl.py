@@ -6,7 +6,7 @@ One parser serves all dialects. ``chat``: an object whose ``messages`` is a list
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import stripped
@@ -63,6 +63,26 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
 
 
+def numbered(spark: SparkSession, path: str) -> DataFrame:
+    """value, file and line (from 1) of every line, without one task a file.
+
+    Files are read in blocks. Within a block lines keep their order; the lines of the blocks before it, counted first, are added.
+    """
+    at, block = "at", "block"
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias(block), F.monotonically_increasing_id().alias(at))
+    before = Window.partitionBy("file").orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    counted = raw.groupBy("file", block).agg(F.count(F.lit(1)).alias("lines"), F.min(at).alias("first"))
+    # One row a block of a file.
+    offsets = counted.select("file", block, "first", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before"))
+    return raw.join(offsets, ["file", block]).select("value", "file", (F.col(at) - F.col("first") + F.col("before") + 1).alias("line"))
+
+
+def report(spark: SparkSession, path: str, dialect: str = "chat") -> DataFrame:
+    """file, line and reason of every line that the dialect leaves out. In ``strict`` a malformed line is reported rather than ending the job."""
+    out = numbered(spark, path).withColumn("reason", reason(F.col("value"), "any" if dialect == "strict" else dialect))
+    return out.where("reason IS NOT NULL").select("file", "line", "reason")
+
+
 def load(spark: SparkSession, path: str, dialect: str = "chat") -> DataFrame:
     return kept(lines(spark, path), dialect)
 

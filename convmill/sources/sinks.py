@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.commits import Commits
 from ..functions.durable import written
 
 
@@ -35,18 +38,45 @@ def save_metrics(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def append_tasks(spark: SparkSession, path: str, tasks: DataFrame) -> DataFrame:
-    """Appends task_details as pending tasks with ids from the greatest one on, and returns the rows added."""
-    try:
-        last = spark.read.parquet(path).agg(F.max("id")).first()[0] or 0
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        last = 0
-    # Numbered in ranges: each partition's offset is the number of rows in those before it, so no task holds all rows.
+_TASKS = "append string, folder string, first bigint, count bigint"
+
+
+def _numbered(tasks: DataFrame) -> DataFrame:
+    """``tasks`` with ``at`` from 0 in order of their text. Each partition's offset is the number of rows in those before it, so no task holds all rows."""
     some = written(tasks.where("task_details IS NOT NULL").select("task_details").repartitionByRange("task_details").sortWithinPartitions("task_details").select("task_details", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = some.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first")).select("part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
-    numbered = some.join(F.broadcast(offsets), "part").select((F.col("at") - F.col("first") + F.col("off") + 1 + F.lit(last)).cast("bigint").alias("id"), "task_details", F.lit("pending").alias("status"), F.current_timestamp().alias("created_at"))
-    numbered.write.mode("append").parquet(path)
-    return spark.read.parquet(path).where(F.col("id") > last)
+    return some.join(F.broadcast(offsets), "part").select((F.col("at") - F.col("first") + F.col("off")).cast("bigint").alias("at"), "task_details", F.lit("pending").alias("status"), F.current_timestamp().alias("created_at"))
+
+
+def append_tasks(spark: SparkSession, path: str, tasks: DataFrame, append: str | None = None, most_tries: int = 1000) -> DataFrame:
+    """Appends task_details as pending tasks with ids from the greatest one on, and returns the rows added.
+
+    Rows are written first, numbered from 0, into a folder that nobody reads; a commit then gives the folder its first id. A writer that finds its
+    number taken takes the next one, so ids of several writers have neither gaps nor repeats. ``append`` names the append: one that was
+    committed before, as when a job is run again, adds nothing and gives the rows of then. An empty table adds nothing.
+    """
+    append = append or uuid.uuid4().hex
+    log = Commits(spark, path, _TASKS)
+    folder = f"rows-{uuid.uuid4().hex}"
+    count = None
+    for _ in range(most_tries):
+        number, last = log.latest()
+        if number and not log.entries().where(F.col("append") == append).isEmpty():
+            break
+        if count is None:
+            _numbered(tasks).write.parquet(f"{path}/rows/folder={folder}")
+            count = spark.read.parquet(f"{path}/rows/folder={folder}").count()
+        if log.commit(number + 1, {"append": append, "folder": folder, "first": last["first"] + last["count"] if last else 1, "count": count}):
+            break
+    else:
+        raise RuntimeError(f"no commit after {most_tries} tries")
+    return tasks_of(spark, path, append)
+
+
+def tasks_of(spark: SparkSession, path: str, append: str | None = None) -> DataFrame:
+    """id, task_details, status and created_at of all tasks that were committed, or of one append."""
+    entries = Commits(spark, path, _TASKS).entries()
+    entries = entries if append is None else entries.where(F.col("append") == append)
+    rows = spark.read.schema("at bigint, task_details string, status string, created_at timestamp, folder string").parquet(f"{path}/rows")
+    return rows.join(entries.select("folder", "first"), "folder").select((F.col("first") + F.col("at")).alias("id"), "task_details", "status", "created_at")

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from convmill.__main__ import main
+from convmill.operators import calls as N
 from convmill.operators import toolcalls as K
 from convmill.plans import config as C
 
