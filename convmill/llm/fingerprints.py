@@ -18,6 +18,7 @@ Repeated rows: each stays, the next one being its copy. Very long texts: whole;
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections import Counter, defaultdict, deque
 from collections.abc import Iterator
 from functools import cache
@@ -154,35 +155,58 @@ class Fingerprint:
         self.mark = f"{self.n}:{int(self.hash.sums[0][-1]):08x}{int(self.hash.sums[1][-1]):08x}:{shown}"
 
     def shared(self, other: Fingerprint) -> int:
-        """Code points in passages that both texts have; none is counted twice in either."""
+        """Code points in passages that both texts have; none is counted twice in either.
+
+        The common beginning and end count first. Then, from left to right, each span that the other text has in a free place is extended both ways
+        as far as the texts agree and are free: in the place that goes on from the last passage if it is there, else in the first free one.
+        """
         a, b = self.hash, other.hash
         if not a.n or not b.n:
             return 0
-        free = np.ones(b.n, bool)
         head = a.extension(0, b, 0)
         tail = a.extension_left(a.n, b, b.n, min(a.n, b.n) - head)
-        free[:head] = False
-        free[b.n - tail :] = False
         total, stop, now = head + tail, a.n - tail, head
+        # Taken parts of the other text, in order.
+        starts, stops = [0, b.n - tail], [head, b.n]
+
+        def gap(j: int) -> tuple[int, int]:
+            """The bounds of the free part around j; j lies outside of them where it is taken."""
+            k = bisect_right(starts, j)
+            return stops[k - 1], starts[k] if k < len(starts) else b.n
+
         at: dict[int, deque[int]] = defaultdict(deque)
-        for x, j in zip(other.spans, other.ends.tolist()):
+        begins = dict(zip(other.ends.tolist(), other.spans))
+        for j, x in begins.items():
             at[x].append(j)
+        shift = 0
         for x, i, end in zip(self.spans, self.ends.tolist(), self.ends[1:].tolist()):
             if i < now or end > stop or x not in at:
                 continue
             places, n = at[x], end - i
-            while places and not free[places[0] : places[0] + n].all():
-                places.popleft()
-            if not places or not a.same(i, b, j := places[0], n):
+
+            def fits(j: int) -> bool:
+                low, high = gap(j)
+                return low <= j and j + n <= high
+
+            if begins.get(i + shift) == x and fits(i + shift):
+                j = i + shift
+            else:
+                # What is taken stays so: places are looked at until one is free, each once.
+                while places and not fits(places[0]):
+                    places.popleft()
+                if not places:
+                    continue
+                j = places[0]
+            if not a.same(i, b, j, n):
                 continue
-            # The free code points before and after what is known to be equal bound the extension.
-            taken = np.flatnonzero(~free[:j])
-            left = a.extension_left(i, b, j, min(i - now, j - (int(taken[-1]) + 1 if len(taken) else 0)))
-            taken = np.flatnonzero(~free[j:])
-            right = a.extension(i, b, j, min(stop - i, int(taken[0]) if len(taken) else b.n - j))
-            free[j - left : j + right] = False
+            low, high = gap(j)
+            left = a.extension_left(i, b, j, min(i - now, j - low))
+            right = a.extension(i, b, j, min(stop - i, high - j))
+            k = bisect_right(starts, j - left)
+            starts.insert(k, j - left)
+            stops.insert(k, j + right)
             total += left + right
-            now = i + right
+            now, shift = i + right, j - i
         return total
 
     def likeness(self, other: Fingerprint) -> float:
