@@ -117,3 +117,59 @@ def test_odd_rows(spark):
     assert hmm.score(docs.limit(0), Scratch(spark), rounds=1).count() == 0
     only_held = [(i, "x y") for i in range(40) if zlib.crc32(str(i).encode()) % 7 == 2]
     same(hmm.score(spark.createDataFrame(only_held, "doc_id long, text string"), Scratch(spark), rounds=1).collect(), only_held)
+
+
+def plain_scores(texts, frequent, rounds):
+    """Training and scoring by unscaled sums over all states, document by document."""
+    words = {i: (t or "").encode().lower().split() for i, t in texts}
+    train = [i for i, _ in texts if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(w for i in train for w in words[i])
+    base, size = len(frequent), len(frequent) + hmm.TAILS + 1
+    symbol = lambda w: frequent.get(w, base + zlib.crc32(w[-3:]) % hmm.TAILS)
+    c, kinds = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for w, n in counts.items():
+        c[symbol(w)] += n
+        kinds[symbol(w)] += 1
+    c[-1], kinds[-1] = len(train), 1
+    mass = c + kinds + np.array([base <= s < size - 1 for s in range(size)])
+    model = hmm.begin(hmm.Vocabulary(frequent, c, kinds, int(c.sum()), int(kinds.sum())))
+    start, move, emit = model.start, model.move, model.emit
+    seq = {i: [*map(symbol, ws), size - 1] for i, ws in words.items()}
+    k = len(start)
+
+    def forward(x):
+        alpha = [start * emit[x[0]]]
+        for s in x[1:]:
+            alpha.append(np.array([sum(alpha[-1][i] * move[i][j] for i in range(k)) for j in range(k)]) * emit[s])
+        return alpha
+
+    for _ in range(rounds):
+        starts, moves, emissions = np.zeros(k), np.zeros((k, k)), np.zeros((size, k))
+        for i in train:
+            x = seq[i]
+            alpha, beta = forward(x), [np.ones(k)]
+            for s in x[:0:-1]:
+                beta.insert(0, np.array([sum(move[i][j] * emit[s][j] * beta[0][j] for j in range(k)) for i in range(k)]))
+            whole = alpha[-1].sum()
+            starts += alpha[0] * beta[0] / whole
+            for t, s in enumerate(x):
+                emissions[s] += alpha[t] * beta[t] / whole
+                if t:
+                    moves += alpha[t - 1][:, None] * move * (emit[s] * beta[t]) / whole
+        share = np.where(mass > 0, mass, 1e-3)
+        emit = emissions + hmm.PRIOR_EMISSION * (share / share.sum())[:, None]
+        emit /= emit.sum(0)
+        start, move = (starts + 1) / (starts + 1).sum(), (moves + 1) / (moves + 1).sum(1, keepdims=True)
+    rare = lambda w: 0 if w in frequent else math.log10((counts[w] + 1) / mass[symbol(w)])
+    return {i: math.log10(forward(seq[i])[-1].sum()) + sum(map(rare, words[i])) for i, _ in texts}
+
+
+def test_scores_equal_plain_training_and_plain_sums(spark):
+    rng = np.random.default_rng(6)
+    texts = [(i, " ".join(rng.choice(["a", "b", "cc", "dd", f"word{i}", "Ending", "spending", "É"], int(rng.integers(0, 9))))) for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    vocab, _ = hmm.learn_vocabulary(docs, Scratch(spark), 4)
+    assert 0 < len(vocab.words) <= 4
+    want = plain_scores(texts, vocab.words, 3)
+    for r in hmm.score(docs, Scratch(spark), rounds=3, head=4).collect():
+        assert math.isclose(r.score, want[r.doc_id], rel_tol=1e-3, abs_tol=1e-3)
