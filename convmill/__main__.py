@@ -27,7 +27,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run(spark: SparkSession, task: str, config: C.Config) -> None:
-    d = config.checked().data
+    d = C.check_paths(spark, config.checked()).data
     chats = jsonl.load(spark, d.input, "chat").select(F.md5("value").alias("conv_id"), "messages")
     if task == "pairs":
         sinks.save(pipelines.pairs_of_chats(chats), d.output)

@@ -71,6 +71,17 @@ class SubwordTokenizer:
     def __init__(self, path: str, pad: int = 0) -> None:
         self.path, self.pad = path, pad
 
+    @classmethod
+    def padded_by(cls, path: str, end: str, pad: str | None = None) -> SubwordTokenizer:
+        """With the id of ``pad`` for padding or, where the vocabulary has none of that name, that of the ``end`` token."""
+        from tokenizers import Tokenizer
+
+        vocabulary = Tokenizer.from_file(path)
+        ids = [i for i in (pad and vocabulary.token_to_id(pad), vocabulary.token_to_id(end)) if i is not None]
+        if not ids:
+            raise ValueError(f"the vocabulary has neither {pad} nor {end}")
+        return cls(path, ids[0])
+
     def _over(self, batches: Iterator[pd.Series], use) -> Iterator[pd.Series]:
         from tokenizers import Tokenizer
 

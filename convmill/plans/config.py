@@ -89,6 +89,22 @@ def load(path: str) -> Config:
     return config
 
 
+def check_paths(spark, config: Config) -> Config:
+    """Fails before any work where the input isn't there, is no file or folder of files, or where the output's place is a file. Any store that Spark reads will do."""
+    fs_package, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for part in config.data.input.split(","):
+        path = fs_package.Path(part)
+        found += path.getFileSystem(conf).globStatus(path) or []
+    if not found:
+        raise ValueError(f"no such input: {config.data.input}")
+    out = fs_package.Path(config.data.output)
+    fs = out.getFileSystem(conf)
+    if fs.exists(out) and fs.getFileStatus(out).isFile():
+        raise ValueError(f"the output is a file: {config.data.output}")
+    return config
+
+
 def save(config: Config, path: str) -> None:
     values = asdict(config)
     text = json.dumps(values, indent=2) if path.endswith(".json") or yaml is None else yaml.safe_dump(values, sort_keys=False)

@@ -16,6 +16,7 @@ from convmill.functions.names import fresh
 from convmill.functions.rules import Rule, classify, classify_by_table, table
 from convmill.operators import calls, curate, rounds, rowwise, toolcalls, tokens, variants
 from convmill.operators.memo import Memo
+from convmill.plans import config
 from convmill.sources import jsonl, sinks
 
 SF = "/root/testdata/sf0.001"
@@ -233,7 +234,28 @@ def test_subword_counts_equal_whole_texts(spark):
         assert list(r.ids) == whole.encode(r.text or "", add_special_tokens=False).ids and r.n == len(r.ids)
 
 
+def test_padding_falls_back_to_the_end_token(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert tokens.SubwordTokenizer.padded_by(path, "<|endoftext|>", "<pad>").pad == tokens.SubwordTokenizer.padded_by(path, "<|endoftext|>").pad == 49407
+    tokenizer = tokens.SubwordTokenizer.padded_by(path, "<|endoftext|>", "<|startoftext|>")
+    assert tokenizer.pad == 49406
+    rows = tokens.tokenize(spark.createDataFrame([("",), (None,), ("hello world",)], "text string"), tokenizer).select("input_ids").collect()
+    assert [r.input_ids for r in rows[:2]] == [[49406]] * 2 and len(rows[2].input_ids) == 2
+    with pytest.raises(ValueError):
+        tokens.SubwordTokenizer.padded_by(path, "<none>")
+
+
 # Sources and row functions
+def test_paths_are_checked_before_any_work(spark, tmp_path):
+    (tmp_path / "in.jsonl").write_text("{}\n")
+    (tmp_path / "file").write_text("x")
+    made = lambda i, o: config.Config(config.DataConfig(input=str(tmp_path / i), output=str(tmp_path / o)))
+    assert config.check_paths(spark, made("*.jsonl", "out")).data.output.endswith("out")
+    for bad, why in ((made("none.jsonl", "out"), "no such input"), (made("in.jsonl", "file"), "output is a file")):
+        with pytest.raises(ValueError, match=why):
+            config.check_paths(spark, bad)
+
+
 def test_lines_are_numbered_through_all_blocks(spark, tmp_path):
     good = '{"messages": []}'
     texts = {"a.jsonl": [good, "", "{bad", "[1]"] * 700, "b.jsonl": [good] * 3 + ["{}"], "empty.jsonl": []}
