@@ -102,7 +102,9 @@ def classify_by_table(df: DataFrame, text: str, key: list[str], rules: DataFrame
         raise ValueError(f"a rule table has at most {10 * RULES_MOST} alternatives")
     digest, found, other = fresh(df, "digest", "found", "other", also=[out])
     low = F.lower(F.col(text))
-    marked = df.withColumn(digest, F.sha2(F.col(text), 256))
+    # Rows without a text have no hits to meet; by their keys they don't meet each other either.
+    named = F.sha2(F.col(text), 256)
+    marked = df.withColumn(digest, F.coalesce(named, F.concat(F.lit("none-"), F.xxhash64(*key).cast("string"))) if key else named)
     parts = not rules.where("kind = 'part' AND keys IS NOT NULL").isEmpty()
     words = marked.select(F.col(digest).alias("digest"), F.explode(_tokens(low, parts)).alias("token"))
     # A text's hits are at most as many as there are rules.
