@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 from typing import Protocol
 
 import pandas as pd
@@ -66,7 +67,9 @@ class SubwordTokenizer:
     """
 
     #: Words that a worker keeps before it starts anew. Results don't depend on it.
-    words_most = 500_000
+    words_most = 200_000
+    #: Texts that are split, and words that are encoded, at a time.
+    texts_most, block = 256, 4096
 
     def __init__(self, path: str, pad: int = 0) -> None:
         self.path, self.pad = path, pad
@@ -82,23 +85,30 @@ class SubwordTokenizer:
             raise ValueError(f"the vocabulary has neither {pad} nor {end}")
         return cls(path, ids[0])
 
-    def _over(self, batches: Iterator[pd.Series], use) -> Iterator[pd.Series]:
+    def _over(self, batches: Iterator[pd.Series], of, use) -> Iterator[pd.Series]:
+        """``use`` of what ``of`` keeps of each word's ids, text by text."""
         from tokenizers import Tokenizer
 
         tokenizer, known = Tokenizer.from_file(self.path), {}
         for texts in batches:
-            # White space of ASCII only: the rest is left to the vocabulary's own rules.
-            split = [t.encode().split() if t else [] for t in texts]
-            new = list({w for ws in split for w in ws}.difference(known))
-            if len(known) + len(new) > self.words_most:
-                known.clear()
-                new = list({w for ws in split for w in ws})
-            known.update(zip(new, (e.ids for e in tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False))))
-            yield pd.Series([use([known[w] for w in ws]) for ws in split])
+            out = []
+            for at in range(0, len(texts), self.texts_most):
+                # White space of ASCII only: the rest is left to the vocabulary's own rules.
+                split = [t.encode().split() if t else [] for t in texts.iloc[at : at + self.texts_most]]
+                distinct = {w for ws in split for w in ws}
+                new = list(distinct.difference(known))
+                if len(known) + len(new) > self.words_most:
+                    known.clear()
+                    new = list(distinct)
+                for k in range(0, len(new), self.block):
+                    some = new[k : k + self.block]
+                    known.update(zip(some, (of(e.ids) for e in tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False))))
+                out += [use(map(known.__getitem__, ws)) for ws in split]
+            yield pd.Series(out, dtype=object)
 
     def ids(self, text: Column) -> Column:
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            return self._over(batches, lambda found: [i for ids in found for i in ids])
+            return self._over(batches, tuple, lambda found: list(chain.from_iterable(found)))
 
         return F.pandas_udf(encode, "array<int>")(text)
 
@@ -106,7 +116,7 @@ class SubwordTokenizer:
         """How many ids a text has; none for null."""
 
         def number(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            return self._over(batches, lambda found: sum(map(len, found)))
+            return self._over(batches, len, sum)
 
         return F.pandas_udf(number, "bigint")(text)
 
